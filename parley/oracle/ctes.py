@@ -208,3 +208,26 @@ SELECT t.qid, f.doc_id, 1.0::DOUBLE AS score, f.rank FROM
   (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank FROM coll ORDER BY doc_id LIMIT {k}) f
 """, True)
     return name
+
+
+turns_cte("cm", "conv_turns", "Manual")
+turns_cte("ca", "conv_turns", "Automatic")
+
+# ---------------------------------------------------------------- judgements (fixture)
+cte("qrels", ("bench_turns", "coll"), f"""
+SELECT s.qid, '0' AS iter, s.doc_id,
+       CAST(CASE WHEN s.shared * 10 >= n.nq * 6 THEN 2 WHEN s.shared * 10 >= n.nq * 4 THEN 1 ELSE 0 END AS INTEGER) AS rel
+FROM (
+  SELECT q.qid, d.doc_id, count(*) AS shared
+  FROM (SELECT DISTINCT doc_id, term FROM (SELECT doc_id, unnest({tok_array_sql('text')}) AS term FROM coll) WHERE term <> '') d
+  JOIN (SELECT DISTINCT qid, term FROM (SELECT CAST(topic AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS qid,
+                                               unnest({tok_array_sql('manual')}) AS term FROM bench_turns) WHERE term <> '') q
+    ON d.term = q.term
+  GROUP BY q.qid, d.doc_id
+) s JOIN (
+  SELECT qid, count(*) AS nq FROM (SELECT DISTINCT qid, term FROM (
+     SELECT CAST(topic AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS qid, unnest({tok_array_sql('manual')}) AS term
+     FROM bench_turns) WHERE term <> '') GROUP BY qid
+) n ON s.qid = n.qid
+WHERE s.shared * 10 >= n.nq * 3
+""", True)

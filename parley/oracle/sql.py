@@ -13,3 +13,78 @@ def oracle(name: str, sql: str) -> None:
 
 _bm = bm25_ctes("qm", "qm", 500)
 oracle("bm25_retrieve", query(f"SELECT qid, doc_id, score, CAST(rank AS BIGINT) AS rank FROM {_bm}", _bm))
+
+from parley.oracle.ctes import ASTOP_SQL, STOP_SQL, norm_sql, query_ctes, tok_array_sql  # noqa: E402
+
+# ----------------------------------------------------------------------------- sources
+_COLL = "SELECT doc_id, text, source, batch_id FROM coll"
+oracle("load_passages", query(_COLL + " WHERE source = 'MARCO'", "coll"))
+oracle("load_paragraphs", query(_COLL + " WHERE source = 'CAR'", "coll"))
+oracle("union_collections", query(_COLL, "coll"))
+oracle("replace_collection", query(_COLL, "coll"))
+oracle("upsert_collection", query("""
+SELECT doc_id, text, source, batch_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY batch_id DESC, text DESC) AS rn FROM (
+    SELECT doc_id, text, source, batch_id FROM coll
+    UNION ALL
+    SELECT c.doc_id, 'updated ' || c.text, c.source, CAST(2 AS BIGINT) FROM coll c
+      WHERE regexp_replace(c.doc_id, '^(MARCO|CAR)_', '') IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)
+    UNION ALL
+    SELECT 'MARCO_B' || CAST(item_id AS VARCHAR), text, 'MARCO', CAST(2 AS BIGINT) FROM benchmark
+  )
+) WHERE rn = 1
+""", "coll"))
+oracle("collection_counts", query("SELECT source, count(*) AS n_docs FROM coll GROUP BY source", "coll"))
+oracle("load_topics", query("SELECT topic, turn, manual, automatic FROM conv_turns", "conv_turns"))
+oracle("load_qrels", query("SELECT qid, iter, doc_id, rel FROM qrels", "qrels"))
+oracle("write_run", query(
+    f"SELECT qid || ' Q0 ' || doc_id || ' ' || CAST(rank AS VARCHAR) || ' ' || printf('%.4f', score) || ' Manual' AS line FROM {_bm}", _bm))
+oracle("load_run", query(
+    f"SELECT qid, 'Q0' AS q0, doc_id, CAST(rank AS INTEGER) AS rank, score, 'Manual' AS tag FROM {_bm}", _bm))
+
+# ----------------------------------------------------------------------------- text
+oracle("normalize", query(f"SELECT doc_id, {norm_sql('text')} AS norm FROM coll", "coll"))
+_TOKS = f"list_filter({tok_array_sql('text')}, lambda x: x <> '')"
+oracle("tokenize", query(f"SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS tokens FROM (SELECT doc_id, {_TOKS} AS t FROM coll)", "coll"))
+oracle("remove_stopwords", query(
+    f"SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS tokens FROM "
+    f"(SELECT doc_id, list_filter({_TOKS}, lambda x: x NOT IN ({STOP_SQL})) AS t FROM coll)", "coll"))
+oracle("build_conflation", query("SELECT surface, stem FROM conflation", "conflation"))
+oracle("conflate", query("SELECT qid, query_text FROM qm_text", "qm_text"))
+oracle("preprocess", query("SELECT doc_id, data FROM cindex", "cindex"))
+oracle("analyze", query("""
+SELECT c.doc_id, coalesce(a.terms, '') AS terms FROM cindex c LEFT JOIN
+  (SELECT doc_id, string_agg(term, ' ' ORDER BY pos) AS terms FROM atok GROUP BY doc_id) a ON c.doc_id = a.doc_id
+""", "cindex", "atok"))
+
+# ----------------------------------------------------------------------------- index
+oracle("postings", query("SELECT doc_id, term, tf, CAST(dl AS BIGINT) AS dl FROM postings", "postings"))
+oracle("term_vectors", query(
+    "SELECT doc_id, string_agg(term || ':' || CAST(tf AS VARCHAR), ' ' ORDER BY term) AS vector FROM postings GROUP BY doc_id",
+    "postings"))
+oracle("doc_lengths", query("SELECT doc_id, CAST(sum(tf) AS BIGINT) AS dl FROM postings GROUP BY doc_id", "postings"))
+oracle("term_stats", query("SELECT term, df, CAST(cf AS BIGINT) AS cf, round(idf, 6) AS idf FROM tstats", "tstats"))
+oracle("coll_stats", query(
+    "SELECT n_docs, CAST(sum_dl AS BIGINT) AS sum_dl, round(avgdl, 6) AS avgdl, n_terms FROM cstats", "cstats"))
+
+# ----------------------------------------------------------------------------- retrieval
+oracle("select_utterance", query("SELECT topic, turn, utterance FROM ca", "ca"))
+oracle("make_qid", query("SELECT qid, topic, turn FROM cm", "cm"))
+oracle("query_terms", query("SELECT qid, term, qtf FROM qm_terms", "qm_terms"))
+oracle("match_any", query("""
+SELECT q.qid, p.doc_id, count(*) AS n_terms
+FROM qm_terms q JOIN tstats s ON q.term = s.term JOIN postings p ON p.term = q.term
+GROUP BY q.qid, p.doc_id
+""", "qm_terms", "tstats", "postings"))
+oracle("bm25_score", query("SELECT qid, doc_id, score FROM qm_scores", "qm_scores"))
+oracle("top_k", query("""
+SELECT qid, doc_id, score, rank FROM (
+  SELECT qid, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id ASC) AS rank FROM qm_scores
+) WHERE rank <= 100
+""", "qm_scores"))
+_cbm = bm25_ctes("cm", "cm", 500)
+oracle("empty_query_fallback", query(f"SELECT qid, doc_id, score, rank FROM {_cbm} WHERE qid NOT IN (SELECT qid FROM cm_rows)", _cbm))
+oracle("bm25_topics", query(f"SELECT qid, doc_id, score, rank FROM {_cbm}", _cbm))
+oracle("fetch_documents", query(
+    f"SELECT b.qid, b.doc_id, b.rank, CAST(CASE WHEN c.data = '' THEN 0 ELSE len(string_split(c.data, ' ')) END AS BIGINT) AS n_tokens, c.data "
+    f"FROM {_bm} b JOIN cindex c ON b.doc_id = c.doc_id", _bm, "cindex"))

@@ -39,3 +39,274 @@ def bm25_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q8, the flagship: all benchmark turns (manual utterances), top 500 each."""
     c = corpus_for(spark, sf_dir)
     return Q.bm25_retrieve(bench_turns(spark, sf_dir), c, BM25_DEPTH)
+
+
+# ----------------------------------------------------------------------------- sources
+def _scratch(spark: SparkSession, name: str) -> str:
+    from parley.session import scratch_path
+
+    return scratch_path(spark, name)
+
+
+@register("load_passages")
+def load_passages_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passage half written as a TSV file, read back with the passage reader."""
+    from parley.sources.passages import load_passages
+
+    path = _scratch(spark, "passages-tsv")
+    fixtures.passage_lines(fixtures.table(spark, sf_dir, "documents")).write.mode("overwrite").text(path)
+    return load_passages(spark, path)
+
+
+@register("load_paragraphs")
+def load_paragraphs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested paragraph rows stored as Parquet, bodies concatenated on read."""
+    from parley.sources.passages import load_paragraphs, read_paragraphs
+
+    path = _scratch(spark, "paragraphs")
+    fixtures.paragraphs(fixtures.table(spark, sf_dir, "documents")).write.mode("overwrite").parquet(path)
+    return load_paragraphs(read_paragraphs(spark, path))
+
+
+@register("union_collections")
+def union_collections_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.collection(spark, sf_dir)
+
+
+@register("upsert_collection")
+def upsert_collection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.sources.collection import upsert_collection
+
+    return upsert_collection(fixtures.collection(spark, sf_dir), fixtures.upsert_batch(spark, sf_dir))
+
+
+@register("replace_collection")
+def replace_collection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.sources.collection import replace_collection
+
+    return replace_collection(fixtures.collection(spark, sf_dir))
+
+
+@register("collection_counts")
+def collection_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.sources.collection import collection_counts
+
+    return collection_counts(fixtures.collection(spark, sf_dir))
+
+
+@register("load_topics")
+def load_topics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics written in the nested shape (JSON lines), read back and flattened."""
+    from parley.sources.topics import load_topics, write_topics
+
+    path = _scratch(spark, "topics-json")
+    write_topics(fixtures.topics_nested(fixtures.topics_turns(spark, sf_dir)), path)
+    return load_topics(spark, path, multiline=False).select("topic", "turn", "manual", "automatic")
+
+
+@register("load_qrels")
+def load_qrels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.sources.trec import load_qrels, write_qrels
+
+    path = _scratch(spark, "qrels")
+    write_qrels(fixtures.qrels(spark, sf_dir), path)
+    return load_qrels(spark, path)
+
+
+@register("write_run")
+def write_run_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 lines of the flagship run (tag ``Manual``)."""
+    from parley.sources.trec import format_run
+
+    return format_run(bm25_retrieve(spark, sf_dir), "Manual").select("line")
+
+
+@register("load_run")
+def load_run_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.sources.trec import load_run, write_run
+
+    path = _scratch(spark, "run")
+    write_run(bm25_retrieve(spark, sf_dir), path, "Manual")
+    return load_run(spark, path)
+
+
+# ----------------------------------------------------------------------------- text
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.collection(spark, sf_dir)
+
+
+@register("normalize")
+def normalize_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from parley.functions.text import normalize
+
+    return _raw(spark, sf_dir).select("doc_id", normalize("text").alias("norm"))
+
+
+@register("tokenize")
+def tokenize_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from parley.functions.text import normalize, tokenize
+
+    t = tokenize(normalize("text"))
+    return _raw(spark, sf_dir).select("doc_id", F.size(t).cast("bigint").alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
+
+
+@register("remove_stopwords")
+def remove_stopwords_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from parley.functions.text import normalize, remove_stopwords, tokenize
+
+    t = remove_stopwords(tokenize(normalize("text")))
+    return _raw(spark, sf_dir).select("doc_id", F.size(t).cast("bigint").alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
+
+
+@register("build_conflation")
+def build_conflation_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators.conflation import build_conflation
+    from parley.plans.corpus import vocabulary
+
+    return build_conflation(vocabulary(_raw(spark, sf_dir)))
+
+
+@register("conflate")
+def conflate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 applied to the query side: each benchmark turn's stop-filtered tokens, conflated."""
+    c = corpus_for(spark, sf_dir)
+    return Q.query_text(bench_turns(spark, sf_dir), c.stem_map, ["qid"])
+
+
+@register("preprocess")
+def preprocess_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators.analysis import preprocess
+
+    c = corpus_for(spark, sf_dir)
+    return preprocess(_raw(spark, sf_dir).select("doc_id", "text"), ["doc_id"], "text", c.stem_map)
+
+
+@register("analyze")
+def analyze_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators.analysis import analyze
+
+    c = corpus_for(spark, sf_dir)
+    return analyze(c.collection, ["doc_id"], "data", c.stem_map)
+
+
+# ----------------------------------------------------------------------------- index
+@register("postings")
+def postings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_for(spark, sf_dir).postings.select("doc_id", "term", "tf", "dl")
+
+
+@register("term_vectors")
+def term_vectors_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators.index import term_vectors
+
+    return term_vectors(corpus_for(spark, sf_dir).postings)
+
+
+@register("doc_lengths")
+def doc_lengths_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators.index import doc_lengths
+
+    return doc_lengths(corpus_for(spark, sf_dir).postings)
+
+
+@register("term_stats")
+def term_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    ts = corpus_for(spark, sf_dir).term_stats
+    return ts.select("term", "df", "cf", F.round("idf", 6).alias("idf"))
+
+
+@register("coll_stats")
+def coll_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from parley.operators.index import coll_stats
+
+    s = coll_stats(corpus_for(spark, sf_dir).postings)
+    return s.select("n_docs", "sum_dl", F.round("avgdl", 6).alias("avgdl"), "n_terms")
+
+
+# ----------------------------------------------------------------------------- retrieval
+def topic_turns(spark: SparkSession, sf_dir: str, kind: str = "Manual") -> DataFrame:
+    return Q.turns_for(fixtures.topics_turns(spark, sf_dir), kind)
+
+
+@register("select_utterance")
+def select_utterance_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Q.select_utterance(fixtures.topics_turns(spark, sf_dir), "Automatic")
+    return t.select("topic", "turn", "utterance")
+
+
+@register("make_qid")
+def make_qid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.make_qid(fixtures.topics_turns(spark, sf_dir)).select("qid", "topic", "turn")
+
+
+@register("query_terms")
+def query_terms_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = corpus_for(spark, sf_dir)
+    return Q.query_terms(bench_turns(spark, sf_dir), c.stem_map, ["qid"])
+
+
+@register("match_any")
+def match_any_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 summarised per matching (turn, document): number of query terms matched."""
+    from pyspark.sql import functions as F
+
+    c = corpus_for(spark, sf_dir)
+    qw = Q.query_weights(Q.query_terms(bench_turns(spark, sf_dir), c.stem_map, ["qid"]), c.term_stats)
+    m = Q.match_any(qw, c.postings)
+    return m.groupBy("qid", "doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
+
+
+@register("bm25_score")
+def bm25_score_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    c = corpus_for(spark, sf_dir)
+    qw = Q.query_weights(Q.query_terms(bench_turns(spark, sf_dir), c.stem_map, ["qid"]), c.term_stats)
+    s = Q.bm25_score(Q.match_any(qw, c.postings), ["qid"], c.avgdl)
+    return s.select("qid", "doc_id", F.round("score", 4).alias("score"))
+
+
+TOP_K_REPORT = 100
+
+
+@register("top_k")
+def top_k_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 on its own: top 100 of every turn's BM25 scores (no empty-query rows)."""
+    c = corpus_for(spark, sf_dir)
+    qw = Q.query_weights(Q.query_terms(bench_turns(spark, sf_dir), c.stem_map, ["qid"]), c.term_stats)
+    s = Q.bm25_score(Q.match_any(qw, c.postings), ["qid"], c.avgdl)
+    return Q.top_k(s, ["qid"], TOP_K_REPORT).select("qid", "doc_id", "score", "rank")
+
+
+@register("empty_query_fallback")
+def empty_query_fallback_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 over every user turn of every conversation."""
+    from parley.operators.analysis import stem_rows
+
+    c = corpus_for(spark, sf_dir)
+    t = topic_turns(spark, sf_dir)
+    rows = stem_rows(t, ["qid"], "utterance", c.stem_map)
+    return Q.empty_query_fallback(t, rows, c.collection, ["qid"], BM25_DEPTH)
+
+
+@register("bm25_topics")
+def bm25_topics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 over every user turn of every conversation (manual utterances), top 500."""
+    return Q.bm25_retrieve(topic_turns(spark, sf_dir), corpus_for(spark, sf_dir), BM25_DEPTH)
+
+
+@register("fetch_documents")
+def fetch_documents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = corpus_for(spark, sf_dir)
+    f = Q.fetch_documents(bm25_retrieve(spark, sf_dir), c.collection, ("data", "n_tokens"))
+    return f.select("qid", "doc_id", "rank", "n_tokens", "data")
