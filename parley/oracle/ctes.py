@@ -231,3 +231,44 @@ FROM (
 ) n ON s.qid = n.qid
 WHERE s.shared * 10 >= n.nq * 3
 """, True)
+
+
+# ---------------------------------------------------------------- evaluation
+def eval_ctes(prefix: str, run: str) -> str:
+    """``{prefix}_pq(qid, r_1000, map_1000, mrr_1000, ndcg_1000, ndcg_3)`` per judged query."""
+    name = f"{prefix}_pq"
+    if name in _CTES:
+        return name
+    cte("judged", ("qrels",), """
+SELECT qid, sum(CASE WHEN rel >= 2 THEN 1 ELSE 0 END) AS n_rel,
+       sum(CASE WHEN i <= 1000 THEN CAST(greatest(rel, 0) AS DOUBLE) / log2(CAST(i AS DOUBLE) + 1.0::DOUBLE) ELSE 0.0::DOUBLE END) AS idcg_deep,
+       sum(CASE WHEN i <= 3 THEN CAST(greatest(rel, 0) AS DOUBLE) / log2(CAST(i AS DOUBLE) + 1.0::DOUBLE) ELSE 0.0::DOUBLE END) AS idcg_shallow
+FROM (SELECT qid, doc_id, rel, row_number() OVER (PARTITION BY qid ORDER BY rel DESC) AS i FROM qrels)
+GROUP BY qid
+""", True)
+    cte(f"{prefix}_rs", (run, "qrels"), f"""
+SELECT qid, sum(hit) AS n_hit,
+       sum(CASE WHEN hit = 1 THEN CAST(cum AS DOUBLE) / r ELSE 0.0::DOUBLE END) AS ap_num,
+       max(CASE WHEN hit = 1 THEN 1.0::DOUBLE / r ELSE 0.0::DOUBLE END) AS rr,
+       sum(g) AS dcg_deep, sum(CASE WHEN r <= 3 THEN g ELSE 0.0::DOUBLE END) AS dcg_shallow
+FROM (
+  SELECT *, sum(hit) OVER (PARTITION BY qid ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+         CAST(greatest(coalesce(rel, 0), 0) AS DOUBLE) / log2(CAST(r AS DOUBLE) + 1.0::DOUBLE) AS g
+  FROM (
+    SELECT x.qid, x.doc_id, x.r, q.rel, CASE WHEN q.rel >= 2 THEN 1 ELSE 0 END AS hit
+    FROM (SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id DESC) AS r FROM {run}) x
+    LEFT JOIN qrels q ON x.qid = q.qid AND x.doc_id = q.doc_id
+    WHERE x.r <= 1000
+  )
+) GROUP BY qid
+""", True)
+    cte(name, ("judged", f"{prefix}_rs"), f"""
+SELECT j.qid,
+  CASE WHEN j.n_rel > 0 THEN CAST(coalesce(s.n_hit, 0) AS DOUBLE) / j.n_rel ELSE 0.0::DOUBLE END AS r_1000,
+  CASE WHEN j.n_rel > 0 THEN coalesce(s.ap_num, 0.0::DOUBLE) / j.n_rel ELSE 0.0::DOUBLE END AS map_1000,
+  coalesce(s.rr, 0.0::DOUBLE) AS mrr_1000,
+  CASE WHEN j.idcg_deep > 0 THEN coalesce(s.dcg_deep, 0.0::DOUBLE) / j.idcg_deep ELSE 0.0::DOUBLE END AS ndcg_1000,
+  CASE WHEN j.idcg_shallow > 0 THEN coalesce(s.dcg_shallow, 0.0::DOUBLE) / j.idcg_shallow ELSE 0.0::DOUBLE END AS ndcg_3
+FROM judged j LEFT JOIN {prefix}_rs s ON j.qid = s.qid
+""", True)
+    return name

@@ -88,3 +88,20 @@ oracle("bm25_topics", query(f"SELECT qid, doc_id, score, rank FROM {_cbm}", _cbm
 oracle("fetch_documents", query(
     f"SELECT b.qid, b.doc_id, b.rank, CAST(CASE WHEN c.data = '' THEN 0 ELSE len(string_split(c.data, ' ')) END AS BIGINT) AS n_tokens, c.data "
     f"FROM {_bm} b JOIN cindex c ON b.doc_id = c.doc_id", _bm, "cindex"))
+
+# ----------------------------------------------------------------------------- evaluation
+from parley.oracle.ctes import eval_ctes  # noqa: E402
+
+_pq = eval_ctes("ev_bm", _bm)
+for _key, _col in (("eval_recall", "r_1000"), ("eval_map", "map_1000"), ("eval_mrr", "mrr_1000"),
+                   ("eval_ndcg_1000", "ndcg_1000"), ("eval_ndcg_3", "ndcg_3")):
+    oracle(_key, query(f"SELECT qid, round({_col}, 6) AS {_col} FROM {_pq}", _pq))
+_M = ("r_1000", "map_1000", "mrr_1000", "ndcg_1000", "ndcg_3")
+oracle("evaluate", query(
+    "SELECT count(*) AS n_queries, " + ", ".join(f"round(avg({m}), 6) AS {m}" for m in _M) + f" FROM {_pq}", _pq))
+oracle("evaluate_by_turn", query(
+    f"SELECT turn, count(*) AS n_queries, round(avg(ndcg_3), 6) AS ndcg_3 FROM "
+    f"(SELECT CAST(split_part(qid, '_', 2) AS BIGINT) AS turn, ndcg_3 FROM {_pq}) WHERE turn <= 10 GROUP BY turn", _pq))
+oracle("evaluate_by_topic", query(
+    f"SELECT topic, count(*) AS n_queries, round(avg(ndcg_3), 6) AS ndcg_3 FROM "
+    f"(SELECT CAST(split_part(qid, '_', 1) AS BIGINT) AS topic, ndcg_3 FROM {_pq}) GROUP BY topic", _pq))

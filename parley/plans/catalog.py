@@ -310,3 +310,64 @@ def fetch_documents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = corpus_for(spark, sf_dir)
     f = Q.fetch_documents(bm25_retrieve(spark, sf_dir), c.collection, ("data", "n_tokens"))
     return f.select("qid", "doc_id", "rank", "n_tokens", "data")
+
+
+# ----------------------------------------------------------------------------- evaluation
+def _eval_inputs(spark: SparkSession, sf_dir: str):
+    return bm25_retrieve(spark, sf_dir), fixtures.qrels(spark, sf_dir)
+
+
+@register("eval_recall")
+def eval_recall_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import evaluation as E
+
+    return E.recall(*_eval_inputs(spark, sf_dir))
+
+
+@register("eval_map")
+def eval_map_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import evaluation as E
+
+    return E.average_precision(*_eval_inputs(spark, sf_dir))
+
+
+@register("eval_mrr")
+def eval_mrr_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import evaluation as E
+
+    return E.reciprocal_rank(*_eval_inputs(spark, sf_dir))
+
+
+@register("eval_ndcg_1000")
+def eval_ndcg_1000_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import evaluation as E
+
+    return E.ndcg(*_eval_inputs(spark, sf_dir), k=1000)
+
+
+@register("eval_ndcg_3")
+def eval_ndcg_3_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import evaluation as E
+
+    return E.ndcg(*_eval_inputs(spark, sf_dir), k=3)
+
+
+@register("evaluate")
+def evaluate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import evaluation as E
+
+    return E.evaluate(*_eval_inputs(spark, sf_dir))
+
+
+@register("evaluate_by_turn")
+def evaluate_by_turn_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import evaluation as E
+
+    return E.evaluate_by_turn(*_eval_inputs(spark, sf_dir))
+
+
+@register("evaluate_by_topic")
+def evaluate_by_topic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import evaluation as E
+
+    return E.evaluate_by_topic(*_eval_inputs(spark, sf_dir))
