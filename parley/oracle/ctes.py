@@ -272,3 +272,154 @@ SELECT j.qid,
 FROM judged j LEFT JOIN {prefix}_rs s ON j.qid = s.qid
 """, True)
     return name
+
+
+# ---------------------------------------------------------------- re-ranking
+cte("nall", ("cindex",), "SELECT count(*) AS n_all FROM cindex")
+_IDF0 = "ln(1.0::DOUBLE + (CAST(n.n_all AS DOUBLE) - 0.0::DOUBLE + 0.5::DOUBLE) / (0.0::DOUBLE + 0.5::DOUBLE))"
+cte("xidf", ("xstats", "nall"), """
+SELECT x.term, ln(1.0::DOUBLE + (CAST(n.n_all AS DOUBLE) - x.df + 0.5::DOUBLE) / (x.df + 0.5::DOUBLE)) AS idf
+FROM xstats x, nall n
+""", True)
+cte("idf0", ("nall",), f"SELECT {_IDF0} AS idf0 FROM nall n")
+
+
+def _slot_sql(t: str) -> str:
+    return f"CAST(CAST(('0x' || substr(md5({t}), 1, 8)) AS BIGINT) % 256 AS INTEGER)"
+
+
+def _sign_sql(t: str) -> str:
+    return f"CASE WHEN CAST(('0x' || substr(md5({t}), 9, 1)) AS INTEGER) % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END"
+
+
+def vec_ctes(name: str, src: str, key: str, text: str) -> None:
+    """``name(key, slot, v)``: hashed, L2-normalised encoder weights of ``src.text``."""
+    cte(f"{name}_w", (src, "xidf", "idf0"), f"""
+SELECT {key}, slot, sum(w) AS w FROM (
+  SELECT t.{key}, {_slot_sql('t.term')} AS slot,
+         (1.0::DOUBLE + ln(CAST(t.tf AS DOUBLE))) * coalesce(i.idf, z.idf0) * {_sign_sql('t.term')} AS w
+  FROM (SELECT {key}, term, count(*) AS tf FROM (SELECT {key}, unnest(string_split({text}, ' ')) AS term FROM {src})
+        WHERE term <> '' GROUP BY {key}, term) t
+  LEFT JOIN xidf i ON t.term = i.term, idf0 z
+) GROUP BY {key}, slot
+""", True)
+    cte(name, (f"{name}_w",), f"""
+SELECT w.{key}, w.slot, CASE WHEN n.norm > 0 THEN w.w / n.norm ELSE 0.0::DOUBLE END AS v
+FROM {name}_w w JOIN (SELECT {key}, sqrt(sum(w * w)) AS norm FROM {name}_w GROUP BY {key}) n ON w.{key} = n.{key}
+""", True)
+
+
+vec_ctes("dvec", "cindex", "doc_id", "data")
+
+
+def dot_cte(prefix: str, pairs: str) -> str:
+    """``{pairs}_dot(qid, doc_id, base_score, base_rank, score)``: bi-encoder scores of a candidate list."""
+    name = f"{pairs}_dot"
+    if name in _CTES:
+        return name
+    if f"{prefix}_qvec" not in _CTES:
+        vec_ctes(f"{prefix}_qvec", f"{prefix}_text", "qid", "query_text")
+    cte(name, (pairs, f"{prefix}_qvec", "dvec"), f"""
+SELECT p.qid, p.doc_id, p.score AS base_score, p.rank AS base_rank, round(coalesce(d.s, 0.0::DOUBLE), 4) + 0.0::DOUBLE AS score
+FROM {pairs} p LEFT JOIN (
+  SELECT p.qid, p.doc_id, sum(q.v * d.v) AS s
+  FROM {pairs} p JOIN {prefix}_qvec q ON p.qid = q.qid JOIN dvec d ON d.doc_id = p.doc_id AND d.slot = q.slot
+  GROUP BY p.qid, p.doc_id
+) d ON p.qid = d.qid AND p.doc_id = d.doc_id
+""", True)
+    return name
+
+
+def feature_ctes(prefix: str, pairs: str) -> str:
+    """``{pairs}_feat``: the pair scorer's features over a candidate list."""
+    name = f"{pairs}_feat"
+    if name in _CTES:
+        return name
+    dots = dot_cte(prefix, pairs)
+    cte(f"{prefix}_qtok", (f"{prefix}_text",), f"""
+SELECT qid, pos, term FROM (
+  SELECT qid, unnest(arr) AS term, generate_subscripts(arr, 1) AS pos FROM (SELECT qid, string_split(query_text, ' ') AS arr FROM {prefix}_text)
+) WHERE term <> ''
+""", True)
+    cte(f"{prefix}_qd", (f"{prefix}_qtok", "xidf", "idf0"), f"""
+SELECT q.qid, q.term, coalesce(i.idf, z.idf0) AS idf FROM (SELECT DISTINCT qid, term FROM {prefix}_qtok) q
+LEFT JOIN xidf i ON q.term = i.term, idf0 z
+""", True)
+    cte(f"{prefix}_qb", (f"{prefix}_qtok",), f"""
+SELECT DISTINCT qid, a, b FROM (SELECT qid, term AS a, lead(term) OVER (PARTITION BY qid ORDER BY pos) AS b FROM {prefix}_qtok)
+WHERE b IS NOT NULL
+""", True)
+    cte(f"{prefix}_qn", (f"{prefix}_text", f"{prefix}_qtok", f"{prefix}_qd"), f"""
+SELECT t.qid, coalesce(a.nq, 0) AS nq, coalesce(b.nd, 0) AS nq_distinct, coalesce(b.it, 0.0::DOUBLE) AS idf_total,
+       greatest(512 - coalesce(a.nq, 0) - 3, 0) AS budget
+FROM {prefix}_text t
+LEFT JOIN (SELECT qid, count(*) AS nq FROM {prefix}_qtok GROUP BY qid) a ON t.qid = a.qid
+LEFT JOIN (SELECT qid, count(*) AS nd, sum(idf) AS it FROM {prefix}_qd GROUP BY qid) b ON t.qid = b.qid
+""", True)
+    cte(f"{pairs}_hits", (pairs, f"{prefix}_qn", f"{prefix}_qd", "dtok"), f"""
+SELECT p.qid, p.doc_id, d.pos, d.term, q.idf
+FROM {pairs} p JOIN {prefix}_qn n ON p.qid = n.qid JOIN {prefix}_qd q ON q.qid = p.qid
+JOIN dtok d ON d.doc_id = p.doc_id AND d.term = q.term
+WHERE d.pos <= n.budget
+""", True)
+    cte(name, (pairs, f"{prefix}_qn", f"{pairs}_hits", f"{prefix}_qb", dots, "cindex"), f"""
+SELECT p.qid, p.doc_id, p.score AS bm25, p.rank AS base_rank,
+  CASE WHEN n.nq_distinct > 0 THEN CAST(coalesce(c.n_found, 0) AS DOUBLE) / n.nq_distinct ELSE 0.0::DOUBLE END AS coverage,
+  CASE WHEN n.idf_total > 0 THEN coalesce(c.idf_found, 0.0::DOUBLE) / n.idf_total ELSE 0.0::DOUBLE END AS idf_coverage,
+  CAST(coalesce(g.bigrams, 0) AS BIGINT) AS bigrams,
+  ln(1.0::DOUBLE + CAST(least(CASE WHEN x.data = '' THEN 0 ELSE len(string_split(x.data, ' ')) END, n.budget) AS DOUBLE)) AS log_len,
+  coalesce(o.score, 0.0::DOUBLE) AS dot
+FROM {pairs} p JOIN {prefix}_qn n ON p.qid = n.qid
+LEFT JOIN (SELECT qid, doc_id, count(*) AS n_found, sum(idf) AS idf_found
+           FROM (SELECT DISTINCT qid, doc_id, term, idf FROM {pairs}_hits) GROUP BY qid, doc_id) c
+  ON p.qid = c.qid AND p.doc_id = c.doc_id
+LEFT JOIN (SELECT qid, doc_id, count(*) AS bigrams FROM (
+             SELECT DISTINCT h.qid, h.doc_id, h.a, h.b FROM (
+               SELECT qid, doc_id, term AS a, lead(term) OVER w AS b, lead(pos) OVER w - pos AS gap
+               FROM {pairs}_hits WINDOW w AS (PARTITION BY qid, doc_id ORDER BY pos)
+             ) h JOIN {prefix}_qb qb ON qb.qid = h.qid AND qb.a = h.a AND qb.b = h.b
+             WHERE h.gap = 1
+           ) GROUP BY qid, doc_id) g ON p.qid = g.qid AND p.doc_id = g.doc_id
+LEFT JOIN {dots} o ON p.qid = o.qid AND p.doc_id = o.doc_id
+LEFT JOIN cindex x ON x.doc_id = p.doc_id
+""", True)
+    return name
+
+
+def pair_score_sql(f: str = "") -> str:
+    return (f"round(0.0::DOUBLE + 0.1::DOUBLE * {f}bm25 + 2.0::DOUBLE * {f}coverage + 3.0::DOUBLE * {f}idf_coverage"
+            f" + 0.25::DOUBLE * CAST({f}bigrams AS DOUBLE) + -0.05::DOUBLE * {f}log_len + 1.0::DOUBLE * {f}dot, 4) + 0.0::DOUBLE")
+
+
+def ql_cte(prefix: str, turns: str, pairs: str) -> str:
+    """``{pairs}_ql(qid, doc_id, base_score, base_rank, score)``: Dirichlet query likelihood."""
+    name = f"{pairs}_ql"
+    if name in _CTES:
+        return name
+    cte(f"{prefix}_qp", (turns, "xstats", "xglob"), f"""
+SELECT q.qid, q.term, q.qtf,
+       2000.0::DOUBLE * (CAST(coalesce(x.cf, 0) AS DOUBLE) + 0.5::DOUBLE) / (CAST(g.c_tokens AS DOUBLE) + 0.5::DOUBLE * (CAST(g.v_terms AS DOUBLE) + 1.0::DOUBLE)) AS mupc
+FROM (SELECT qid, term, count(*) AS qtf FROM (SELECT qid, unnest({tok_array_sql('utterance')}) AS term FROM {turns})
+      WHERE term <> '' GROUP BY qid, term) q
+LEFT JOIN xstats x ON q.term = x.term, xglob g
+""", True)
+    cte(name, (pairs, f"{prefix}_qp", "dtok", "cindex"), f"""
+SELECT p.qid, p.doc_id, p.score AS base_score, p.rank AS base_rank,
+  round(coalesce(f.fg, 0.0::DOUBLE) + coalesce(b.bg, 0.0::DOUBLE)
+        - CAST(coalesce(b.qlen, 0) AS DOUBLE) * log10(CAST(CASE WHEN x.data = '' THEN 0 ELSE len(string_split(x.data, ' ')) END AS DOUBLE) + 2000.0::DOUBLE), 4) AS score
+FROM {pairs} p
+LEFT JOIN (SELECT qid, sum(qtf * log10(mupc)) AS bg, sum(qtf) AS qlen FROM {prefix}_qp GROUP BY qid) b ON p.qid = b.qid
+LEFT JOIN (SELECT p.qid, p.doc_id, sum(q.qtf * log10(1.0::DOUBLE + d.tf / q.mupc)) AS fg
+           FROM {pairs} p JOIN {prefix}_qp q ON p.qid = q.qid
+           JOIN (SELECT doc_id, term, count(*) AS tf FROM dtok GROUP BY doc_id, term) d ON d.doc_id = p.doc_id AND d.term = q.term
+           GROUP BY p.qid, p.doc_id) f ON p.qid = f.qid AND p.doc_id = f.doc_id
+LEFT JOIN cindex x ON x.doc_id = p.doc_id
+""", True)
+    return name
+
+
+def ranked_sql(src: str, k: int | None) -> str:
+    cut = f"WHERE rank <= {k}" if k is not None else ""
+    return f"""SELECT qid, doc_id, score, rank FROM (
+  SELECT qid, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, base_rank ASC) AS rank FROM {src}
+) {cut}"""

@@ -105,3 +105,63 @@ oracle("evaluate_by_turn", query(
 oracle("evaluate_by_topic", query(
     f"SELECT topic, count(*) AS n_queries, round(avg(ndcg_3), 6) AS ndcg_3 FROM "
     f"(SELECT CAST(split_part(qid, '_', 1) AS BIGINT) AS topic, ndcg_3 FROM {_pq}) GROUP BY topic", _pq))
+
+# ----------------------------------------------------------------------------- re-ranking
+from parley.oracle.ctes import dot_cte, feature_ctes, pair_score_sql, ql_cte, ranked_sql  # noqa: E402
+
+_bm_deep = bm25_ctes("qm", "qm", 2500)
+_dot = dot_cte("qm", _bm)
+_feat = feature_ctes("qm", _bm_deep)
+_ql = ql_cte("qm", "qm", _bm)
+oracle("build_pairs", query(
+    f"SELECT b.qid, b.doc_id, b.rank AS base_rank, t.query_text, c.data FROM {_bm} b "
+    "JOIN qm_text t ON b.qid = t.qid JOIN cindex c ON b.doc_id = c.doc_id", _bm, "qm_text", "cindex"))
+oracle("embed", query("SELECT doc_id, CAST(slot AS BIGINT) AS slot, round(v, 6) AS weight FROM dvec WHERE round(v, 6) <> 0", "dvec"))
+oracle("dot_rerank", query(f"SELECT qid, doc_id, score FROM {_dot}", _dot))
+oracle("rank_by_score", query(ranked_sql(_dot, 100), _dot))
+oracle("rerank_same_depth", query(ranked_sql(_dot, 500), _dot))
+_F = ("bm25", "coverage", "idf_coverage", "log_len", "dot")
+oracle("pair_features", query(
+    "SELECT qid, doc_id, bigrams, " + ", ".join(f"round({x}, 6) + 0.0::DOUBLE AS {x}" for x in _F) + f" FROM {_feat}", _feat))
+oracle("pair_rerank", query(f"SELECT qid, doc_id, {pair_score_sql()} AS score FROM {_feat}", _feat))
+_deep_scored = f"(SELECT qid, doc_id, base_rank, {pair_score_sql()} AS score FROM {_feat})"
+oracle("deep_rank", query(ranked_sql(_deep_scored, 500), _feat))
+oracle("query_likelihood", query(f"SELECT qid, doc_id, score FROM {_ql}", _ql))
+oracle("ql_rerank", query(ranked_sql(_ql, None), _ql))
+oracle("rerank_policy", query(
+    f"SELECT *, 'bi_encoder' AS model FROM ({ranked_sql(_dot, 500)}) UNION ALL "
+    f"SELECT *, 'cross_encoder' AS model FROM ({ranked_sql(_deep_scored, 500)})", _dot, _feat))
+
+# ----------------------------------------------------------------------------- compare systems
+from parley.oracle.ctes import cte  # noqa: E402
+
+
+def _system_pq(prefix: str, kind: str) -> list[tuple[str, str, str]]:
+    shallow, deep = bm25_ctes(prefix, prefix, 500), bm25_ctes(prefix, prefix, 2500)
+    d, f, q = dot_cte(prefix, shallow), feature_ctes(prefix, deep), ql_cte(prefix, prefix, shallow)
+    runs = {
+        "bm25": (f"SELECT qid, doc_id, score FROM {shallow}", (shallow,)),
+        "bert_rerank": (ranked_sql(d, 500), (d,)),
+        "bert_deep": (ranked_sql(f"(SELECT qid, doc_id, base_rank, {pair_score_sql()} AS score FROM {f})", 500), (f,)),
+        "t5": (ranked_sql(q, None), (q,)),
+    }
+    out = []
+    for system, (body, deps) in runs.items():
+        name = f"run_{system}_{prefix}"
+        cte(name, deps, body, True)
+        out.append((system, kind, eval_ctes(f"ev_{system}_{prefix}", name)))
+    return out
+
+
+_pqs = _system_pq("qm", "Manual") + _system_pq("qa", "Automatic")
+_union = " UNION ALL ".join(
+    f"SELECT '{s}' AS system, '{k}' AS kind, CAST(split_part(qid, '_', 2) AS BIGINT) AS turn, "
+    f"CAST(split_part(qid, '_', 1) AS BIGINT) AS topic, {', '.join(_M)} FROM {pq}" for s, k, pq in _pqs)
+_avg = ", ".join(f"round(avg({m}), 6) AS {m}" for m in _M)
+oracle("compare_systems", query(f"""
+SELECT system, kind, 'all' AS scope, CAST(NULL AS BIGINT) AS grp, count(*) AS n_queries, {_avg} FROM ({_union}) GROUP BY system, kind
+UNION ALL
+SELECT system, kind, 'turn', turn, count(*), {_avg} FROM ({_union}) WHERE turn <= 10 GROUP BY system, kind, turn
+UNION ALL
+SELECT system, kind, 'topic', topic, count(*), {_avg} FROM ({_union}) GROUP BY system, kind, topic
+""", *[pq for _, _, pq in _pqs]))

@@ -371,3 +371,130 @@ def evaluate_by_topic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parley.operators import evaluation as E
 
     return E.evaluate_by_topic(*_eval_inputs(spark, sf_dir))
+
+
+# ----------------------------------------------------------------------------- re-ranking
+def _pairs(spark: SparkSession, sf_dir: str, depth: int):
+    from parley.operators import rerank as R
+
+    c = corpus_for(spark, sf_dir)
+    turns = bench_turns(spark, sf_dir)
+    bm = bm25_retrieve(spark, sf_dir) if depth == BM25_DEPTH else Q.bm25_retrieve(turns, c, depth)
+    return c, turns, R.candidates(bm, ["qid"]), Q.query_text(turns, c.stem_map, ["qid"])
+
+
+@register("rerank_policy")
+def rerank_policy_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both branches of the depth policy, labelled with the model each picks."""
+    from pyspark.sql import functions as F
+
+    from parley.operators.rerank import rerank_model
+    from parley.plans.pipelines import rerank
+
+    c, turns = corpus_for(spark, sf_dir), bench_turns(spark, sf_dir)
+    out = None
+    for k, kb in ((500, 500), (500, 2500)):
+        r = rerank(turns, c, k, kb).withColumn("model", F.lit(rerank_model(k, kb)))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("build_pairs")
+def build_pairs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import rerank as R
+
+    c, _, pairs, qtext = _pairs(spark, sf_dir, BM25_DEPTH)
+    return R.build_pairs(pairs, qtext, c.collection, ["qid"]).select("qid", "doc_id", "base_rank", "query_text", "data")
+
+
+@register("embed")
+def embed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 built-in encoder over every stored passage, as non-zero (slot, weight) entries."""
+    from pyspark.sql import functions as F
+
+    from parley.operators import rerank as R
+
+    c = corpus_for(spark, sf_dir)
+    v = R.embed(c.collection.select("doc_id", "data"), ["doc_id"], "data", c)
+    e = v.select("doc_id", F.posexplode("vec").alias("slot", "weight"))
+    return e.select("doc_id", F.col("slot").cast("bigint").alias("slot"), F.round("weight", 6).alias("weight")).where(
+        F.col("weight") != 0)
+
+
+@register("dot_rerank")
+def dot_rerank_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import rerank as R
+
+    c, _, pairs, qtext = _pairs(spark, sf_dir, BM25_DEPTH)
+    return R.bi_encoder_scores(pairs, qtext, c, ["qid"]).select("qid", "doc_id", "score")
+
+
+@register("rank_by_score")
+def rank_by_score_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dot scores re-ordered (ties keep the BM25 order), best 100 kept."""
+    from parley.operators import rerank as R
+
+    c, _, pairs, qtext = _pairs(spark, sf_dir, BM25_DEPTH)
+    r = R.rank_by_score(R.bi_encoder_scores(pairs, qtext, c, ["qid"]), ["qid"], TOP_K_REPORT)
+    return r.select("qid", "doc_id", "score", "rank")
+
+
+@register("pair_features")
+def pair_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from parley.operators import rerank as R
+
+    c, _, pairs, qtext = _pairs(spark, sf_dir, DEEP_DEPTH)
+    f = R.pair_features(pairs, qtext, c, ["qid"])
+    return f.select("qid", "doc_id", *[F.round(x, 6).alias(x) if x != "bigrams" else F.col(x) for x in R.FEATURES])
+
+
+@register("pair_rerank")
+def pair_rerank_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import rerank as R
+
+    c, _, pairs, qtext = _pairs(spark, sf_dir, DEEP_DEPTH)
+    return R.pair_rerank(R.pair_features(pairs, qtext, c, ["qid"])).select("qid", "doc_id", "score")
+
+
+@register("query_likelihood")
+def query_likelihood_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import rerank as R
+
+    c, turns, pairs, _ = _pairs(spark, sf_dir, BM25_DEPTH)
+    return R.query_likelihood(pairs, turns, c, ["qid"]).select("qid", "doc_id", "score")
+
+
+@register("deep_rank")
+def deep_rank_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """500 of 2,500 by the pair scorer (manual utterances)."""
+    from parley.plans.pipelines import rerank
+
+    return rerank(bench_turns(spark, sf_dir), corpus_for(spark, sf_dir), 500, DEEP_DEPTH)
+
+
+@register("rerank_same_depth")
+def rerank_same_depth_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """500 of 500 by the bi-encoder dot product (manual utterances)."""
+    from parley.plans.pipelines import rerank
+
+    return rerank(bench_turns(spark, sf_dir), corpus_for(spark, sf_dir), 500, 500)
+
+
+@register("ql_rerank")
+def ql_rerank_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query likelihood over BM25's 500 (manual utterances), all kept."""
+    from parley.plans.pipelines import ql_rerank
+
+    return ql_rerank(bench_turns(spark, sf_dir), corpus_for(spark, sf_dir), BM25_DEPTH)
+
+
+@register("compare_systems")
+def compare_systems_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """{bm25, bert_rerank, bert_deep, t5} x {Manual, Automatic}, overall / per turn / per topic."""
+    from parley.operators.evaluation import evaluate_scoped
+    from parley.plans.pipelines import system_runs
+
+    runs = system_runs(fixtures.queries(spark, sf_dir), corpus_for(spark, sf_dir))
+    return evaluate_scoped(runs, fixtures.qrels(spark, sf_dir), ["system", "kind"])
