@@ -53,10 +53,43 @@ def stem_rows(df: DataFrame, keys: list[str], text_col: str, conflation_map: Dat
     return conflate(token_rows(df, keys, text_col, STOPWORDS), conflation_map)
 
 
+def clean_tokens(text: Column | str, stop: tuple[str, ...] = STOPWORDS) -> Column:
+    """T1–T3 in array form: ordered tokens without stop words (duplicates kept)."""
+    words = list(stop)
+    return F.filter(F.split(F.trim(normalize(text)), " "), lambda t: (t != F.lit("")) & ~t.isin(words))
+
+
+def conflate_arrays(df: DataFrame, keys: list[str], tokens_col: str, conflation_map: DataFrame) -> DataFrame:
+    """Conflate an array-of-tokens column in place, keeping order and duplicates.
+
+    Each row gets a small map of just the changed terms it contains (distinct terms joined
+    to the broadcast conflation map, regrouped by key); ``transform`` then rewrites the
+    array.  Rows are never exploded to one row per token; with ``df`` partitioned by the
+    key (bucketed collection) the regroup and the join back need no exchange.
+    """
+    m = conflation_map.select(F.col("surface").alias("term"), F.col("stem").alias("_stem"))
+    d = df.select(*keys, F.explode(F.array_distinct(tokens_col)).alias("term")).join(m, "term")
+    per = d.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("term", "_stem"))).alias("_m"))
+    j = df.join(per, keys, "left")
+    rewritten = F.transform(tokens_col, lambda t: F.coalesce(F.try_element_at(F.col("_m"), t), t))
+    return j.withColumn(tokens_col, F.when(F.col("_m").isNull(), F.col(tokens_col)).otherwise(rewritten)).drop("_m")
+
+
 def preprocess(df: DataFrame, keys: list[str], text_col: str, conflation_map: DataFrame, out: str = "data") -> DataFrame:
     """T5: ``(*keys, *other columns, out)``: ordered stems joined by a space ('' if none)."""
-    texts = ordered_join(stem_rows(df, keys, text_col, conflation_map), keys, "term", out)
-    return with_empty(df.drop(text_col), texts, keys, out)
+    t = df.withColumn("_tok", clean_tokens(text_col)).drop(text_col)
+    t = conflate_arrays(t, keys, "_tok", conflation_map)
+    return t.withColumn(out, F.array_join("_tok", " ")).drop("_tok")
+
+
+def preprocess_clean(df: DataFrame, keys: list[str], clean_col: str, conflation_map: DataFrame, out: str = "data") -> DataFrame:
+    """T4 (+ join) over an already cleaned text (T1–T3 tokens joined by a space).
+
+    Explode runs over a plain ``split`` of stored text: no regex inside the generator.
+    """
+    t = df.withColumn("_tok", F.array_remove(F.split(F.col(clean_col), " "), "")).drop(clean_col)
+    t = conflate_arrays(t, keys, "_tok", conflation_map)
+    return t.withColumn(out, F.array_join("_tok", " ")).drop("_tok")
 
 
 def analyzed_rows(df: DataFrame, keys: list[str], data_col: str, conflation_map: DataFrame) -> DataFrame:

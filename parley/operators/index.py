@@ -18,13 +18,17 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.analysis import analyzed_rows
+from parley.functions.text import ANALYZER_STOPWORDS
+from parley.operators.analysis import conflate_arrays
 
 
 def build_postings(collection: DataFrame, conflation_map: DataFrame, data_col: str = "data") -> DataFrame:
     """``(doc_id, term, tf, dl)`` from the T6 analysis of the stored text."""
-    rows = analyzed_rows(collection, ["doc_id"], data_col, conflation_map)
-    p = rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = list(ANALYZER_STOPWORDS)
+    toks = collection.select("doc_id", F.filter(F.split(F.col(data_col), " "),
+                                                lambda t: (t != F.lit("")) & ~t.isin(words)).alias("_tok"))
+    toks = conflate_arrays(toks, ["doc_id"], "_tok", conflation_map)
+    p = toks.select("doc_id", F.explode("_tok").alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     return p.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc_id")))
 
 

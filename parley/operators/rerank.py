@@ -88,7 +88,7 @@ def embed(df: DataFrame, keys: list[str], text_col: str, corpus, dim: int = EMBE
     )
     dense = F.transform(
         F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.when(F.col("norm") > 0, F.coalesce(F.element_at(F.col("m"), i), F.lit(0.0)) / F.col("norm")).otherwise(F.lit(0.0)),
+        lambda i: F.when(F.col("norm") > 0, F.coalesce(F.try_element_at(F.col("m"), i + F.lit(0)), F.lit(0.0)) / F.col("norm")).otherwise(F.lit(0.0)),
     )
     return v.select(*keys, dense.alias("vec"))
 

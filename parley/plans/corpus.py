@@ -7,15 +7,17 @@ written table, which survives executor loss), document-keyed tables bucketed by
 
 from __future__ import annotations
 
+import os
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.operators.analysis import n_tokens, preprocess
+from parley.operators.analysis import clean_tokens, n_tokens, preprocess_clean
 from parley.operators.conflation import build_conflation, changed_entries
-from parley.operators.analysis import token_rows
-from parley.functions.text import STOPWORDS
+from parley.functions.text import STOPWORDS, normalize
 from parley.operators.index import build_postings, term_stats, text_stats
 from parley.plans.sizing import bounded_broadcast
 from parley.session import apply_plan_settings, scratch_path
@@ -38,9 +40,25 @@ class Corpus:
     n_all_docs: int
 
 
-def vocabulary(raw: DataFrame) -> DataFrame:
-    """``(term, df)`` of the collection after T1–T3."""
-    toks = token_rows(raw, ["doc_id"], "text", STOPWORDS).select("doc_id", "term").distinct()
+@contextmanager
+def _step(name: str):
+    t = time.time()
+    yield
+    if os.environ.get("PARLEY_TRACE"):
+        print(f"[corpus] {name}: {time.time() - t:.2f}s", flush=True)
+
+
+def vocabulary(raw: DataFrame, clean_col: str | None = None) -> DataFrame:
+    """``(term, df)`` of the collection after T1–T3 (one row per distinct term of a document).
+
+    With ``clean_col`` (stored T1–T3 text, tokens joined by a space) no regex runs here.
+    """
+    if clean_col is None:
+        stop = F.array(*[F.lit(w) for w in (*STOPWORDS, "")])
+        terms = F.array_except(F.split(F.trim(normalize("text")), " "), stop)
+    else:
+        terms = F.array_remove(F.array_distinct(F.split(F.col(clean_col), " ")), "")
+    toks = raw.select(F.explode(terms).alias("term"))
     return toks.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -49,24 +67,33 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
     spark = raw.sparkSession
     apply_plan_settings(spark)
     root = root or scratch_path(spark, "corpus")
-    raw_t = write_bucketed(raw, f"{root}/raw")
-    conf = build_conflation(vocabulary(raw_t))
-    conf.write.mode("overwrite").parquet(f"{root}/conflation")
-    conf = spark.read.parquet(f"{root}/conflation")
-    changed = changed_entries(conf)
-    changed.write.mode("overwrite").parquet(f"{root}/stem_map")
-    stem_map = bounded_broadcast(spark.read.parquet(f"{root}/stem_map"))
-    coll = preprocess(raw_t, ["doc_id"], "text", stem_map).withColumn("n_tokens", n_tokens("data"))
-    coll_t = write_bucketed(coll.select("doc_id", "data", "source", "batch_id", "n_tokens"), f"{root}/collection")
-    post_t = write_bucketed(build_postings(coll_t, stem_map), f"{root}/postings")
-    g = post_t.agg(F.countDistinct("doc_id").alias("n"), F.sum("tf").alias("s")).first()
-    n_docs, sum_dl = int(g["n"] or 0), int(g["s"] or 0)
-    term_stats(post_t, n_docs).write.mode("overwrite").parquet(f"{root}/term_stats")
-    text_stats(coll_t).write.mode("overwrite").parquet(f"{root}/text_stats")
-    ts = spark.read.parquet(f"{root}/term_stats")
-    xs = spark.read.parquet(f"{root}/text_stats")
-    h = xs.agg(F.sum("cf").alias("c"), F.count(F.lit(1)).alias("v")).first()
-    n_all = coll_t.count()
+    with _step("raw"):
+        # T1–T3 once, in a projection; everything downstream splits this plain string
+        clean = raw.select("doc_id", F.array_join(clean_tokens("text"), " ").alias("clean"), "source", "batch_id")
+        raw_t = write_bucketed(clean, f"{root}/raw")
+    with _step("vocabulary"):
+        vocabulary(raw_t, "clean").write.mode("overwrite").parquet(f"{root}/vocabulary")
+    with _step("conflation"):
+        build_conflation(spark.read.parquet(f"{root}/vocabulary")).write.mode("overwrite").parquet(f"{root}/conflation")
+        conf = spark.read.parquet(f"{root}/conflation")
+    with _step("stem_map"):
+        changed_entries(conf).write.mode("overwrite").parquet(f"{root}/stem_map")
+        stem_map = bounded_broadcast(spark.read.parquet(f"{root}/stem_map"))
+    with _step("collection"):
+        coll = preprocess_clean(raw_t, ["doc_id"], "clean", stem_map).withColumn("n_tokens", n_tokens("data"))
+        coll_t = write_bucketed(coll.select("doc_id", "data", "source", "batch_id", "n_tokens"), f"{root}/collection")
+    with _step("postings"):
+        post_t = write_bucketed(build_postings(coll_t, stem_map), f"{root}/postings")
+    with _step("stats"):
+        g = post_t.agg(F.countDistinct("doc_id").alias("n"), F.sum("tf").alias("s")).first()
+        n_docs, sum_dl = int(g["n"] or 0), int(g["s"] or 0)
+        term_stats(post_t, n_docs).write.mode("overwrite").parquet(f"{root}/term_stats")
+    with _step("text_stats"):
+        text_stats(coll_t).write.mode("overwrite").parquet(f"{root}/text_stats")
+        ts = spark.read.parquet(f"{root}/term_stats")
+        xs = spark.read.parquet(f"{root}/text_stats")
+        h = xs.agg(F.sum("cf").alias("c"), F.count(F.lit(1)).alias("v")).first()
+        n_all = coll_t.count()
     return Corpus(
         collection=coll_t,
         conflation=conf,
