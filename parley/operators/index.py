@@ -72,11 +72,59 @@ def coll_stats(postings: DataFrame) -> DataFrame:
     return s.select("n_docs", "sum_dl", (F.col("sum_dl") / F.col("n_docs")).alias("avgdl"), "n_terms")
 
 
-def text_stats(collection: DataFrame, data_col: str = "data") -> DataFrame:
-    """Stored-text token statistics ``(term, df, cf)`` (query likelihood, built-in encoder)."""
-    toks = collection.select("doc_id", F.explode(F.split(F.col(data_col), " ")).alias("term")).where("term <> ''")
-    per_doc = toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+def text_postings(collection: DataFrame, data_col: str = "data") -> DataFrame:
+    """Positional postings of the stored text (T5 tokens): ``(doc_id, term, tf, first_pos)``.
+
+    Serves query likelihood (tf) and the pair scorer (first position within the budget)
+    without re-tokenising candidate passages per query batch.
+    """
+    toks = collection.select("doc_id", F.posexplode(F.split(F.col(data_col), " ")).alias("pos", "term")).where("term <> ''")
+    return toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.min("pos").alias("first_pos"))
+
+
+def text_bigrams(collection: DataFrame, data_col: str = "data") -> DataFrame:
+    """Adjacent token pairs of the stored text: ``(doc_id, a, b, first_pos)`` (position of ``a``)."""
+    t = F.split(F.col(data_col), " ")
+    n = F.size(t) - 1
+    adj = F.zip_with(F.slice(t, F.lit(1), n), F.slice(t, F.lit(2), n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    rows = collection.select("doc_id", F.posexplode(adj).alias("pos", "ab"))
+    return rows.groupBy("doc_id", F.col("ab.a").alias("a"), F.col("ab.b").alias("b")).agg(F.min("pos").alias("first_pos"))
+
+
+def text_stats(postings_text: DataFrame, n_all_docs: int, dim: int = 256) -> DataFrame:
+    """Stored-text term statistics ``(term, df, cf, idf, slot, sign)``.
+
+    ``idf`` uses all stored documents; ``slot``/``sign`` are the hashed-encoder bucket and
+    sign of the term, computed once here instead of per (document, term) at query time.
+    """
+    s = postings_text.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    md5 = F.md5(F.col("term"))
+    return s.select(
+        "term", "df", "cf",
+        bm25_idf(F.col("df"), n_all_docs).alias("idf"),
+        (F.conv(F.substring(md5, 1, 8), 16, 10).cast("bigint") % dim).cast("int").alias("slot"),
+        F.when(F.conv(F.substring(md5, 9, 1), 16, 10).cast("int") % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("sign"),
+    )
+
+
+def doc_vectors(postings_text: DataFrame, stats: DataFrame, dim: int = 256) -> DataFrame:
+    """Built-in encoder over every stored passage: ``(doc_id, vec array<double>[dim])``.
+
+    ``(1 + ln tf) * idf * sign`` summed per hashed slot, L2-normalised; passages without
+    tokens get no row.
+    """
+    w = postings_text.join(stats.select("term", "idf", "slot", "sign"), "term").select(
+        "doc_id", "slot", ((F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf") * F.col("sign")).alias("w"))
+    sw = w.groupBy("doc_id", "slot").agg(F.sum("w").alias("w"))
+    v = sw.groupBy("doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("m"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+    )
+    dense = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)),
+        lambda i: F.when(F.col("norm") > 0, F.coalesce(F.try_element_at(F.col("m"), i + F.lit(0)), F.lit(0.0)) / F.col("norm")).otherwise(F.lit(0.0)),
+    )
+    return v.select("doc_id", dense.alias("vec"))
 
 
 def idf_value(df: int, n_docs: int) -> float:

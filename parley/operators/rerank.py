@@ -62,7 +62,7 @@ def _sign(term: Column) -> Column:
 
 def text_idf(corpus) -> DataFrame:
     """``(term, idf)`` over stored-text tokens (terms absent here get df = 0)."""
-    return corpus.text_stats.select("term", bm25_idf(F.col("df"), corpus.n_all_docs).alias("idf"))
+    return corpus.text_stats.select("term", "idf")
 
 
 def embed(df: DataFrame, keys: list[str], text_col: str, corpus, dim: int = EMBED_DIM,
@@ -110,11 +110,9 @@ def dot_rerank(pairs: DataFrame, query_vecs: DataFrame, doc_vecs: DataFrame, key
 
 
 def bi_encoder_scores(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[str], dim: int = EMBED_DIM) -> DataFrame:
-    """R3 + R4 with the built-in encoder: query text vs stored passage text."""
-    docs = corpus.collection.select("doc_id", "data").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
+    """R3 + R4 with the built-in encoder: query text vs stored passage vector (index side)."""
     qv = embed(query_texts, keys, "query_text", corpus, dim, small_side=True)
-    dv = embed(docs, ["doc_id"], "data", corpus, dim)
-    return dot_rerank(pairs, qv, dv, keys)
+    return dot_rerank(pairs, qv, corpus.doc_vectors, keys)
 
 
 # ----------------------------------------------------------------------------- R5
@@ -145,18 +143,14 @@ def pair_features(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[s
     qd, qb, qn = _query_parts(query_texts, corpus, keys)
     pk = [*keys, "doc_id"]
     p = pairs.join(bounded_broadcast(qn.select(*keys, "budget", "nq_distinct", "idf_total")), keys)
-    # positions of query terms in candidate passages, within the budget
-    docs = corpus.collection.select("doc_id", "data").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    dpos = docs.select("doc_id", F.posexplode(F.split("data", " ")).alias("pos", "term"))
-    want = p.select(*pk, "budget").join(bounded_broadcast(qd.select(*keys, "term", "idf")), keys)
-    hits = want.join(dpos, ["doc_id", "term"]).where(F.col("pos") < F.col("budget"))
-    per_term = hits.groupBy(*pk, "term").agg(F.first("idf").alias("idf"))
-    cov = per_term.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_found"), F.sum("idf").alias("idf_found"))
-    w = Window.partitionBy(*pk).orderBy("pos")
-    adj = hits.select(*pk, F.col("term").alias("a"), F.lead("term").over(w).alias("b"),
-                      (F.lead("pos").over(w) - F.col("pos")).alias("gap"))
-    adj = adj.where(F.col("gap") == 1).select(*pk, "a", "b").distinct()
-    big = adj.join(qb, [*keys, "a", "b"], "left_semi").groupBy(*pk).agg(F.count(F.lit(1)).alias("bigrams"))
+    # query terms found in candidate passages within the budget, from the positional index:
+    # the index side meets the (broadcast) query terms first, then the candidate pairs
+    occ = corpus.text_postings.join(bounded_broadcast(qd.select(*keys, "term", "idf")), "term")
+    found = occ.join(p.select(*pk, "budget"), pk).where(F.col("first_pos") < F.col("budget"))
+    cov = found.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_found"), F.sum("idf").alias("idf_found"))
+    bocc = corpus.text_bigrams.join(bounded_broadcast(qb), ["a", "b"])
+    bfound = bocc.join(p.select(*pk, "budget"), pk).where(F.col("first_pos") + 1 < F.col("budget"))
+    big = bfound.groupBy(*pk).agg(F.count(F.lit(1)).alias("bigrams"))
     dots = bi_encoder_scores(pairs, query_texts, corpus, keys, dim).select(*pk, F.col("score").alias("dot"))
     lens = corpus.collection.select("doc_id", "n_tokens")
     f = (
@@ -205,12 +199,10 @@ def query_likelihood(pairs: DataFrame, turns: DataFrame, corpus, keys: list[str]
         "mupc", F.lit(mu) * (F.coalesce(F.col("cf"), F.lit(0)).cast("double") + F.lit(0.5)) / F.lit(denom))
     qsum = qp.groupBy(*keys).agg(
         F.sum(F.col("qtf") * F.log10("mupc")).alias("background"), F.sum("qtf").alias("qlen"))
-    docs = corpus.collection.select("doc_id", "data").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    dtf = docs.select("doc_id", F.explode(F.split("data", " ")).alias("term")).where("term <> ''").groupBy(
-        "doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     pk = [*keys, "doc_id"]
-    want = pairs.select(*pk).join(bounded_broadcast(qp.select(*keys, "term", "qtf", "mupc")), keys)
-    fg = want.join(dtf, ["doc_id", "term"]).groupBy(*pk).agg(
+    occ = corpus.text_postings.select("doc_id", "term", "tf").join(
+        bounded_broadcast(qp.select(*keys, "term", "qtf", "mupc")), "term")
+    fg = occ.join(pairs.select(*pk), pk).groupBy(*pk).agg(
         F.sum(F.col("qtf") * F.log10(F.lit(1.0) + F.col("tf") / F.col("mupc"))).alias("foreground"))
     lens = corpus.collection.select("doc_id", "n_tokens")
     j = pairs.join(bounded_broadcast(qsum), keys, "left").join(fg, pk, "left").join(lens, "doc_id", "left")

@@ -379,8 +379,10 @@ def _pairs(spark: SparkSession, sf_dir: str, depth: int):
 
     c = corpus_for(spark, sf_dir)
     turns = bench_turns(spark, sf_dir)
+    from parley.plans.sizing import materialize
+
     bm = bm25_retrieve(spark, sf_dir) if depth == BM25_DEPTH else Q.bm25_retrieve(turns, c, depth)
-    return c, turns, R.candidates(bm, ["qid"]), Q.query_text(turns, c.stem_map, ["qid"])
+    return c, turns, materialize(R.candidates(bm, ["qid"])), materialize(Q.query_text(turns, c.stem_map, ["qid"]))
 
 
 @register("rerank_policy")
@@ -415,8 +417,7 @@ def embed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parley.operators import rerank as R
 
     c = corpus_for(spark, sf_dir)
-    v = R.embed(c.collection.select("doc_id", "data"), ["doc_id"], "data", c)
-    e = v.select("doc_id", F.posexplode("vec").alias("slot", "weight"))
+    e = c.doc_vectors.select("doc_id", F.posexplode("vec").alias("slot", "weight"))
     return e.select("doc_id", F.col("slot").cast("bigint").alias("slot"), F.round("weight", 6).alias("weight")).where(
         F.col("weight") != 0)
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from parley.operators.analysis import clean_tokens, n_tokens, preprocess_clean
 from parley.operators.conflation import build_conflation, changed_entries
 from parley.functions.text import STOPWORDS, normalize
-from parley.operators.index import build_postings, term_stats, text_stats
+from parley.operators.index import build_postings, doc_vectors, term_stats, text_bigrams, text_postings, text_stats
 from parley.plans.sizing import bounded_broadcast
 from parley.session import apply_plan_settings, scratch_path
 from parley.sources.collection import write_bucketed
@@ -31,7 +31,10 @@ class Corpus:
     stem_map: DataFrame  # changed entries of ``conflation``, broadcast when small
     postings: DataFrame  # doc_id, term, tf, dl  (bucketed by doc_id)
     term_stats: DataFrame  # term, df, cf, idf
-    text_stats: DataFrame  # term, df, cf over stored-text tokens
+    text_stats: DataFrame  # term, df, cf, idf, slot, sign over stored-text tokens
+    text_postings: DataFrame  # doc_id, term, tf, first_pos  (bucketed by doc_id)
+    text_bigrams: DataFrame  # doc_id, a, b, first_pos  (bucketed by doc_id)
+    doc_vectors: DataFrame  # doc_id, vec  (bucketed by doc_id)
     n_docs: int
     sum_dl: int
     avgdl: float
@@ -88,12 +91,16 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
         g = post_t.agg(F.countDistinct("doc_id").alias("n"), F.sum("tf").alias("s")).first()
         n_docs, sum_dl = int(g["n"] or 0), int(g["s"] or 0)
         term_stats(post_t, n_docs).write.mode("overwrite").parquet(f"{root}/term_stats")
-    with _step("text_stats"):
-        text_stats(coll_t).write.mode("overwrite").parquet(f"{root}/text_stats")
+    with _step("text_index"):
+        n_all = coll_t.count()
+        tp_t = write_bucketed(text_postings(coll_t), f"{root}/text_postings")
+        tb_t = write_bucketed(text_bigrams(coll_t), f"{root}/text_bigrams")
+        text_stats(tp_t, n_all).write.mode("overwrite").parquet(f"{root}/text_stats")
         ts = spark.read.parquet(f"{root}/term_stats")
         xs = spark.read.parquet(f"{root}/text_stats")
         h = xs.agg(F.sum("cf").alias("c"), F.count(F.lit(1)).alias("v")).first()
-        n_all = coll_t.count()
+    with _step("doc_vectors"):
+        dv_t = write_bucketed(doc_vectors(tp_t, xs), f"{root}/doc_vectors")
     return Corpus(
         collection=coll_t,
         conflation=conf,
@@ -101,6 +108,9 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
         postings=post_t,
         term_stats=ts,
         text_stats=xs,
+        text_postings=tp_t,
+        text_bigrams=tb_t,
+        doc_vectors=dv_t,
         n_docs=n_docs,
         sum_dl=sum_dl,
         avgdl=(sum_dl / n_docs) if n_docs else 0.0,

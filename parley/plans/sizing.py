@@ -22,3 +22,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     # count() of at most limit+1 rows: stops early on a huge side
     n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+
+    Used for intermediate tables read by several branches of one plan (a candidate list
+    feeding four scorers); survives executor loss, unlike a local checkpoint.
+    """
+    from parley.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
