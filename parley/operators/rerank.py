@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -230,7 +231,6 @@ def embed_with(df: DataFrame, text_col: str, encode: Callable[[list[str]], "obje
     ``encode(list_of_texts) -> 2-D array-like``.  With ``factory`` the encoder is built once
     per Python worker and reused for every Arrow batch of the partition.
     """
-    import pandas as pd
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -246,7 +246,6 @@ def pair_scores_with(pairs: DataFrame, score: Callable[[list[str], list[str]], "
                      query_col: str = "query_text", passage_col: str = "data",
                      factory: Callable[[], Callable[[list[str], list[str]], object]] | None = None) -> DataFrame:
     """R5 hook: score (query, passage) pairs with any batch scorer (e.g. a cross-encoder)."""
-    import pandas as pd
 
     schema = T.StructType(pairs.schema.fields + [T.StructField("score", T.DoubleType())])
 
