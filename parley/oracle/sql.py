@@ -165,3 +165,18 @@ SELECT system, kind, 'turn', turn, count(*), {_avg} FROM ({_union}) WHERE turn <
 UNION ALL
 SELECT system, kind, 'topic', topic, count(*), {_avg} FROM ({_union}) GROUP BY system, kind, topic
 """, *[pq for _, _, pq in _pqs]))
+
+# ----------------------------------------------------------------------------- dense vectors
+oracle("embedding_topk", """
+WITH ex AS (
+  SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+), cent AS (
+  SELECT label, i, avg(CAST(x AS DOUBLE)) AS c FROM ex GROUP BY label, i
+), sc AS (
+  SELECT e.vec_id, e.label, round(sum(CAST(e.x AS DOUBLE) * c.c), 4) + 0.0::DOUBLE AS score
+  FROM ex e JOIN cent c ON e.label = c.label AND e.i = c.i GROUP BY e.vec_id, e.label
+)
+SELECT label, vec_id, score, rank FROM (
+  SELECT label, vec_id, score, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id ASC) AS rank FROM sc
+) WHERE rank <= 10
+""")

@@ -499,3 +499,15 @@ def compare_systems_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     runs = system_runs(fixtures.queries(spark, sf_dir), corpus_for(spark, sf_dir))
     return evaluate_scoped(runs, fixtures.qrels(spark, sf_dir), ["system", "kind"])
+
+
+# ----------------------------------------------------------------------------- dense vectors
+EMBEDDING_TOP_K = 10
+
+
+@register("embedding_topk")
+def embedding_topk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 on ``embeddings``: per label, the 10 vectors with the largest dot product with the label centroid."""
+    from parley.operators.dense import group_topk
+
+    return group_topk(fixtures.table(spark, sf_dir, "embeddings"), EMBEDDING_TOP_K)
