@@ -180,3 +180,21 @@ SELECT label, vec_id, score, rank FROM (
   SELECT label, vec_id, score, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id ASC) AS rank FROM sc
 ) WHERE rank <= 10
 """)
+
+# ----------------------------------------------------------------------------- streaming ingest
+oracle("stream_ingest", """
+WITH p AS (
+  SELECT 'MARCO_' || CAST(doc_id AS VARCHAR) AS doc_id, regexp_replace(text, '[\\t\\n\\r]', ' ', 'g') AS text,
+         CAST(doc_id AS VARCHAR) AS raw_id
+  FROM documents WHERE CAST(substr(source, 4) AS INTEGER) < 10
+), allrows AS (
+  SELECT doc_id, text, 'MARCO' AS source, CAST(1 AS BIGINT) AS batch_id FROM p
+  UNION ALL
+  SELECT doc_id, 'updated ' || text, 'MARCO', CAST(2 AS BIGINT) FROM p WHERE raw_id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)
+  UNION ALL
+  SELECT 'MARCO_B' || CAST(item_id AS VARCHAR), regexp_replace(text, '[\\t\\n\\r]', ' ', 'g'), 'MARCO', CAST(2 AS BIGINT) FROM benchmark
+)
+SELECT doc_id, text, source, batch_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY batch_id DESC, text DESC) AS rn FROM allrows
+) WHERE rn = 1
+""")

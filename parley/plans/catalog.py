@@ -511,3 +511,28 @@ def embedding_topk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parley.operators.dense import group_topk
 
     return group_topk(fixtures.table(spark, sf_dir, "embeddings"), EMBEDDING_TOP_K)
+
+
+# ----------------------------------------------------------------------------- streaming ingest
+@register("stream_ingest")
+def stream_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages arrive as two files (the passage half; then updates of the labelled ones and
+    new passages from ``benchmark``), each ingested by its own streaming run."""
+    from pyspark.sql import functions as F
+
+    from parley.streaming.ingest import read_ingested, start_ingest
+
+    docs = fixtures.table(spark, sf_dir, "documents")
+    src, table, ckpt = _scratch(spark, "stream-src"), _scratch(spark, "stream-table"), _scratch(spark, "stream-ckpt")
+    first = fixtures.passage_lines(docs)
+    labelled = fixtures.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id")).distinct()
+    updates = first.select(F.split("value", "\t").getItem(0).alias("id"), F.split("value", "\t").getItem(1).alias("t")).join(
+        labelled, "id", "left_semi").select(F.concat_ws("\t", "id", F.concat(F.lit("updated "), F.col("t"))).alias("value"))
+    new = fixtures.table(spark, sf_dir, "benchmark").select(
+        F.concat_ws("\t", F.concat(F.lit("B"), F.col("item_id").cast("string")),
+                    F.regexp_replace("text", r"[\t\n\r]", " ")).alias("value"))
+    for part in (first, updates.unionByName(new)):
+        # a new file lands in the watched folder; one streaming run picks up what is new
+        part.write.mode("append").text(src)
+        start_ingest(spark, src, table, ckpt).awaitTermination()
+    return read_ingested(spark, table)
