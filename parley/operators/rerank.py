@@ -67,11 +67,12 @@ def text_idf(corpus) -> DataFrame:
 
 
 def embed(df: DataFrame, keys: list[str], text_col: str, corpus, dim: int = EMBED_DIM,
-          small_side: bool = False) -> DataFrame:
+          small_side: bool = False, sparse: bool = False) -> DataFrame:
     """R3 built-in encoder: hashed ``(1 + ln tf) * idf`` weights, signed, L2-normalised.
 
     ``(*keys, text) -> (*keys, vec array<double>[dim])``; texts without tokens get no row.
     ``small_side`` broadcasts the text side's term rows (size-checked) against the idf table.
+    ``sparse`` returns only the non-zero slots (``slots``, ``weights``), for short texts.
     """
     toks = df.select(*keys, F.explode(F.split(F.col(text_col), " ")).alias("term")).where("term <> ''")
     tf = toks.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -87,6 +88,11 @@ def embed(df: DataFrame, keys: list[str], text_col: str, corpus, dim: int = EMBE
         F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("m"),
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
     )
+    if sparse:
+        # non-zero slots in ascending order: (slots array<int>, weights array<double>)
+        ent = F.array_sort(F.map_entries("m"))
+        w = F.transform(ent, lambda e: F.when(F.col("norm") > 0, e["value"] / F.col("norm")).otherwise(F.lit(0.0)))
+        return v.select(*keys, F.transform(ent, lambda e: e["key"]).alias("slots"), w.alias("weights"))
     dense = F.transform(
         F.sequence(F.lit(0), F.lit(dim - 1)),
         lambda i: F.when(F.col("norm") > 0, F.coalesce(F.try_element_at(F.col("m"), i + F.lit(0)), F.lit(0.0)) / F.col("norm")).otherwise(F.lit(0.0)),
@@ -102,17 +108,29 @@ def dot(a: Column | str, b: Column | str) -> Column:
 
 
 def dot_rerank(pairs: DataFrame, query_vecs: DataFrame, doc_vecs: DataFrame, keys: list[str]) -> DataFrame:
-    """``score = q . d`` for every pair (0 when either side has no vector)."""
-    q = query_vecs.withColumnRenamed("vec", "qvec")
+    """``score = q . d`` for every pair (0 when either side has no vector).
+
+    The (bucketed) passage vectors stream through broadcast joins with the size-checked
+    pair keys and query vectors, so no vector crosses a shuffle; only (pair, score) rows
+    are joined back to the pairs.
+    """
+    pk = [*keys, "doc_id"]
     d = doc_vecs.select("doc_id", F.col("vec").alias("dvec"))
-    j = pairs.join(bounded_broadcast(q), keys, "left").join(d, "doc_id", "left")
-    s = F.when(F.col("qvec").isNull() | F.col("dvec").isNull(), F.lit(0.0)).otherwise(dot("qvec", "dvec"))
-    return j.select(*[c for c in pairs.columns], F.round(s, SCORE_DIGITS).alias("score"))
+    j = d.join(bounded_broadcast(pairs.select(*pk)), "doc_id")
+    if "slots" in query_vecs.columns:  # sparse query: touch only its non-zero slots
+        j = j.join(bounded_broadcast(query_vecs), keys)
+        prod = F.zip_with("slots", "weights", lambda i, w: w * F.col("dvec")[i])
+        s = j.select(*pk, F.aggregate(prod, F.lit(0.0), lambda acc, v: acc + v).alias("_dot"))
+    else:
+        j = j.join(bounded_broadcast(query_vecs.withColumnRenamed("vec", "qvec")), keys)
+        s = j.select(*pk, dot("qvec", "dvec").alias("_dot"))
+    out = pairs.join(s, pk, "left")
+    return out.select(*pairs.columns, F.round(F.coalesce(F.col("_dot"), F.lit(0.0)), SCORE_DIGITS).alias("score"))
 
 
 def bi_encoder_scores(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[str], dim: int = EMBED_DIM) -> DataFrame:
     """R3 + R4 with the built-in encoder: query text vs stored passage vector (index side)."""
-    qv = embed(query_texts, keys, "query_text", corpus, dim, small_side=True)
+    qv = embed(query_texts, keys, "query_text", corpus, dim, small_side=True, sparse=True)
     return dot_rerank(pairs, qv, corpus.doc_vectors, keys)
 
 
@@ -146,11 +164,14 @@ def pair_features(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[s
     p = pairs.join(bounded_broadcast(qn.select(*keys, "budget", "nq_distinct", "idf_total")), keys)
     # query terms found in candidate passages within the budget, from the positional index:
     # the index side meets the (broadcast) query terms first, then the candidate pairs
+    # index side streams; query terms/bigrams and the pair keys (size-checked) are broadcast,
+    # so the per-pair aggregates run inside the doc_id buckets without an exchange
+    pb = bounded_broadcast(p.select(*pk, "budget"))
     occ = corpus.text_postings.join(bounded_broadcast(qd.select(*keys, "term", "idf")), "term")
-    found = occ.join(p.select(*pk, "budget"), pk).where(F.col("first_pos") < F.col("budget"))
+    found = occ.join(pb, pk).where(F.col("first_pos") < F.col("budget"))
     cov = found.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_found"), F.sum("idf").alias("idf_found"))
     bocc = corpus.text_bigrams.join(bounded_broadcast(qb), ["a", "b"])
-    bfound = bocc.join(p.select(*pk, "budget"), pk).where(F.col("first_pos") + 1 < F.col("budget"))
+    bfound = bocc.join(pb, pk).where(F.col("first_pos") + 1 < F.col("budget"))
     big = bfound.groupBy(*pk).agg(F.count(F.lit(1)).alias("bigrams"))
     dots = bi_encoder_scores(pairs, query_texts, corpus, keys, dim).select(*pk, F.col("score").alias("dot"))
     lens = corpus.collection.select("doc_id", "n_tokens")
@@ -203,7 +224,7 @@ def query_likelihood(pairs: DataFrame, turns: DataFrame, corpus, keys: list[str]
     pk = [*keys, "doc_id"]
     occ = corpus.text_postings.select("doc_id", "term", "tf").join(
         bounded_broadcast(qp.select(*keys, "term", "qtf", "mupc")), "term")
-    fg = occ.join(pairs.select(*pk), pk).groupBy(*pk).agg(
+    fg = occ.join(bounded_broadcast(pairs.select(*pk)), pk).groupBy(*pk).agg(
         F.sum(F.col("qtf") * F.log10(F.lit(1.0) + F.col("tf") / F.col("mupc"))).alias("foreground"))
     lens = corpus.collection.select("doc_id", "n_tokens")
     j = pairs.join(bounded_broadcast(qsum), keys, "left").join(fg, pk, "left").join(lens, "doc_id", "left")
