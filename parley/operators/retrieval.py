@@ -124,7 +124,9 @@ def bm25_retrieve(turns: DataFrame, corpus, k: int, keys: list[str] | None = Non
     qw = query_weights(terms_of_rows(rows, corpus.stem_map, keys), corpus.term_stats)
     scored = top_k(bm25_score(match_any(qw, corpus.postings), keys, corpus.avgdl, k1, b), keys, k)
     ranked = scored.select(*keys, "doc_id", "score", "rank")
-    return ranked.unionByName(empty_query_fallback(turns, rows, corpus.collection, keys, k))
+    # match-all needs the k smallest ids: read the precomputed head unless k goes past it
+    head = corpus.first_ids if k <= getattr(corpus, "first_ids_cap", 0) else corpus.collection
+    return ranked.unionByName(empty_query_fallback(turns, rows, head, keys, k))
 
 
 def fetch_documents(ranking: DataFrame, collection: DataFrame, cols: tuple[str, ...] = ("data",)) -> DataFrame:

@@ -20,10 +20,13 @@ from parley.operators.conflation import build_conflation, changed_entries
 from parley.functions.text import STOPWORDS, normalize
 from parley.operators.index import build_postings, doc_vectors, term_stats, text_bigrams, text_postings, text_stats
 from parley.plans.sizing import bounded_broadcast
-from parley.session import apply_plan_settings, scratch_path
+from parley.session import apply_plan_settings, scratch_path, shuffle_partitions
 from parley.sources.collection import write_bucketed
 
 
+FIRST_IDS = 10_000  # enough for any configured depth; deeper fallbacks read the collection
+
+
 @dataclass
 class Corpus:
     collection: DataFrame  # doc_id, data, source, batch_id, n_tokens   (bucketed by doc_id)
@@ -35,6 +38,8 @@ class Corpus:
     text_postings: DataFrame  # doc_id, term, tf, first_pos  (bucketed by doc_id)
     text_bigrams: DataFrame  # doc_id, a, b, first_pos  (bucketed by doc_id)
     doc_vectors: DataFrame  # doc_id, vec  (bucketed by doc_id)
+    first_ids: DataFrame  # doc_id: the FIRST_IDS smallest ids (what match-all returns first)
+    first_ids_cap: int
     n_docs: int
     sum_dl: int
     avgdl: float
@@ -72,8 +77,10 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
     root = root or scratch_path(spark, "corpus")
     with _step("raw"):
         # T1–T3 once, in a projection; everything downstream splits this plain string
-        clean = raw.select("doc_id", F.array_join(clean_tokens("text"), " ").alias("clean"), "source", "batch_id")
-        raw_t = write_bucketed(clean, f"{root}/raw")
+        n = shuffle_partitions(spark)
+        clean = raw.repartition(n, "doc_id").select(
+            "doc_id", F.array_join(clean_tokens("text"), " ").alias("clean"), "source", "batch_id")
+        raw_t = write_bucketed(clean, f"{root}/raw", buckets=n, prepartitioned=True)
     with _step("vocabulary"):
         vocabulary(raw_t, "clean").write.mode("overwrite").parquet(f"{root}/vocabulary")
     with _step("conflation"):
@@ -99,8 +106,11 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
         ts = spark.read.parquet(f"{root}/term_stats")
         xs = spark.read.parquet(f"{root}/text_stats")
         h = xs.agg(F.sum("cf").alias("c"), F.count(F.lit(1)).alias("v")).first()
+    with _step("first_ids"):
+        coll_t.select("doc_id").orderBy("doc_id").limit(FIRST_IDS).write.mode("overwrite").parquet(f"{root}/first_ids")
+        fi = spark.read.parquet(f"{root}/first_ids")
     with _step("doc_vectors"):
-        dv_t = write_bucketed(doc_vectors(tp_t, xs), f"{root}/doc_vectors")
+        dv_t = write_bucketed(doc_vectors(tp_t, bounded_broadcast(xs)), f"{root}/doc_vectors")
     return Corpus(
         collection=coll_t,
         conflation=conf,
@@ -111,6 +121,8 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
         text_postings=tp_t,
         text_bigrams=tb_t,
         doc_vectors=dv_t,
+        first_ids=fi,
+        first_ids_cap=FIRST_IDS,
         n_docs=n_docs,
         sum_dl=sum_dl,
         avgdl=(sum_dl / n_docs) if n_docs else 0.0,

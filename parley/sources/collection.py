@@ -36,20 +36,23 @@ def upsert_collection(current: DataFrame, batch: DataFrame) -> DataFrame:
     return both.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int | None = None, name: str | None = None) -> DataFrame:
+def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int | None = None, name: str | None = None,
+                   prepartitioned: bool = False) -> DataFrame:
     """Write ``df`` bucketed and sorted by ``key`` under ``path``; return the table.
 
     The returned DataFrame scans with ``HashPartitioning(key)``, so joins and aggregates
     on ``key`` need no exchange of this side.  Falls back to plain Parquet (no bucket
-    metadata) when the session catalog cannot hold tables.
+    metadata) when the session catalog cannot hold tables.  ``prepartitioned`` means ``df``
+    is already ``repartition(buckets, key)``-ed (so work placed after that shuffle runs in
+    ``buckets`` tasks).
     """
     spark = df.sparkSession
     n = buckets or shuffle_partitions(spark)
+    part = df if prepartitioned else df.repartition(n, key)
     name = name or "parley_" + re.sub(r"[^0-9a-zA-Z_]", "_", uuid.uuid4().hex[:16])
     try:
         (
-            df.repartition(n, key)
-            .write.mode("overwrite")
+            part.write.mode("overwrite")
             .bucketBy(n, key)
             .sortBy(key)
             .option("path", path)
@@ -57,7 +60,7 @@ def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int |
         )
         return spark.table(name)
     except Exception:  # catalog without table support: keep the data, lose the bucket map
-        df.repartition(n, key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+        part.sortWithinPartitions(key).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
 
