@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from parley.functions.text import raw_terms
 from parley.operators.index import bm25_idf
-from parley.plans.sizing import bounded_broadcast
+from parley.plans.sizing import bounded_broadcast, lookup_small
 
 # --- fixed values -----------------------------------------------------------------------
 EMBED_DIM = 256  # hashed encoder slots
@@ -78,7 +78,7 @@ def embed(df: DataFrame, keys: list[str], text_col: str, corpus, dim: int = EMBE
     tf = toks.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
     idf = text_idf(corpus)
     if small_side:
-        tw = idf.join(bounded_broadcast(tf), "term", "right")
+        tw = lookup_small(tf, idf, "term")
     else:
         tw = tf.join(idf, "term", "left")
     missing_idf = bm25_idf(F.lit(0), corpus.n_all_docs)
@@ -139,7 +139,7 @@ def _query_parts(query_texts: DataFrame, corpus, keys: list[str]):
     """Query-side tables for the pair scorer (all small): tokens, distinct terms, bigrams, sizes."""
     qt = query_texts.select(*keys, F.posexplode(F.split("query_text", " ")).alias("pos", "term")).where("term <> ''")
     idf = text_idf(corpus)
-    qd = idf.join(bounded_broadcast(qt.select(*keys, "term").distinct()), "term", "right")
+    qd = lookup_small(qt.select(*keys, "term").distinct(), idf, "term")
     qd = qd.withColumn("idf", F.coalesce("idf", bm25_idf(F.lit(0), corpus.n_all_docs)))
     w = Window.partitionBy(*keys).orderBy("pos")
     qb = qt.select(*keys, F.col("term").alias("a"), F.lead("term").over(w).alias("b")).where(F.col("b").isNotNull()).distinct()
@@ -217,7 +217,7 @@ def query_likelihood(pairs: DataFrame, turns: DataFrame, corpus, keys: list[str]
     qt = turns.select(*keys, F.explode(raw_terms(text_col)).alias("term")).groupBy(*keys, "term").agg(
         F.count(F.lit(1)).alias("qtf"))
     cf = corpus.text_stats.select("term", "cf")
-    qp = cf.join(bounded_broadcast(qt), "term", "right").withColumn(
+    qp = lookup_small(qt, cf, "term").withColumn(
         "mupc", F.lit(mu) * (F.coalesce(F.col("cf"), F.lit(0)).cast("double") + F.lit(0.5)) / F.lit(denom))
     qsum = qp.groupBy(*keys).agg(
         F.sum(F.col("qtf") * F.log10("mupc")).alias("background"), F.sum("qtf").alias("qlen"))

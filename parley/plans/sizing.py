@@ -34,3 +34,15 @@ def materialize(df: DataFrame) -> DataFrame:
 
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def lookup_small(small: DataFrame, big: DataFrame, on: str) -> DataFrame:
+    """``small LEFT JOIN big ON on`` without moving ``big``.
+
+    A left join keeps the small side, so a hash join would have to build (broadcast) the
+    big side.  Instead the big table streams through the broadcast distinct keys of the
+    small side (inner match), and the matched rows - at most one per small key for a
+    keyed ``big`` - are joined back onto the small side.
+    """
+    hit = big.join(bounded_broadcast(small.select(on).distinct()), on)
+    return small.join(bounded_broadcast(hit), on, "left")
