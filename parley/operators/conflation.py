@@ -78,11 +78,17 @@ def changed_entries(conflation: DataFrame) -> DataFrame:
 def conflate(tokens: DataFrame, conflation_map: DataFrame, term_col: str = "term") -> DataFrame:
     """Apply a conflation map to a token-rows frame: replaces ``term_col`` by its stem.
 
-    ``conflation_map`` is (a subset of) ``changed_entries``; pass it through
-    :func:`parley.plans.sizing.bounded_broadcast` to keep the token side unshuffled.
+    ``conflation_map`` is (a subset of) ``changed_entries``.  Meant for the small (query)
+    side: the map streams through the broadcast distinct tokens, and the few matching
+    entries are broadcast back.  Whole collections use ``analysis.conflate_arrays``.
     """
-    m = conflation_map.select(F.col("surface").alias("_surface"), F.col("stem").alias("_stem"))
-    j = tokens.join(m, tokens[term_col] == m["_surface"], "left")
+    from parley.plans.sizing import bounded_broadcast
+
+    # only the entries for terms present in ``tokens`` (the map itself is never shuffled)
+    keys = tokens.select(F.col(term_col).alias("_surface")).distinct()
+    m = conflation_map.select(F.col("surface").alias("_surface"), F.col("stem").alias("_stem")).join(
+        bounded_broadcast(keys), "_surface")
+    j = tokens.join(bounded_broadcast(m), tokens[term_col] == m["_surface"], "left")
     return j.select(
         *[F.coalesce(m["_stem"], tokens[c]).alias(c) if c == term_col else tokens[c] for c in tokens.columns]
     )
