@@ -7,8 +7,11 @@ written table, which survives executor loss), document-keyed tables bucketed by
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import time
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -20,8 +23,8 @@ from parley.operators.conflation import build_conflation, changed_entries
 from parley.functions.text import STOPWORDS, normalize
 from parley.operators.index import build_postings, doc_vectors, term_stats, text_bigrams, text_postings, text_stats
 from parley.plans.sizing import bounded_broadcast
-from parley.session import apply_plan_settings, scratch_path, shuffle_partitions
-from parley.sources.collection import write_bucketed
+from parley.session import apply_plan_settings, checkpoint_root, scratch_path, shuffle_partitions
+from parley.sources.collection import register_bucketed, write_bucketed
 
 
 FIRST_IDS = 10_000  # enough for any configured depth; deeper fallbacks read the collection
@@ -70,14 +73,14 @@ def vocabulary(raw: DataFrame, clean_col: str | None = None) -> DataFrame:
     return toks.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
+def build_corpus(raw: DataFrame, root: str | None = None, buckets: int | None = None) -> Corpus:
     """raw ``collection(doc_id, text, source, batch_id)`` -> materialised :class:`Corpus`."""
     spark = raw.sparkSession
     apply_plan_settings(spark)
     root = root or scratch_path(spark, "corpus")
+    n = buckets or shuffle_partitions(spark)
     with _step("raw"):
         # T1–T3 once, in a projection; everything downstream splits this plain string
-        n = shuffle_partitions(spark)
         clean = raw.repartition(n, "doc_id").select(
             "doc_id", F.array_join(clean_tokens("text"), " ").alias("clean"), "source", "batch_id")
         raw_t = write_bucketed(clean, f"{root}/raw", buckets=n, prepartitioned=True)
@@ -91,17 +94,17 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
         stem_map = bounded_broadcast(spark.read.parquet(f"{root}/stem_map"))
     with _step("collection"):
         coll = preprocess_clean(raw_t, ["doc_id"], "clean", stem_map).withColumn("n_tokens", n_tokens("data"))
-        coll_t = write_bucketed(coll.select("doc_id", "data", "source", "batch_id", "n_tokens"), f"{root}/collection")
+        coll_t = write_bucketed(coll.select("doc_id", "data", "source", "batch_id", "n_tokens"), f"{root}/collection", buckets=n)
     with _step("postings"):
-        post_t = write_bucketed(build_postings(coll_t, stem_map), f"{root}/postings")
+        post_t = write_bucketed(build_postings(coll_t, stem_map), f"{root}/postings", buckets=n)
     with _step("stats"):
         g = post_t.agg(F.countDistinct("doc_id").alias("n"), F.sum("tf").alias("s")).first()
         n_docs, sum_dl = int(g["n"] or 0), int(g["s"] or 0)
         term_stats(post_t, n_docs).write.mode("overwrite").parquet(f"{root}/term_stats")
     with _step("text_index"):
         n_all = coll_t.count()
-        tp_t = write_bucketed(text_postings(coll_t), f"{root}/text_postings")
-        tb_t = write_bucketed(text_bigrams(coll_t), f"{root}/text_bigrams")
+        tp_t = write_bucketed(text_postings(coll_t), f"{root}/text_postings", buckets=n)
+        tb_t = write_bucketed(text_bigrams(coll_t), f"{root}/text_bigrams", buckets=n)
         text_stats(tp_t, n_all).write.mode("overwrite").parquet(f"{root}/text_stats")
         ts = spark.read.parquet(f"{root}/term_stats")
         xs = spark.read.parquet(f"{root}/text_stats")
@@ -110,7 +113,7 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
         coll_t.select("doc_id").orderBy("doc_id").limit(FIRST_IDS).write.mode("overwrite").parquet(f"{root}/first_ids")
         fi = spark.read.parquet(f"{root}/first_ids")
     with _step("doc_vectors"):
-        dv_t = write_bucketed(doc_vectors(tp_t, bounded_broadcast(xs)), f"{root}/doc_vectors")
+        dv_t = write_bucketed(doc_vectors(tp_t, bounded_broadcast(xs)), f"{root}/doc_vectors", buckets=n)
     return Corpus(
         collection=coll_t,
         conflation=conf,
@@ -134,14 +137,86 @@ def build_corpus(raw: DataFrame, root: str | None = None) -> Corpus:
 
 _CACHE: dict[tuple[str, str], Corpus] = {}
 
+_BUCKETED = ("collection", "postings", "text_postings", "text_bigrams", "doc_vectors")
+_SCALARS = ("n_docs", "sum_dl", "avgdl", "text_tokens", "text_vocab", "n_all_docs", "first_ids_cap")
+
+
+def _input_key(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the corpus input (path, size and modification time of the documents table)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/documents.parquet")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = []
+    for st in fs.listStatus(p) if fs.isDirectory(p) else [fs.getFileStatus(p)]:
+        parts.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+    return hashlib.sha1(("\n".join(sorted(parts)) + _code_version()).encode()).hexdigest()[:16]
+
+
+def _code_version() -> str:
+    """Hash of the engine sources, so a changed analysis never reuses an older index."""
+    base = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for sub in ("functions", "operators", "plans", "sources"):
+        d = os.path.join(base, sub)
+        for f in sorted(os.listdir(d)):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()
+
+
+def _save_manifest(spark: SparkSession, corpus: Corpus, build_root: str, buckets: int) -> None:
+    meta = {k: getattr(corpus, k) for k in _SCALARS}
+    meta.update(root=build_root, buckets=buckets)
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{build_root}/_manifest")
+
+
+def _load_manifest(spark: SparkSession, cache_root: str) -> Corpus | None:
+    try:
+        rows = spark.read.text(f"{cache_root}/*/_manifest").collect()
+    except Exception:  # nothing built yet
+        return None
+    if not rows:
+        return None
+    meta = json.loads(rows[0]["value"])
+    root, n = meta["root"], int(meta["buckets"])
+    t = {name: register_bucketed(spark, f"{root}/{name}", "doc_id", n) for name in _BUCKETED}
+    apply_plan_settings(spark)
+    return Corpus(
+        collection=t["collection"],
+        conflation=spark.read.parquet(f"{root}/conflation"),
+        stem_map=bounded_broadcast(spark.read.parquet(f"{root}/stem_map")),
+        postings=t["postings"],
+        term_stats=spark.read.parquet(f"{root}/term_stats"),
+        text_stats=spark.read.parquet(f"{root}/text_stats"),
+        text_postings=t["text_postings"],
+        text_bigrams=t["text_bigrams"],
+        doc_vectors=t["doc_vectors"],
+        first_ids=spark.read.parquet(f"{root}/first_ids"),
+        **{k: meta[k] for k in _SCALARS},
+    )
+
 
 def corpus_for(spark: SparkSession, sf_dir: str) -> Corpus:
-    """The corpus of ``sf_dir``'s documents, built once per Spark application."""
+    """The corpus of ``sf_dir``'s documents, built once.
+
+    Within an application it is kept in memory; across applications it is found again
+    under the shared checkpoint folder, keyed by the identity of the input files, and
+    its bucketed tables are re-registered instead of rebuilt.
+    """
     from parley.sources import fixtures
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     c = _CACHE.get(key)
+    if c is not None:
+        return c
+    cache_root = f"{checkpoint_root(spark).rstrip('/')}/parley/corpus-cache/{_input_key(spark, sf_dir)}"
+    c = _load_manifest(spark, cache_root)
     if c is None:
-        c = build_corpus(fixtures.collection(spark, sf_dir))
-        _CACHE[key] = c
+        build_root = f"{cache_root}/build-{uuid.uuid4().hex[:12]}"
+        n = shuffle_partitions(spark)
+        c = build_corpus(fixtures.collection(spark, sf_dir), build_root, n)
+        _save_manifest(spark, c, build_root, n)
+    _CACHE[key] = c
     return c

@@ -51,7 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="parley-ckpt-")
+        # local runs and tests only: a fixed folder, so a rebuilt session finds its corpus
+        d = os.path.join(tempfile.gettempdir(), "parley-checkpoints")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d

@@ -64,6 +64,20 @@ def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int |
         return spark.read.parquet(path)
 
 
+def register_bucketed(spark: SparkSession, path: str, key: str, buckets: int, name: str | None = None) -> DataFrame:
+    """Re-attach a table written by :func:`write_bucketed` (e.g. from another session)."""
+    name = name or "parley_" + uuid.uuid4().hex[:16]
+    try:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        spark.sql(
+            f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+            f"INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        return spark.table(name)
+    except Exception:  # catalog without table support
+        return spark.read.parquet(path)
+
+
 def replace_collection(df: DataFrame, path: str | None = None, buckets: int | None = None) -> DataFrame:
     """Drop whatever is stored at ``path`` and store ``df`` anew (bucketed by doc_id)."""
     path = path or scratch_path(df.sparkSession, "collection")
