@@ -120,8 +120,9 @@ def bm25_retrieve(turns: DataFrame, corpus, k: int, keys: list[str] | None = Non
     ``turns`` carries ``*keys`` and ``utterance``.
     """
     keys = keys or ["qid"]
-    rows = stem_rows(turns, keys, "utterance", corpus.stem_map).cache()  # small query side, read twice
-    qw = query_weights(terms_of_rows(rows, corpus.stem_map, keys), corpus.term_stats)
+    # the query side is small and read several times (size checks, match, empty check)
+    rows = stem_rows(turns, keys, "utterance", corpus.stem_map).cache()
+    qw = query_weights(terms_of_rows(rows, corpus.stem_map, keys).cache(), corpus.term_stats).cache()
     scored = top_k(bm25_score(match_any(qw, corpus.postings), keys, corpus.avgdl, k1, b), keys, k)
     ranked = scored.select(*keys, "doc_id", "score", "rank")
     # match-all needs the k smallest ids: read the precomputed head unless k goes past it
