@@ -16,12 +16,15 @@ from parley.session import env_int
 MAX_BROADCAST_ROWS = env_int("PARLEY_MAX_BROADCAST_ROWS", 2_000_000)
 
 
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (counts at most max_rows + 1 of them)."""
+    limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(limit + 1).count() <= limit
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint on ``df`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    # count() of at most limit+1 rows: stops early on a huge side
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -24,16 +24,31 @@ def union_collections(*collections: DataFrame) -> DataFrame:
     return out
 
 
+def _latest(rows: DataFrame) -> DataFrame:
+    w = Window.partitionBy("doc_id").orderBy(F.col("batch_id").desc(), F.col("text").desc())
+    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
 def upsert_collection(current: DataFrame, batch: DataFrame) -> DataFrame:
     """A document indexed again under the same id replaces the older one.
 
     Latest ``batch_id`` wins; within one batch the larger text wins, so the result does
-    not depend on arrival order.  ``row_number() = 1`` lets Catalyst insert a partial
-    per-partition top-1 (WindowGroupLimit) before the exchange on ``doc_id``.
+    not depend on arrival order.  When the batch's ids fit a broadcast (size-checked),
+    the stored collection is never shuffled: untouched documents pass through an
+    anti-join against the broadcast ids (bucket-local when ``current`` is bucketed by
+    ``doc_id``), and only the touched ids are resolved.  Otherwise everything is resolved
+    together; ``row_number() = 1`` then gets a partial top-1 before the exchange.
     """
-    both = current.unionByName(batch.select(*current.columns))
-    w = Window.partitionBy("doc_id").orderBy(F.col("batch_id").desc(), F.col("text").desc())
-    return both.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    from parley.plans.sizing import fits_broadcast
+
+    batch = batch.select(*current.columns)
+    ids = batch.select("doc_id").distinct()
+    if not fits_broadcast(ids):
+        return _latest(current.unionByName(batch))
+    ids = F.broadcast(ids)
+    untouched = _latest(current.join(ids, "doc_id", "left_anti"))
+    touched = _latest(current.join(ids, "doc_id", "left_semi").unionByName(batch))
+    return untouched.unionByName(touched)
 
 
 def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int | None = None, name: str | None = None,
