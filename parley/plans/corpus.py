@@ -141,15 +141,29 @@ _BUCKETED = ("collection", "postings", "text_postings", "text_bigrams", "doc_vec
 _SCALARS = ("n_docs", "sum_dl", "avgdl", "text_tokens", "text_vocab", "n_all_docs", "first_ids_cap")
 
 
-def _input_key(spark: SparkSession, sf_dir: str) -> str:
-    """Identity of the corpus input (path, size and modification time of the documents table)."""
+def _input_files(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, mtime) of the documents table's files, via the Hadoop file system."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/documents.parquet")
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = []
-    for st in fs.listStatus(p) if fs.isDirectory(p) else [fs.getFileStatus(p)]:
-        parts.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
-    return hashlib.sha1(("\n".join(sorted(parts)) + _code_version()).encode()).hexdigest()[:16]
+    sts = fs.listStatus(p) if fs.isDirectory(p) else [fs.getFileStatus(p)]
+    return [(st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())) for st in sts]
+
+
+def _input_key(files: list[tuple[str, int, int]]) -> str:
+    """Identity of the corpus input (path, size and modification time) and of the code."""
+    parts = sorted(f"{a}|{b}|{c}" for a, b, c in files)
+    return hashlib.sha1(("\n".join(parts) + _code_version()).encode()).hexdigest()[:16]
+
+
+BUCKET_BYTES = 128 * 1024 * 1024
+
+
+def bucket_count(spark: SparkSession, input_bytes: int) -> int:
+    """Buckets for the corpus tables: about one per 128 MB of input text, at least the
+    cluster's parallelism, at most ``spark.sql.shuffle.partitions``."""
+    want = max(spark.sparkContext.defaultParallelism, -(-input_bytes // BUCKET_BYTES))
+    return max(1, min(shuffle_partitions(spark), want))
 
 
 def _code_version() -> str:
@@ -211,11 +225,12 @@ def corpus_for(spark: SparkSession, sf_dir: str) -> Corpus:
     c = _CACHE.get(key)
     if c is not None:
         return c
-    cache_root = f"{checkpoint_root(spark).rstrip('/')}/parley/corpus-cache/{_input_key(spark, sf_dir)}"
+    files = _input_files(spark, sf_dir)
+    cache_root = f"{checkpoint_root(spark).rstrip('/')}/parley/corpus-cache/{_input_key(files)}"
     c = _load_manifest(spark, cache_root)
     if c is None:
         build_root = f"{cache_root}/build-{uuid.uuid4().hex[:12]}"
-        n = shuffle_partitions(spark)
+        n = bucket_count(spark, sum(b for _, b, _ in files))
         c = build_corpus(fixtures.collection(spark, sf_dir), build_root, n)
         _save_manifest(spark, c, build_root, n)
     _CACHE[key] = c
