@@ -13,8 +13,6 @@ postings are stored with the same bucketing so scoring aggregates stay shuffle-f
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,7 +123,3 @@ def doc_vectors(postings_text: DataFrame, stats: DataFrame, dim: int = 256) -> D
         lambda i: F.when(F.col("norm") > 0, F.coalesce(F.try_element_at(F.col("m"), i + F.lit(0)), F.lit(0.0)) / F.col("norm")).otherwise(F.lit(0.0)),
     )
     return v.select("doc_id", dense.alias("vec"))
-
-
-def idf_value(df: int, n_docs: int) -> float:
-    return math.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))

@@ -102,7 +102,3 @@ def replace_collection(df: DataFrame, path: str | None = None, buckets: int | No
 def collection_counts(df: DataFrame) -> DataFrame:
     """Documents per collection (source)."""
     return df.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
-
-
-def read_collection(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

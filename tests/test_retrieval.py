@@ -54,3 +54,24 @@ def test_fetch_documents(spark, small_corpus):
     ranking = spark.createDataFrame([("1_1", "MARCO_1", 1.0, 1)], "qid string, doc_id string, score double, rank long")
     r = Q.fetch_documents(ranking, small_corpus.collection).first()
     assert r["data"].startswith("throat cancer")
+
+
+def test_corpus_reused_from_manifest(spark):
+    from parley.plans import corpus as C
+
+    sf = "/root/testdata/sf0.001"
+    first = C.corpus_for(spark, sf)
+    C._CACHE.clear()  # as a new application would start
+    again = C.corpus_for(spark, sf)
+    assert again is not first
+    assert (again.n_docs, again.sum_dl, again.text_vocab) == (first.n_docs, first.sum_dl, first.text_vocab)
+    assert sorted(tuple(r) for r in again.postings.collect()) == sorted(tuple(r) for r in first.postings.collect())
+
+
+def test_bucket_count_bounds(spark):
+    from parley.plans.corpus import bucket_count
+
+    par = spark.sparkContext.defaultParallelism
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bucket_count(spark, 0) == min(cap, par)
+    assert bucket_count(spark, 10**15) == cap
