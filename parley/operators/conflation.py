@@ -12,6 +12,8 @@ per-row Python.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,20 @@ def build_conflation(vocab: DataFrame, min_df: int = MIN_DF) -> DataFrame:
     )
 
 
+_FITS: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+
+
+def _map_fits(conflation_map: DataFrame) -> bool:
+    """Whether a conflation map fits a broadcast; measured once per map object."""
+    from parley.plans.sizing import fits_broadcast
+
+    try:
+        return _FITS[conflation_map]
+    except KeyError:
+        _FITS[conflation_map] = fits = fits_broadcast(conflation_map)
+        return fits
+
+
 def changed_entries(conflation: DataFrame) -> DataFrame:
     """The part of the table that changes a term (everything else maps to itself)."""
     return conflation.where(F.col("stem") != F.col("surface"))
@@ -84,11 +100,15 @@ def conflate(tokens: DataFrame, conflation_map: DataFrame, term_col: str = "term
     """
     from parley.plans.sizing import bounded_broadcast
 
-    # only the entries for terms present in ``tokens`` (the map itself is never shuffled)
-    keys = tokens.select(F.col(term_col).alias("_surface")).distinct()
-    m = conflation_map.select(F.col("surface").alias("_surface"), F.col("stem").alias("_stem")).join(
-        bounded_broadcast(keys), "_surface")
-    j = tokens.join(bounded_broadcast(m), tokens[term_col] == m["_surface"], "left")
+    m = conflation_map.select(F.col("surface").alias("_surface"), F.col("stem").alias("_stem"))
+    if _map_fits(conflation_map):
+        m = F.broadcast(m)  # size checked once per map
+    else:
+        # a map too large to broadcast is never shuffled: it streams through the
+        # broadcast distinct tokens, and only the matching entries are broadcast back
+        keys = tokens.select(F.col(term_col).alias("_surface")).distinct()
+        m = bounded_broadcast(m.join(bounded_broadcast(keys), "_surface"))
+    j = tokens.join(m, tokens[term_col] == m["_surface"], "left")
     return j.select(
         *[F.coalesce(m["_stem"], tokens[c]).alias(c) if c == term_col else tokens[c] for c in tokens.columns]
     )

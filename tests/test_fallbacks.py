@@ -25,7 +25,12 @@ def _all(spark, corpus):
 def test_shuffle_paths_match_broadcast_paths(spark, small_corpus, monkeypatch):
     expected = _all(spark, small_corpus)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    import weakref
+
+    from parley.operators import conflation
+
     monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(conflation, "_FITS", weakref.WeakKeyDictionary())  # re-measure maps under the new bound
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         got = _all(spark, small_corpus)
