@@ -7,8 +7,8 @@ import __spark_entry__ as E  # noqa: E402
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) <= set(E.oracle_sql()) | {"embedding_topk"} or set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 50
+    assert set(E.queries()) == set(E.oracle_sql())
+    assert len(E.queries()) >= 54
 
 
 def test_entry_smoke(spark):
