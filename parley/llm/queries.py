@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import winnow
+import public_tokenizers as tokenizers
+from parley.llm import bpe, tokenfiles, winnow
 from parley.llm.common import table
+from parley.session import scratch_path
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +20,18 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, with_ids=False)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfiles.write_tokens(
+        table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "llm-tokens"), end_id=2)
+    return tokenfiles.read_tokens(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op8_token_files": op8_token_files,
 }
