@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
-from parley.llm import bpe, tokenfiles, winnow
+from parley.llm import bpe, quality, tokenfiles, winnow
 from parley.llm.common import table
 from parley.session import scratch_path
 
@@ -20,6 +20,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, with_ids=False)
 
@@ -32,6 +37,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_token_files": op8_token_files,
 }
