@@ -29,4 +29,20 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS
 FROM d LEFT JOIN places p USING (rid) LEFT JOIN items t USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op2_benchmark_decontamination": OP2}
+OP7 = """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+windows AS (
+  SELECT rid, i, ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2] AS w
+  FROM (SELECT rid, ls, unnest(range(1, len(ls) - 1)) AS i FROM d WHERE len(ls) >= 3)),
+later AS (SELECT rid, i FROM (SELECT rid, i, row_number() OVER (PARTITION BY w ORDER BY rid, i) AS k FROM windows) WHERE k > 1),
+gone AS (SELECT DISTINCT rid, unnest([i, i + 1, i + 2]) AS p FROM later),
+lines AS (SELECT rid, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p FROM d WHERE text IS NOT NULL),
+left_over AS (
+  SELECT l.rid, string_agg(l.line, chr(10) ORDER BY l.p) AS text FROM lines l ANTI JOIN gone g ON l.rid = g.rid AND l.p = g.p GROUP BY l.rid),
+counts AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid)
+SELECT d.doc_id, CAST(coalesce(len(d.ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_deleted,
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(x.text, '') END AS text
+FROM d LEFT JOIN counts c USING (rid) LEFT JOIN left_over x USING (rid)
+"""
+
+ORACLE: dict[str, str] = {"op2_benchmark_decontamination": OP2, "op7_line_dedup": OP7}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
-from parley.llm import bpe, quality, tokenfiles, winnow
+from parley.llm import bpe, linededup, quality, tokenfiles, winnow
 from parley.llm.common import table
 from parley.session import scratch_path
 
@@ -29,6 +29,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, with_ids=False)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokenfiles.write_tokens(
         table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "llm-tokens"), end_id=2)
@@ -39,5 +43,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
 }
