@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
-from parley.llm import bpe, linededup, quality, tokenfiles, winnow
+from parley.llm import bpe, linededup, quality, sharding, tokenfiles, winnow
 from parley.llm.common import table
 from parley.session import scratch_path
 
@@ -39,10 +39,15 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
+    "op9_minimax_sharding": op9_minimax_sharding,
 }
