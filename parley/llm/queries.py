@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
-from parley.llm import bpe, linededup, quality, sharding, tokenfiles, winnow
+from parley.llm import bpe, linededup, orderminhash, quality, sharding, tokenfiles, winnow
 from parley.llm.common import table
 from parley.session import scratch_path
 
@@ -29,6 +29,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, with_ids=False)
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("__t", "__u")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_order_minhash": op6_order_minhash,
     "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
     "op9_minimax_sharding": op9_minimax_sharding,
