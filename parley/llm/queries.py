@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
-from parley.llm import bpe, linededup, orderminhash, quality, sharding, tokenfiles, winnow
+from parley.llm import bpe, chunks, linededup, orderminhash, quality, sharding, tokenfiles, winnow
 from parley.llm.common import table
 from parley.session import scratch_path
 
@@ -47,6 +47,10 @@ def op9_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op10_content_defined_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
@@ -55,4 +59,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
     "op9_minimax_sharding": op9_minimax_sharding,
+    "op10_content_defined_chunks": op10_content_defined_chunks,
 }
