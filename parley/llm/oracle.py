@@ -9,6 +9,20 @@ def _words(text: str) -> str:
     return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 
+OP1 = """
+WITH r AS (
+  SELECT coalesce(page_id, -1) AS page_id, printf('%08d.warc', CAST(floor(coalesce(page_id, -1) / 1000) AS BIGINT)) AS archive,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id, -1) || '>'
+         || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+         || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS payload
+  FROM pages),
+i AS (SELECT archive, payload, CAST(strlen(payload) AS BIGINT) AS n, sha256(payload) AS d,
+             CAST(coalesce(sum(strlen(payload)) OVER (PARTITION BY archive ORDER BY page_id, sha256(payload) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS o FROM r)
+SELECT archive, o AS "offset", 'changed' AS status, n AS n_bytes, d AS digest, n AS their_bytes, sha256(left(payload, length(payload) - 1) || 'X') AS their_digest FROM i WHERE d LIKE '00%'
+UNION ALL SELECT archive, o, 'missing', n, d, NULL, NULL FROM i WHERE d LIKE '01%'
+UNION ALL SELECT archive, o + 1, 'extra', NULL, NULL, n, d FROM i WHERE d LIKE '02%'
+"""
+
 OP2 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_words('text')} AS ws FROM documents),
 b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_words('text')} AS ws FROM benchmark),
@@ -29,6 +43,18 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS
 FROM d LEFT JOIN places p USING (rid) LEFT JOIN items t USING (rid)
 """
 
+# The pages' articles hold only h1, p, b and br, and the character references below.
+OP5 = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+b AS (
+  SELECT page_id, url, list_transform(string_split_regex(body, '</?(p|h1)>'), lambda x:
+           trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&amp;?', '&amp;', 'g'),
+             '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS blocks FROM a)
+SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)) AS text,
+       CAST(length(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10))) AS BIGINT) AS n_chars
+FROM b
+"""
+
 OP7 = """
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 windows AS (
@@ -45,4 +71,4 @@ SELECT d.doc_id, CAST(coalesce(len(d.ls), 0) AS BIGINT) AS n_lines, CAST(coalesc
 FROM d LEFT JOIN counts c USING (rid) LEFT JOIN left_over x USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op2_benchmark_decontamination": OP2, "op7_line_dedup": OP7}
+ORACLE: dict[str, str] = {"op1_merkle_fixity": OP1, "op2_benchmark_decontamination": OP2, "op5_line_block": OP5, "op7_line_dedup": OP7}

@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
-from parley.llm import bpe, chunks, linededup, orderminhash, quality, sharding, tokenfiles, winnow
-from parley.llm.common import table
+from parley.llm import bpe, chunks, linededup, lineblock, merkle, orderminhash, quality, sharding, tokenfiles, winnow
+from parley.llm.common import stored, table
 from parley.session import scratch_path
 
 
+def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as WARC records against a replica that is damaged by a rule."""
+    records = merkle.warc_records(table(spark, sf_dir, "pages"))
+    index = stored(merkle.indexed(records), "warc-index")
+    return merkle.audit(index, stored(merkle.damaged(records, index), "warc-replica"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -29,6 +36,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, with_ids=False)
 
 
+def op5_line_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineblock.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("__t", "__u")
 
@@ -52,9 +63,11 @@ def op10_content_defined_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_merkle_fixity": op1_merkle_fixity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_line_block": op5_line_block,
     "op6_order_minhash": op6_order_minhash,
     "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
