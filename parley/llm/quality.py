@@ -56,7 +56,9 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.aggregate(  # words in the union of the windows at those places
         places, F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
         lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n")), lambda a: a["n"].cast("long"))
-    out = out.withColumn("__s", F.struct(
+    # exploded from an array of one, so that a filter on the statistics is not moved below
+    # them, where every use of an array would be computed anew
+    out = out.withColumn("__s", F.explode(F.array(F.struct(
         n.cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         _count(_SYMBOLS).alias("n_symbols"),
@@ -65,7 +67,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size("__lines").cast("long").alias("n_lines"),
         _count(r"\p{Lu}+").alias("n_upper"),
         _count("!+").alias("n_exclamations"),
-        _count(r"\|+").alias("n_bars")))
+        _count(r"\|+").alias("n_bars")))))
     return out.drop("__text", "__words", "__lines", "__grams", "__sorted")
 
 
