@@ -100,17 +100,18 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
     The chunks are computed twice, for the counts and for the rows that the counts leave:
     cheaper than storing them.  Counts are summed before they move; what is joined after
-    that is stored first, so that a chunk of very many documents can be split.
+    that is stored first, so that a chunk of very many documents can be split, and joined
+    by sorting at every size.
     """
     texts = _texts(docs, doc_id, text)
     schema = _CHUNKS.format(id=texts.schema["doc_id"].dataType.simpleString())
     chunks = texts.mapInArrow(_chunked, schema).select("doc_id", "__t", F.explode("chunks").alias("c")).select("doc_id", "__t", "c.*")
     twice = stored(chunks.groupBy("d").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("d"), "chunk-twice")
-    again = stored(chunks.join(twice, "d", "left_semi"), "chunk-again")
+    again = stored(chunks.join(twice.hint("merge"), "d", "left_semi"), "chunk-again")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__t", "at")
     first = again.groupBy("d", "e").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = stored(first.filter(~F.col("first").eqNullSafe(F.col("last"))).select("d", "e", "first"), "chunk-first")
-    later = again.join(first, ["d", "e"]).filter(~place.eqNullSafe(F.col("first")))
+    later = again.join(first.hint("merge"), ["d", "e"]).filter(~place.eqNullSafe(F.col("first")))
     cell = F.struct("at", "n", F.col("first.doc_id").alias("source"))
     return stored(later.groupBy("doc_id", "__t").agg(F.collect_set(cell).alias("chunks")), "chunk-later")
 
@@ -127,7 +128,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     found = repeats(docs, doc_id, text)
     same = (F.col("o.__t") == F.col("r.__t")) & (F.col("o.__k") == F.col("r.__k")) & F.col("o.doc_id").eqNullSafe(F.col("r.doc_id"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = _texts(docs, doc_id, text).withColumn("__k", key).alias("o").join(found.withColumn("__k", key).alias("r"), same, "left")
+    rows = _texts(docs, doc_id, text).withColumn("__k", key).alias("o").join(found.withColumn("__k", key).hint("merge").alias("r"), same, "left")
     rows = rows.select("o.doc_id", "o.text", "r.chunks")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
