@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parley.session import scratch_path
 
@@ -31,6 +32,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole(docs: DataFrame) -> Column:
+    """All columns of a row as one struct, ``row``, so that no column of a caller's table can
+    clash with a working column; ``select("row.*")`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import stored
+from parley.llm.common import stored, whole
 
 #: Words per window of the repetition count.
 WINDOW = 5
@@ -215,14 +215,15 @@ def assess(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     results; an empty table gives no rows; without usable labels only the base rule holds.
     Other columns of ``docs`` are ignored.
     """
-    rows = stored(statistics(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).drop("text"), "statistics")
+    rows = stored(statistics(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))).drop("text"), "statistics")
     rules = learn(labelled(rows, labels))
     return judged(rows, rules).select(
         "doc_id", "__s.*", F.col("__base_failed").alias("base_failed"), F.col("__rule").alias("rule"), F.col("__kept").alias("kept"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rejected rows, all columns kept.  The statistics are computed
-    for the learner and again for the filter: cheaper than moving the texts to join them."""
-    rules = learn(labelled(statistics(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))), labels))
-    return judged(statistics(docs, text), rules).filter("__kept").select([F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rejected rows, all columns kept (cases as in ``assess``).  The
+    statistics are computed for the learner and again for the filter: cheaper than moving
+    the texts to join them."""
+    rules = learn(labelled(statistics(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))), labels))
+    return judged(statistics(docs.select(whole(docs), F.col(f"`{text}`").alias("text"))), rules).filter("__kept").select("row.*")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import text_blocks
+from parley.llm.common import text_blocks, whole
 from parley.llm.words import Words
 
 #: A contaminating passage has at least so many words (or is a whole shorter item).
@@ -153,7 +153,8 @@ def _scan(index, text_col: str, span: int, gram: int):
             names = batch.schema.names
             n_words = np.zeros(batch.num_rows, np.int64)
             state: dict[int, tuple[list[tuple[int, int]], set[str]]] = {}
-            for first, _, data, offsets in text_blocks(batch.column(names.index(text_col))):
+            texts = batch.column("row").field(text_col) if "row" in names else batch.column(text_col)
+            for first, _, data, offsets in text_blocks(texts):
                 words = Words(data, offsets)
                 n_words[first : first + len(offsets) - 1] = np.diff(words.at)
                 for i, found in hits(words, index.value, span, gram).items():
@@ -178,8 +179,9 @@ def _scan(index, text_col: str, span: int, gram: int):
 
 def marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
            span: int = SPAN, gram: int = GRAM, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """``docs`` with all its columns and ``__words`` (number of words), ``__runs`` (hit word
-    places as start, end, start, end ...) and ``__items`` (ids of the items, sorted).
+    """``docs`` (with the column ``text``, or a struct ``row`` that holds it) and ``__words``
+    (number of words), ``__runs`` (hit word places as start, end, start, end ...) and
+    ``__items`` (ids of the items, sorted).
 
     The benchmark is indexed in blocks of at most ``index_bytes`` of text (a single longer
     item is a block), each broadcast and held against all documents; nothing of the
@@ -215,5 +217,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """``docs`` without the contaminated rows, all columns kept."""
-    return marked(docs, benchmark, text, **options).filter(F.size("__items") == 0).select([F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the contaminated rows, all columns kept (cases as in ``decontaminate``)."""
+    return marked(docs.select(whole(docs)), benchmark, text, **options).filter(F.size("__items") == 0).select("row.*")
