@@ -63,13 +63,13 @@ def conflate_arrays(df: DataFrame, keys: list[str], tokens_col: str, conflation_
     """Conflate an array-of-tokens column in place, keeping order and duplicates.
 
     Each row gets a small map of just the changed terms it contains (distinct terms joined
-    to the broadcast conflation map, regrouped by key); ``transform`` then rewrites the
-    array.  Rows are never exploded to one row per token; with ``df`` partitioned by the
+    to the broadcast conflation map, regrouped by key; rows that share a key share a map);
+    ``transform`` then rewrites the array.  Rows are never exploded to one row per token; with ``df`` partitioned by the
     key (bucketed collection) the regroup and the join back need no exchange.
     """
     m = conflation_map.select(F.col("surface").alias("term"), F.col("stem").alias("_stem"))
     d = df.select(*keys, F.explode(F.array_distinct(tokens_col)).alias("term")).join(m, "term")
-    per = d.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("term", "_stem"))).alias("_m"))
+    per = d.groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("term", "_stem"))).alias("_m"))
     j = df.join(per, keys, "left")
     rewritten = F.transform(tokens_col, lambda t: F.coalesce(F.try_element_at(F.col("_m"), t), t))
     return j.withColumn(tokens_col, F.when(F.col("_m").isNull(), F.col(tokens_col)).otherwise(rewritten)).drop("_m")
@@ -100,8 +100,10 @@ def analyzed_rows(df: DataFrame, keys: list[str], data_col: str, conflation_map:
 
 def analyze(df: DataFrame, keys: list[str], data_col: str, conflation_map: DataFrame, out: str = "terms") -> DataFrame:
     """T6 as text: ``(*keys, out)`` with the index terms in order, joined by a space."""
-    texts = ordered_join(analyzed_rows(df, keys, data_col, conflation_map), keys, "term", out)
-    return with_empty(df.select(*keys), texts, keys, out)
+    words = list(ANALYZER_STOPWORDS)
+    terms = F.filter(F.split(F.col(data_col), " "), lambda t: (t != F.lit("")) & ~t.isin(words))
+    toks = conflate_arrays(df.select(*keys, terms.alias("_tok")), keys, "_tok", conflation_map)
+    return toks.select(*keys, F.array_join("_tok", " ").alias(out))
 
 
 def n_tokens(text: Column | str) -> Column:

@@ -62,12 +62,9 @@ def term_stats(postings: DataFrame, n_docs: int) -> DataFrame:
 
 def coll_stats(postings: DataFrame) -> DataFrame:
     """I4: one row ``(n_docs, sum_dl, avgdl, n_terms)`` over documents with indexed terms."""
-    s = postings.agg(
-        F.countDistinct("doc_id").alias("n_docs"),
-        F.sum("tf").alias("sum_dl"),
-        F.countDistinct("term").alias("n_terms"),
-    )
-    return s.select("n_docs", "sum_dl", (F.col("sum_dl") / F.col("n_docs")).alias("avgdl"), "n_terms")
+    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).agg(F.count(F.lit(1))).scalar()
+    s = doc_lengths(postings).agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("sum_dl"))
+    return s.select("n_docs", "sum_dl", (F.col("sum_dl") / F.col("n_docs")).alias("avgdl"), terms.alias("n_terms"))
 
 
 def text_postings(collection: DataFrame, data_col: str = "data") -> DataFrame:

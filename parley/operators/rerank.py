@@ -11,9 +11,12 @@ candidates (semi-join on ``doc_id``), never the whole collection.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,7 +160,7 @@ def pair_features(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[s
     bm25 (base score), coverage (distinct query terms found / distinct query terms),
     idf_coverage (same, idf-weighted), bigrams (distinct adjacent query term pairs found
     adjacent in the passage), log_len = ln(1 + passage tokens kept), dot (bi-encoder score).
-    Only positions of query terms inside candidate passages are ever materialised.
+    What is materialised per pair is its query terms found, not the passage.
     """
     qd, qb, qn = _query_parts(query_texts, corpus, keys)
     pk = [*keys, "doc_id"]
@@ -204,8 +207,10 @@ def pair_rerank(features: DataFrame, weights: dict[str, float] | None = None) ->
 
 # ----------------------------------------------------------------------------- R6
 def query_likelihood(pairs: DataFrame, turns: DataFrame, corpus, keys: list[str], mu: float = DIRICHLET_MU,
-                     text_col: str = "utterance") -> DataFrame:
-    """Dirichlet-smoothed query log-likelihood (base 10) of the raw utterance.
+                     text_col: str = "utterance", query_tokens: str = "raw") -> DataFrame:
+    """Dirichlet-smoothed query log-likelihood (base 10) of the utterance: its ``raw``
+    tokens, or with ``query_tokens='analyzed'`` the tokens of its preprocessed text (T5),
+    which ``text_col`` then names.
 
     ``sum_t qtf * log10((tf + mu*pc) / (dl + mu))`` with ``pc = (cf + 0.5) / (C + 0.5 (V + 1))``
     over stored-text tokens, evaluated as
@@ -214,8 +219,10 @@ def query_likelihood(pairs: DataFrame, turns: DataFrame, corpus, keys: list[str]
     """
     c_tokens, v_terms = float(corpus.text_tokens), float(corpus.text_vocab)
     denom = c_tokens + 0.5 * (v_terms + 1.0)
-    qt = turns.select(*keys, F.explode(raw_terms(text_col)).alias("term")).groupBy(*keys, "term").agg(
-        F.count(F.lit(1)).alias("qtf"))
+    if query_tokens not in ("raw", "analyzed"):
+        raise ValueError(f"query_tokens must be 'raw' or 'analyzed', got {query_tokens!r}")
+    tokens = raw_terms(text_col) if query_tokens == "raw" else F.array_remove(F.split(F.col(text_col), " "), "")
+    qt = turns.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("qtf"))
     cf = corpus.text_stats.select("term", "cf")
     qp = lookup_small(qt, cf, "term").withColumn(
         "mupc", F.lit(mu) * (F.coalesce(F.col("cf"), F.lit(0)).cast("double") + F.lit(0.5)) / F.lit(denom))
@@ -245,35 +252,57 @@ def rank_by_score(scored: DataFrame, keys: list[str], k: int | None = None) -> D
 
 
 # ----------------------------------------------------------------------------- hooks
-def embed_with(df: DataFrame, text_col: str, encode: Callable[[list[str]], "object"], out: str = "vec",
+_MODELS: dict[str, Callable] = {}
+
+
+def _model_key(factory: Callable) -> str:
+    return hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
+
+
+def _model(key: str, factory: Callable[[], Callable]) -> Callable:
+    """What ``factory`` builds, built once per Python worker process and kept between its tasks."""
+    if key not in _MODELS:
+        _MODELS[key] = factory()
+    return _MODELS[key]
+
+
+def _one_of(fn: Callable | None, factory: Callable | None) -> tuple[str, Callable[[], Callable]]:
+    if (fn is None) == (factory is None):
+        raise ValueError("give either the function or a factory of it")
+    factory = factory or (lambda: fn)
+    return _model_key(factory), factory
+
+
+def embed_with(df: DataFrame, text_col: str, encode: Callable[[list[str]], "object"] | None = None, out: str = "vec",
                factory: Callable[[], Callable[[list[str]], object]] | None = None) -> DataFrame:
     """R3 hook: encode a text column with any batch encoder (e.g. a sentence encoder).
 
-    ``encode(list_of_texts) -> 2-D array-like``.  With ``factory`` the encoder is built once
-    per Python worker and reused for every Arrow batch of the partition.
+    ``encode(list_of_texts) -> 2-D array-like``, or a ``factory`` of such a function for
+    models that take time to load: it is called once per Python worker process.
     """
+    key, make = _one_of(encode, factory)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        fn = factory() if factory is not None else encode
+        fn = _model(key, make)
         for s in batches:
-            m = fn(s.fillna("").tolist())
-            yield pd.Series([list(map(float, row)) for row in m])
+            yield pd.Series(list(np.asarray(fn(s.fillna("").tolist()), dtype="float64")))
 
     return df.withColumn(out, _enc(F.col(text_col)))
 
 
-def pair_scores_with(pairs: DataFrame, score: Callable[[list[str], list[str]], "object"],
+def pair_scores_with(pairs: DataFrame, score: Callable[[list[str], list[str]], "object"] | None = None,
                      query_col: str = "query_text", passage_col: str = "data",
                      factory: Callable[[], Callable[[list[str], list[str]], object]] | None = None) -> DataFrame:
-    """R5 hook: score (query, passage) pairs with any batch scorer (e.g. a cross-encoder)."""
-
+    """R5 hook: score (query, passage) pairs with any batch scorer (e.g. a cross-encoder),
+    given as a function or as a ``factory`` of it, as in :func:`embed_with`."""
+    key, make = _one_of(score, factory)
     schema = T.StructType(pairs.schema.fields + [T.StructField("score", T.DoubleType())])
 
     def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = factory() if factory is not None else score
+        fn = _model(key, make)
         for b in batches:
             s = fn(b[query_col].fillna("").tolist(), b[passage_col].fillna("").tolist())
-            yield b.assign(score=[float(x) for x in s])
+            yield b.assign(score=np.asarray(s, dtype="float64"))
 
     return pairs.mapInPandas(_run, schema)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from parley.functions.text import ANALYZER_STOPWORDS, is_stopword
 from parley.operators.analysis import ordered_join, stem_rows, with_empty
 from parley.operators.conflation import conflate
-from parley.plans.sizing import bounded_broadcast
+from parley.plans.sizing import batches, bounded_broadcast, materialize
 
 # --- fixed values -----------------------------------------------------------------------
 UTTERANCE_KINDS = {"Manual": "manual", "Automatic": "automatic"}
@@ -37,11 +37,12 @@ def select_utterance(turns: DataFrame, kind: str) -> DataFrame:
 
 
 def make_qid(turns: DataFrame) -> DataFrame:
-    """Q2: ``qid = topic_turn``; a repeated qid keeps the turn that comes last in the input."""
+    """Q2: ``qid = topic_turn``; a repeated qid keeps the turn that comes last in the input,
+    by ``pos_topic`` and ``pos_turn``, then the larger texts; without those columns, the
+    latter alone, so that the choice never depends on the partitioning."""
     t = turns.withColumn("qid", F.concat_ws("_", F.col("topic").cast("string"), F.col("turn").cast("string")))
-    if "pos_topic" not in t.columns:
-        return t.dropDuplicates(["qid"])
-    w = Window.partitionBy("qid").orderBy(F.col("pos_topic").desc(), F.col("pos_turn").desc())
+    order = [c for c in ("pos_topic", "pos_turn", "manual", "automatic", "utterance") if c in t.columns]
+    w = Window.partitionBy("qid").orderBy(*[F.col(c).desc_nulls_last() for c in order])
     return t.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -120,14 +121,14 @@ def bm25_retrieve(turns: DataFrame, corpus, k: int, keys: list[str] | None = Non
     ``turns`` carries ``*keys`` and ``utterance``.
     """
     keys = keys or ["qid"]
-    # the query side is small and read several times (size checks, match, empty check)
-    rows = stem_rows(turns, keys, "utterance", corpus.stem_map).cache()
-    qw = query_weights(terms_of_rows(rows, corpus.stem_map, keys).cache(), corpus.term_stats).cache()
-    scored = top_k(bm25_score(match_any(qw, corpus.postings), keys, corpus.avgdl, k1, b), keys, k)
-    ranked = scored.select(*keys, "doc_id", "score", "rank")
-    # match-all needs the k smallest ids: read the precomputed head unless k goes past it
-    head = corpus.first_ids if k <= getattr(corpus, "first_ids_cap", 0) else corpus.collection
-    return ranked.unionByName(empty_query_fallback(turns, rows, head, keys, k))
+    # the query side is written once and read several times (match, empty check)
+    rows = materialize(stem_rows(turns, keys, "utterance", corpus.stem_map))
+    qw = materialize(query_weights(terms_of_rows(rows, corpus.stem_map, keys), corpus.term_stats))
+    ranked = empty_query_fallback(turns, rows, corpus.collection, keys, k)
+    for part in batches(qw, keys):  # as many as it takes for each to be broadcast
+        scores = bm25_score(corpus.postings.join(F.broadcast(part), "term"), keys, corpus.avgdl, k1, b)
+        ranked = ranked.unionByName(top_k(scores, keys, k).select(*keys, "doc_id", "score", "rank"))
+    return ranked
 
 
 def fetch_documents(ranking: DataFrame, collection: DataFrame, cols: tuple[str, ...] = ("data",)) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Each CTE is registered with its dependencies; :func:`query` pulls in everything a final
 SELECT needs, in dependency order.  The SQL re-derives every table from the driver's
-views (documents, benchmark, conversations, labels, embeddings) independently of Spark.
+views (documents, benchmark, conversations, labels, embeddings) independently of Spark;
+only the fixed word lists and suffix rules are shared with the engine.
 """
 
 from __future__ import annotations
@@ -17,13 +18,16 @@ def cte(name: str, deps: tuple[str, ...], body: str, materialize: bool = False)
     _CTES[name] = (deps, body.strip(), materialize)
 
 
-def query(final: str, *needs: str) -> str:
+def query(final: str, *needs: str, replace: dict[str, tuple[tuple[str, ...], str, bool]] | None = None) -> str:
+    """``final`` with every CTE it needs; ``replace`` swaps a CTE, whose own definition then
+    goes by its name and a 0."""
+    ctes = {**_CTES, **{f"{n}0": _CTES[n] for n in replace or {}}, **(replace or {})}
     order: list[str] = []
 
     def visit(n: str) -> None:
         if n in order:
             return
-        for d in _CTES[n][0]:
+        for d in ctes[n][0]:
             visit(d)
         order.append(n)
 
@@ -33,7 +37,7 @@ def query(final: str, *needs: str) -> str:
         return final.strip()
     parts = []
     for n in order:
-        _, body, mat = _CTES[n]
+        _, body, mat = ctes[n]
         parts.append(f"{n} AS {'MATERIALIZED ' if mat else ''}(\n{body}\n)")
     return "WITH " + ",\n".join(parts) + "\n" + final.strip()
 
@@ -212,6 +216,10 @@ SELECT t.qid, f.doc_id, 1.0::DOUBLE AS score, f.rank FROM
 
 turns_cte("cm", "conv_turns", "Manual")
 turns_cte("ca", "conv_turns", "Automatic")
+# the first line of every document: some hold no term
+cte("ln", (), """
+SELECT CAST(doc_id AS VARCHAR) || '_1' AS qid, doc_id AS topic, CAST(1 AS BIGINT) AS turn, string_split(text, chr(10))[1] AS utterance FROM documents
+""", True)
 
 # ---------------------------------------------------------------- judgements (fixture)
 cte("qrels", ("bench_turns", "coll"), f"""

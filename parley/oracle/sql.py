@@ -18,22 +18,25 @@ from parley.oracle.ctes import ASTOP_SQL, STOP_SQL, norm_sql, query_ctes, tok_ar
 
 # ----------------------------------------------------------------------------- sources
 _COLL = "SELECT doc_id, text, source, batch_id FROM coll"
-oracle("load_passages", query(_COLL + " WHERE source = 'MARCO'", "coll"))
-oracle("load_paragraphs", query(_COLL + " WHERE source = 'CAR'", "coll"))
+oracle("load_passages", "SELECT 'MARCO_' || CAST(doc_id AS VARCHAR) AS doc_id, regexp_replace(text, '[\\t\\n\\r]', ' ', 'g') AS text, 'MARCO' AS source, CAST(1 AS BIGINT) AS batch_id FROM documents")
+oracle("load_paragraphs", "SELECT 'CAR_' || CAST(doc_id AS VARCHAR) AS doc_id, replace(text, chr(10), '') AS text, 'CAR' AS source, CAST(1 AS BIGINT) AS batch_id FROM documents")
 oracle("union_collections", query(_COLL, "coll"))
-oracle("replace_collection", query(_COLL, "coll"))
-oracle("upsert_collection", query("""
-SELECT doc_id, text, source, batch_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY batch_id DESC, text DESC) AS rn FROM (
-    SELECT doc_id, text, source, batch_id FROM coll
-    UNION ALL
-    SELECT c.doc_id, 'updated ' || c.text, c.source, CAST(2 AS BIGINT) FROM coll c
+_BATCH = """
+    SELECT c.doc_id, 'updated ' || c.text AS text, c.source, CAST(2 AS BIGINT) AS batch_id FROM coll c
       WHERE regexp_replace(c.doc_id, '^(MARCO|CAR)_', '') IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)
     UNION ALL
     SELECT 'MARCO_B' || CAST(item_id AS VARCHAR), text, 'MARCO', CAST(2 AS BIGINT) FROM benchmark
+"""
+_UPSERTED = f"""
+SELECT doc_id, text, source, batch_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY batch_id DESC, text DESC) AS rn FROM (
+    SELECT doc_id, text, source, batch_id FROM coll
+    UNION ALL {_BATCH}
   )
 ) WHERE rn = 1
-""", "coll"))
+"""
+oracle("replace_collection", query(_BATCH, "coll"))
+oracle("upsert_collection", query(_UPSERTED, "coll"))
 oracle("collection_counts", query("SELECT source, count(*) AS n_docs FROM coll GROUP BY source", "coll"))
 oracle("load_topics", query("SELECT topic, turn, manual, automatic FROM conv_turns", "conv_turns"))
 oracle("load_qrels", query("SELECT qid, iter, doc_id, rel FROM qrels", "qrels"))
@@ -80,10 +83,20 @@ oracle("bm25_score", query("SELECT qid, doc_id, score FROM qm_scores", "qm_score
 oracle("top_k", query("""
 SELECT qid, doc_id, score, rank FROM (
   SELECT qid, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id ASC) AS rank FROM qm_scores
-) WHERE rank <= 100
+) WHERE rank <= 500
 """, "qm_scores"))
 _cbm = bm25_ctes("cm", "cm", 500)
-oracle("empty_query_fallback", query(f"SELECT qid, doc_id, score, rank FROM {_cbm} WHERE qid NOT IN (SELECT qid FROM cm_rows)", _cbm))
+query_ctes("ln", "ln")
+oracle("empty_query_fallback", query("""
+SELECT t.qid, f.doc_id, 1.0::DOUBLE AS score, f.rank FROM
+  (SELECT qid FROM ln WHERE qid NOT IN (SELECT qid FROM ln_rows)) t,
+  (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank FROM coll ORDER BY doc_id LIMIT 500) f
+""", "ln", "ln_rows", "coll"))
+_abm = bm25_ctes("qa", "qa", 500)
+oracle("bm25_automatic", query(f"SELECT qid, doc_id, score, rank FROM {_abm}", _abm))
+# the same SQL over the collection with its update batch applied
+oracle("bm25_upserted", query(f"SELECT qid, doc_id, score, rank FROM {_bm}", _bm, replace={
+    "coll": (("coll0",), _UPSERTED.replace("FROM coll", "FROM coll0"), True)}))
 oracle("bm25_topics", query(f"SELECT qid, doc_id, score, rank FROM {_cbm}", _cbm))
 oracle("fetch_documents", query(
     f"SELECT b.qid, b.doc_id, b.rank, CAST(CASE WHEN c.data = '' THEN 0 ELSE len(string_split(c.data, ' ')) END AS BIGINT) AS n_tokens, c.data "
@@ -118,7 +131,7 @@ oracle("build_pairs", query(
     "JOIN qm_text t ON b.qid = t.qid JOIN cindex c ON b.doc_id = c.doc_id", _bm, "qm_text", "cindex"))
 oracle("embed", query("SELECT doc_id, CAST(slot AS BIGINT) AS slot, round(v, 6) AS weight FROM dvec WHERE round(v, 6) <> 0", "dvec"))
 oracle("dot_rerank", query(f"SELECT qid, doc_id, score FROM {_dot}", _dot))
-oracle("rank_by_score", query(ranked_sql(_dot, 100), _dot))
+oracle("rank_by_score", query(ranked_sql(_dot, 500), _dot))
 oracle("rerank_same_depth", query(ranked_sql(_dot, 500), _dot))
 _F = ("bm25", "coverage", "idf_coverage", "log_len", "dot")
 oracle("pair_features", query(
@@ -128,6 +141,11 @@ _deep_scored = f"(SELECT qid, doc_id, base_rank, {pair_score_sql()} AS score FRO
 oracle("deep_rank", query(ranked_sql(_deep_scored, 500), _feat))
 oracle("query_likelihood", query(f"SELECT qid, doc_id, score FROM {_ql}", _ql))
 oracle("ql_rerank", query(ranked_sql(_ql, None), _ql))
+_adot, _afeat = dot_cte("qa", _abm), feature_ctes("qa", bm25_ctes("qa", "qa", 2500))
+_aql = ql_cte("qa", "qa", _abm)
+oracle("rerank_same_depth_automatic", query(ranked_sql(_adot, 500), _adot))
+oracle("deep_rank_automatic", query(ranked_sql(f"(SELECT qid, doc_id, base_rank, {pair_score_sql()} AS score FROM {_afeat})", 500), _afeat))
+oracle("ql_rerank_automatic", query(ranked_sql(_aql, None), _aql))
 oracle("rerank_policy", query(
     f"SELECT *, 'bi_encoder' AS model FROM ({ranked_sql(_dot, 500)}) UNION ALL "
     f"SELECT *, 'cross_encoder' AS model FROM ({ranked_sql(_deep_scored, 500)})", _dot, _feat))
@@ -186,7 +204,7 @@ oracle("stream_ingest", """
 WITH p AS (
   SELECT 'MARCO_' || CAST(doc_id AS VARCHAR) AS doc_id, regexp_replace(text, '[\\t\\n\\r]', ' ', 'g') AS text,
          CAST(doc_id AS VARCHAR) AS raw_id
-  FROM documents WHERE CAST(substr(source, 4) AS INTEGER) < 10
+  FROM documents
 ), allrows AS (
   SELECT doc_id, text, 'MARCO' AS source, CAST(1 AS BIGINT) AS batch_id FROM p
   UNION ALL

@@ -50,7 +50,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 @register("load_passages")
 def load_passages_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The passage half written as a TSV file, read back with the passage reader."""
+    """Every document written to a TSV file, read back with the passage reader."""
     from parley.sources.passages import load_passages
 
     path = _scratch(spark, "passages-tsv")
@@ -60,7 +60,7 @@ def load_passages_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("load_paragraphs")
 def load_paragraphs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested paragraph rows stored as Parquet, bodies concatenated on read."""
+    """Every document as a nested paragraph row stored as Parquet, bodies concatenated on read."""
     from parley.sources.passages import load_paragraphs, read_paragraphs
 
     path = _scratch(spark, "paragraphs")
@@ -82,9 +82,12 @@ def upsert_collection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("replace_collection")
 def replace_collection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored collection, replaced at its path by the rows of the update batch."""
     from parley.sources.collection import replace_collection
 
-    return replace_collection(fixtures.collection(spark, sf_dir))
+    path = _scratch(spark, "collection")
+    replace_collection(fixtures.collection(spark, sf_dir), path)
+    return replace_collection(fixtures.upsert_batch(spark, sf_dir), path)
 
 
 @register("collection_counts")
@@ -276,25 +279,22 @@ def bm25_score_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("qid", "doc_id", F.round("score", 4).alias("score"))
 
 
-TOP_K_REPORT = 100
-
-
 @register("top_k")
 def top_k_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q6 on its own: top 100 of every turn's BM25 scores (no empty-query rows)."""
+    """Q6 on its own: top 500 of every turn's BM25 scores (no empty-query rows)."""
     c = corpus_for(spark, sf_dir)
     qw = Q.query_weights(Q.query_terms(bench_turns(spark, sf_dir), c.stem_map, ["qid"]), c.term_stats)
     s = Q.bm25_score(Q.match_any(qw, c.postings), ["qid"], c.avgdl)
-    return Q.top_k(s, ["qid"], TOP_K_REPORT).select("qid", "doc_id", "score", "rank")
+    return Q.top_k(s, ["qid"], BM25_DEPTH).select("qid", "doc_id", "score", "rank")
 
 
 @register("empty_query_fallback")
 def empty_query_fallback_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q7 over every user turn of every conversation."""
+    """Q7 over the first line of every document, of which some hold stop words only."""
     from parley.operators.analysis import stem_rows
 
     c = corpus_for(spark, sf_dir)
-    t = topic_turns(spark, sf_dir)
+    t = Q.turns_for(fixtures.line_turns(spark, sf_dir), "Manual")
     rows = stem_rows(t, ["qid"], "utterance", c.stem_map)
     return Q.empty_query_fallback(t, rows, c.collection, ["qid"], BM25_DEPTH)
 
@@ -305,6 +305,22 @@ def bm25_topics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.bm25_retrieve(topic_turns(spark, sf_dir), corpus_for(spark, sf_dir), BM25_DEPTH)
 
 
+@register("bm25_upserted")
+def bm25_upserted_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 over an index built from the collection and its update batch together: of an id
+    that occurs in both, the later row is indexed."""
+    from parley.plans.corpus import build_corpus
+
+    raw = fixtures.collection(spark, sf_dir).unionByName(fixtures.upsert_batch(spark, sf_dir))
+    return Q.bm25_retrieve(bench_turns(spark, sf_dir), build_corpus(raw), BM25_DEPTH)
+
+
+@register("bm25_automatic")
+def bm25_automatic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 for the automatic utterances."""
+    return Q.bm25_retrieve(bench_turns(spark, sf_dir, "Automatic"), corpus_for(spark, sf_dir), BM25_DEPTH)
+
+
 @register("fetch_documents")
 def fetch_documents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = corpus_for(spark, sf_dir)
@@ -432,11 +448,11 @@ def dot_rerank_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("rank_by_score")
 def rank_by_score_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dot scores re-ordered (ties keep the BM25 order), best 100 kept."""
+    """Dot scores re-ordered (ties keep the BM25 order), best 500 kept."""
     from parley.operators import rerank as R
 
     c, _, pairs, qtext = _pairs(spark, sf_dir, BM25_DEPTH)
-    r = R.rank_by_score(R.bi_encoder_scores(pairs, qtext, c, ["qid"]), ["qid"], TOP_K_REPORT)
+    r = R.rank_by_score(R.bi_encoder_scores(pairs, qtext, c, ["qid"]), ["qid"], BM25_DEPTH)
     return r.select("qid", "doc_id", "score", "rank")
 
 
@@ -491,6 +507,27 @@ def ql_rerank_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql_rerank(bench_turns(spark, sf_dir), corpus_for(spark, sf_dir), BM25_DEPTH)
 
 
+@register("deep_rank_automatic")
+def deep_rank_automatic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.plans.pipelines import rerank
+
+    return rerank(bench_turns(spark, sf_dir, "Automatic"), corpus_for(spark, sf_dir), 500, DEEP_DEPTH)
+
+
+@register("rerank_same_depth_automatic")
+def rerank_same_depth_automatic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.plans.pipelines import rerank
+
+    return rerank(bench_turns(spark, sf_dir, "Automatic"), corpus_for(spark, sf_dir), 500, 500)
+
+
+@register("ql_rerank_automatic")
+def ql_rerank_automatic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.plans.pipelines import ql_rerank
+
+    return ql_rerank(bench_turns(spark, sf_dir, "Automatic"), corpus_for(spark, sf_dir), BM25_DEPTH)
+
+
 @register("compare_systems")
 def compare_systems_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """{bm25, bert_rerank, bert_deep, t5} x {Manual, Automatic}, overall / per turn / per topic."""
@@ -516,7 +553,7 @@ def embedding_topk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------------- streaming ingest
 @register("stream_ingest")
 def stream_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages arrive as two files (the passage half; then updates of the labelled ones and
+    """Passages arrive as two files (every document; then updates of the labelled ones and
     new passages from ``benchmark``), each ingested by its own streaming run."""
     from pyspark.sql import functions as F
 

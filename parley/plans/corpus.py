@@ -14,7 +14,9 @@ import time
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
+from importlib import resources
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +26,7 @@ from parley.functions.text import STOPWORDS, normalize
 from parley.operators.index import build_postings, doc_vectors, term_stats, text_bigrams, text_postings, text_stats
 from parley.plans.sizing import bounded_broadcast
 from parley.session import apply_plan_settings, checkpoint_root, scratch_path, shuffle_partitions
-from parley.sources.collection import register_bucketed, write_bucketed
-
-
-FIRST_IDS = 10_000  # enough for any configured depth; deeper fallbacks read the collection
+from parley.sources.collection import latest, register_bucketed, write_bucketed
 
 
 @dataclass
@@ -41,8 +40,6 @@ class Corpus:
     text_postings: DataFrame  # doc_id, term, tf, first_pos  (bucketed by doc_id)
     text_bigrams: DataFrame  # doc_id, a, b, first_pos  (bucketed by doc_id)
     doc_vectors: DataFrame  # doc_id, vec  (bucketed by doc_id)
-    first_ids: DataFrame  # doc_id: the FIRST_IDS smallest ids (what match-all returns first)
-    first_ids_cap: int
     n_docs: int
     sum_dl: int
     avgdl: float
@@ -74,14 +71,18 @@ def vocabulary(raw: DataFrame, clean_col: str | None = None) -> DataFrame:
 
 
 def build_corpus(raw: DataFrame, root: str | None = None, buckets: int | None = None) -> Corpus:
-    """raw ``collection(doc_id, text, source, batch_id)`` -> materialised :class:`Corpus`."""
+    """raw ``collection(doc_id, text, source, batch_id)`` -> materialised :class:`Corpus`.
+
+    An id that occurs again replaces the older one (latest batch, see S4); the exchange
+    that buckets the collection brings its rows together.
+    """
     spark = raw.sparkSession
     apply_plan_settings(spark)
     root = root or scratch_path(spark, "corpus")
     n = buckets or shuffle_partitions(spark)
     with _step("raw"):
         # T1–T3 once, in a projection; everything downstream splits this plain string
-        clean = raw.repartition(n, "doc_id").select(
+        clean = latest(raw.repartition(n, "doc_id")).select(
             "doc_id", F.array_join(clean_tokens("text"), " ").alias("clean"), "source", "batch_id")
         raw_t = write_bucketed(clean, f"{root}/raw", buckets=n, prepartitioned=True)
     with _step("vocabulary"):
@@ -109,9 +110,6 @@ def build_corpus(raw: DataFrame, root: str | None = None, buckets: int | None =
         ts = spark.read.parquet(f"{root}/term_stats")
         xs = spark.read.parquet(f"{root}/text_stats")
         h = xs.agg(F.sum("cf").alias("c"), F.count(F.lit(1)).alias("v")).first()
-    with _step("first_ids"):
-        coll_t.select("doc_id").orderBy("doc_id").limit(FIRST_IDS).write.mode("overwrite").parquet(f"{root}/first_ids")
-        fi = spark.read.parquet(f"{root}/first_ids")
     with _step("doc_vectors"):
         dv_t = write_bucketed(doc_vectors(tp_t, bounded_broadcast(xs)), f"{root}/doc_vectors", buckets=n)
     return Corpus(
@@ -124,8 +122,6 @@ def build_corpus(raw: DataFrame, root: str | None = None, buckets: int | None =
         text_postings=tp_t,
         text_bigrams=tb_t,
         doc_vectors=dv_t,
-        first_ids=fi,
-        first_ids_cap=FIRST_IDS,
         n_docs=n_docs,
         sum_dl=sum_dl,
         avgdl=(sum_dl / n_docs) if n_docs else 0.0,
@@ -138,7 +134,7 @@ def build_corpus(raw: DataFrame, root: str | None = None, buckets: int | None =
 _CACHE: dict[tuple[str, str], Corpus] = {}
 
 _BUCKETED = ("collection", "postings", "text_postings", "text_bigrams", "doc_vectors")
-_SCALARS = ("n_docs", "sum_dl", "avgdl", "text_tokens", "text_vocab", "n_all_docs", "first_ids_cap")
+_SCALARS = ("n_docs", "sum_dl", "avgdl", "text_tokens", "text_vocab", "n_all_docs")
 
 
 def _input_files(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
@@ -160,22 +156,24 @@ BUCKET_BYTES = 128 * 1024 * 1024
 
 
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:
-    """Buckets for the corpus tables: about one per 128 MB of input text, at least the
-    cluster's parallelism, at most ``spark.sql.shuffle.partitions``."""
-    want = max(spark.sparkContext.defaultParallelism, -(-input_bytes // BUCKET_BYTES))
-    return max(1, min(shuffle_partitions(spark), want))
+    """Buckets for the corpus tables: one per 128 MB of input, and for small inputs as many
+    as there are cores to work on them, up to ``spark.sql.shuffle.partitions``.
+
+    A bucketed scan is one task per bucket, so the count has to follow the bytes: the
+    setting bounds only how far a small input is spread.
+    """
+    spread = min(spark.sparkContext.defaultParallelism, shuffle_partitions(spark))
+    return max(1, spread, -(-input_bytes // BUCKET_BYTES))
 
 
 def _code_version() -> str:
-    """Hash of the engine sources, so a changed analysis never reuses an older index."""
-    base = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    """Hash of the engine sources, so a changed analysis never reuses an older index; read as
+    package resources, so that it also works from a zip."""
     h = hashlib.sha1()
     for sub in ("functions", "operators", "plans", "sources"):
-        d = os.path.join(base, sub)
-        for f in sorted(os.listdir(d)):
-            if f.endswith(".py"):
-                with open(os.path.join(d, f), "rb") as fh:
-                    h.update(fh.read())
+        for f in sorted(resources.files(f"parley.{sub}").iterdir(), key=lambda f: f.name):
+            if f.name.endswith(".py"):
+                h.update(f.read_bytes())
     return h.hexdigest()
 
 
@@ -189,11 +187,11 @@ def _save_manifest(spark: SparkSession, corpus: Corpus, build_root: str, buckets
 def _load_manifest(spark: SparkSession, cache_root: str) -> Corpus | None:
     try:
         rows = spark.read.text(f"{cache_root}/*/_manifest").collect()
-    except Exception:  # nothing built yet
+    except AnalysisException:  # no such path: nothing built yet
         return None
     if not rows:
         return None
-    meta = json.loads(rows[0]["value"])
+    meta = json.loads(min(r["value"] for r in rows))  # builds of one key hold the same rows
     root, n = meta["root"], int(meta["buckets"])
     t = {name: register_bucketed(spark, f"{root}/{name}", "doc_id", n) for name in _BUCKETED}
     apply_plan_settings(spark)
@@ -207,7 +205,6 @@ def _load_manifest(spark: SparkSession, cache_root: str) -> Corpus | None:
         text_postings=t["text_postings"],
         text_bigrams=t["text_bigrams"],
         doc_vectors=t["doc_vectors"],
-        first_ids=spark.read.parquet(f"{root}/first_ids"),
         **{k: meta[k] for k in _SCALARS},
     )
 

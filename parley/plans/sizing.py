@@ -1,25 +1,61 @@
 """Size-checked broadcasts.
 
-A side is broadcast only after its row count has been measured and found under a bound;
-otherwise it is left to a shuffle join (with AQE skew splitting).  The bound is in rows
-because the frames broadcast here are narrow (a few short columns).
+A side is broadcast only after its rows and bytes have been measured and found under a
+bound; otherwise it is left to a shuffle join (with AQE skew splitting).  Query batches
+never get there: :func:`batches` splits them so that each part is under the bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.session import env_int
 
-# Narrow rows (key + a couple of numbers/short strings): 2M rows stay well under 200 MB.
 MAX_BROADCAST_ROWS = env_int("PARLEY_MAX_BROADCAST_ROWS", 2_000_000)
+MAX_BROADCAST_BYTES = env_int("PARLEY_MAX_BROADCAST_BYTES", 128 << 20)
+
+
+def _width(name: str, kind: T.DataType) -> Column:
+    """Bytes of a column's value: measured for strings and arrays, 8 for the rest."""
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8)
+    if isinstance(kind, T.ArrayType):
+        per = 32 if isinstance(kind.elementType, (T.StringType, T.StructType)) else 8
+        return F.greatest(F.size(c), F.lit(0)) * F.lit(per) + F.lit(16)
+    return F.lit(8)
+
+
+def measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, of at most ``max_rows`` + 1 of its rows."""
+    width = F.lit(16)
+    for f in df.schema.fields:
+        width = width + _width(f.name, f.dataType)
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    return int(r["n"]), int(r["b"] or 0)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (counts at most max_rows + 1 of them)."""
+    """Whether ``df`` has at most ``max_rows`` rows and MAX_BROADCAST_BYTES bytes."""
+    limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    rows, size = measured(df, limit)
+    return rows <= limit and size <= MAX_BROADCAST_BYTES
+
+
+def batches(df: DataFrame, keys: list[str], max_rows: int | None = None) -> list[DataFrame]:
+    """``df`` (stored) in parts of about ``max_rows`` rows at most, all rows of a key together.
+
+    Used for the query side: turns are independent of each other, so a batch too large to
+    broadcast is answered part by part with the same plan, and the index is never shuffled.
+    """
     limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
+    count = max(1, -(-2 * df.count() // max(1, limit)))
+    if count == 1:
+        return [df]
+    part = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(count))
+    return [df.where(part == i) for i in range(count)]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:

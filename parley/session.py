@@ -46,11 +46,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the session names a shared (distributed) folder and we use it as is.
-    Only when it is unset (tests, local runs) we pick our own folder and register it.
+    Only a local master (tests) gets a folder of our own where it is unset; on a cluster a
+    folder of one machine would not reach the executors, so an unset folder is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         # local runs and tests only: a fixed folder, so a rebuilt session finds its corpus
         d = os.path.join(tempfile.gettempdir(), "parley-checkpoints")
         sc.setCheckpointDir(d)

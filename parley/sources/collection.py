@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import re
 import uuid
+import warnings
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ def union_collections(*collections: DataFrame) -> DataFrame:
     return out
 
 
-def _latest(rows: DataFrame) -> DataFrame:
+def latest(rows: DataFrame) -> DataFrame:
+    """The row of the latest batch per ``doc_id`` (of the larger text within a batch)."""
     w = Window.partitionBy("doc_id").orderBy(F.col("batch_id").desc(), F.col("text").desc())
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
@@ -33,21 +36,18 @@ def upsert_collection(current: DataFrame, batch: DataFrame) -> DataFrame:
     """A document indexed again under the same id replaces the older one.
 
     Latest ``batch_id`` wins; within one batch the larger text wins, so the result does
-    not depend on arrival order.  When the batch's ids fit a broadcast (size-checked),
-    the stored collection is never shuffled: untouched documents pass through an
-    anti-join against the broadcast ids (bucket-local when ``current`` is bucketed by
-    ``doc_id``), and only the touched ids are resolved.  Otherwise everything is resolved
-    together; ``row_number() = 1`` then gets a partial top-1 before the exchange.
+    not depend on arrival order.  A stored collection holds an id once, so its untouched
+    documents pass an anti-join as they are; only the touched ids are resolved.  When the
+    batch's ids fit a broadcast (size-checked) the untouched texts are not shuffled.
     """
     from parley.plans.sizing import fits_broadcast
 
     batch = batch.select(*current.columns)
     ids = batch.select("doc_id").distinct()
-    if not fits_broadcast(ids):
-        return _latest(current.unionByName(batch))
-    ids = F.broadcast(ids)
-    untouched = _latest(current.join(ids, "doc_id", "left_anti"))
-    touched = _latest(current.join(ids, "doc_id", "left_semi").unionByName(batch))
+    if fits_broadcast(ids):
+        ids = F.broadcast(ids)
+    untouched = current.join(ids, "doc_id", "left_anti")
+    touched = latest(current.join(ids, "doc_id", "left_semi").unionByName(batch))
     return untouched.unionByName(touched)
 
 
@@ -57,7 +57,8 @@ def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int |
 
     The returned DataFrame scans with ``HashPartitioning(key)``, so joins and aggregates
     on ``key`` need no exchange of this side.  Falls back to plain Parquet (no bucket
-    metadata) when the session catalog cannot hold tables.  ``prepartitioned`` means ``df``
+    metadata, and a warning) when the session catalog cannot hold tables; any other error
+    is raised.  ``prepartitioned`` means ``df``
     is already ``repartition(buckets, key)``-ed (so work placed after that shuffle runs in
     ``buckets`` tasks).
     """
@@ -74,7 +75,8 @@ def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int |
             .saveAsTable(name)
         )
         return spark.table(name)
-    except Exception:  # catalog without table support: keep the data, lose the bucket map
+    except AnalysisException as e:  # catalog without table support: keep the data, lose the bucket map
+        warnings.warn(f"stored without buckets, later steps will shuffle: {e}", stacklevel=2)
         part.sortWithinPartitions(key).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
@@ -89,13 +91,20 @@ def register_bucketed(spark: SparkSession, path: str, key: str, buckets: int, na
             f"INTO {buckets} BUCKETS LOCATION '{path}'"
         )
         return spark.table(name)
-    except Exception:  # catalog without table support
+    except AnalysisException as e:  # catalog without table support
+        warnings.warn(f"read without buckets, later steps will shuffle: {e}", stacklevel=2)
         return spark.read.parquet(path)
 
 
 def replace_collection(df: DataFrame, path: str | None = None, buckets: int | None = None) -> DataFrame:
-    """Drop whatever is stored at ``path`` and store ``df`` anew (bucketed by doc_id)."""
+    """Drop whatever is stored at ``path`` and store ``df`` anew (bucketed by doc_id).
+
+    ``df`` must not read from ``path``: overwriting would destroy its own input.
+    """
     path = path or scratch_path(df.sparkSession, "collection")
+    own = re.sub("^file:/*", "/", path).rstrip("/") + "/"
+    if any(re.sub("^file:/*", "/", f).startswith(own) for f in df.inputFiles()):
+        raise ValueError(f"the new collection reads from {path}, which it would overwrite")
     return write_bucketed(df, path, "doc_id", buckets)
 
 

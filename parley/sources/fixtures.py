@@ -34,16 +34,26 @@ def _src_no() -> F.Column:
     return F.substring(F.col("source"), 4, 100).cast("int")
 
 
+def passage_half(documents: DataFrame) -> DataFrame:
+    """The documents that the collection takes from its passage file."""
+    return documents.where(_src_no() < MARCO_SOURCES_BELOW)
+
+
+def paragraph_half(documents: DataFrame) -> DataFrame:
+    """The documents that the collection takes from its paragraph file."""
+    return documents.where(_src_no() >= MARCO_SOURCES_BELOW)
+
+
 def passage_lines(documents: DataFrame) -> DataFrame:
-    """The passage half as TSV lines ``id<TAB>text`` (tabs/line breaks in text -> space)."""
-    return documents.where(_src_no() < MARCO_SOURCES_BELOW).select(
+    """Documents as TSV lines ``id<TAB>text`` (tabs/line breaks in text -> space)."""
+    return documents.select(
         F.concat_ws("\t", F.col("doc_id").cast("string"), F.regexp_replace("text", r"[\t\n\r]", " ")).alias("value")
     )
 
 
 def paragraphs(documents: DataFrame) -> DataFrame:
-    """The paragraph half as nested rows: one body per text line."""
-    return documents.where(_src_no() >= MARCO_SOURCES_BELOW).select(
+    """Documents as nested rows: one body per text line."""
+    return documents.select(
         F.col("doc_id").cast("string").alias("para_id"),
         F.transform(F.split("text", "\n", -1), lambda x: F.struct(x.alias("text"))).alias("bodies"),
     )
@@ -52,7 +62,8 @@ def paragraphs(documents: DataFrame) -> DataFrame:
 def collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``collection(doc_id, text, source, batch_id)`` through the S1/S2/S3 operators."""
     docs = table(spark, sf_dir, "documents")
-    return union_collections(parse_passage_lines(passage_lines(docs)), load_paragraphs(paragraphs(docs)))
+    return union_collections(
+        parse_passage_lines(passage_lines(passage_half(docs))), load_paragraphs(paragraphs(paragraph_half(docs))))
 
 
 def upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +118,14 @@ def topics_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query set with turns that hold no term: the first line of every document."""
+    d = table(spark, sf_dir, "documents")
+    line = F.split("text", "\n").getItem(0)
+    return d.select(F.col("doc_id").alias("topic"), F.lit(1).cast("bigint").alias("turn"), line.alias("manual"), line.alias("automatic"),
+                    F.col("doc_id").alias("pos_topic"), F.lit(1).cast("bigint").alias("pos_turn"))
+
+
 def topics_nested(turns: DataFrame) -> DataFrame:
     """Turns -> the published nested topic shape ``(number, turn: array<struct>)``."""
     return turns.groupBy(F.col("topic").alias("number")).agg(

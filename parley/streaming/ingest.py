@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parley.sources.collection import upsert_collection
+from parley.sources.collection import latest
 from parley.sources.passages import parse_passage_lines
 
 
@@ -48,4 +48,4 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
 def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
     """Current collection: every ingested row, latest batch per ``doc_id``."""
     rows = spark.read.parquet(table_path).select("doc_id", "text", "source", "batch_id")
-    return upsert_collection(rows.limit(0), rows)
+    return latest(rows)

@@ -66,3 +66,39 @@ def test_pair_score_hook(spark):
 
     got = {r["doc_id"]: r["score"] for r in R.pair_scores_with(pairs, score).collect()}
     assert got == {"d1": 1.0, "d2": 0.0}
+
+
+def test_models_in_the_pipeline_are_built_once_per_worker(spark, small_corpus, tmp_path):
+    from parley.plans.pipelines import rerank
+
+    log = str(tmp_path / "built")
+
+    def scorer():
+        with open(log, "a") as f:
+            f.write("x")
+        return lambda queries, passages: [float(len(p)) for p in passages]
+
+    def encoder():
+        return lambda texts: [[1.0, float(len(t))] for t in texts]
+
+    turns = Q.turns_for(spark.createDataFrame([(1, 1, "throat cancer", "x"), (2, 1, "growing gardens", "y")], "topic long, turn long, manual string, automatic string"), "Manual")
+    data = {r["doc_id"]: r["data"] for r in small_corpus.collection.collect()}
+    got = rerank(turns, small_corpus, 3, 5, scorer=scorer).collect()
+    assert got and all(r["score"] == len(data[r["doc_id"]]) for r in got)
+    workers = spark.sparkContext.defaultParallelism
+    rerank(turns, small_corpus, 3, 5, scorer=scorer).collect()
+    assert 1 <= len(open(log).read()) <= 2 * workers
+    text = {r["qid"]: r["query_text"] for r in Q.query_text(turns, small_corpus.stem_map, ["qid"]).collect()}
+    got = rerank(turns, small_corpus, 5, 5, encoder=encoder).collect()
+    assert got and all(r["score"] == 1.0 + len(data[r["doc_id"]]) * len(text[r["qid"]]) for r in got)
+    with pytest.raises(ValueError):
+        R.embed_with(small_corpus.collection, "data")
+
+
+def test_query_likelihood_of_analyzed_tokens(spark, small_corpus):
+    turns, pairs, qtext = _pairs(spark, small_corpus, "the throat")
+    raw = {r["doc_id"]: r["score"] for r in R.query_likelihood(pairs, turns, small_corpus, ["qid"]).collect()}
+    own = {r["doc_id"]: r["score"] for r in R.query_likelihood(pairs, qtext, small_corpus, ["qid"], text_col="query_text", query_tokens="analyzed").collect()}
+    assert set(raw) == set(own) and all(own[d] > raw[d] for d in raw)  # one token less
+    with pytest.raises(ValueError):
+        R.query_likelihood(pairs, turns, small_corpus, ["qid"], query_tokens="other")

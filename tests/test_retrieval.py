@@ -68,10 +68,54 @@ def test_corpus_reused_from_manifest(spark):
     assert sorted(tuple(r) for r in again.postings.collect()) == sorted(tuple(r) for r in first.postings.collect())
 
 
-def test_bucket_count_bounds(spark):
-    from parley.plans.corpus import bucket_count
+def test_bucket_count_follows_the_bytes(spark):
+    from parley.plans.corpus import BUCKET_BYTES, bucket_count
 
-    par = spark.sparkContext.defaultParallelism
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert bucket_count(spark, 0) == min(cap, par)
-    assert bucket_count(spark, 10**15) == cap
+    small = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert bucket_count(spark, 0) == bucket_count(spark, BUCKET_BYTES) == small
+    assert bucket_count(spark, 10**15) == -(-(10**15) // BUCKET_BYTES)  # no setting caps it
+
+
+def test_repeated_id_keeps_the_last_row(spark):
+    from parley.plans.corpus import build_corpus
+
+    rows = [("A1", "throat cancer treatment", "X", 1), ("A1", "growing tomatoes", "X", 2), ("A2", "cancer research", "X", 1)]
+    c = build_corpus(spark.createDataFrame(rows, "doc_id string, text string, source string, batch_id bigint"))
+    got = {r["doc_id"]: r["data"] for r in c.collection.collect()}
+    assert set(got) == {"A1", "A2"} and "tomato" in got["A1"] and "cancer" not in got["A1"]
+    assert c.n_docs == 2
+    t = Q.turns_for(_turns(spark, [(1, 1, "cancer", "")]), "Manual")
+    assert [r["doc_id"] for r in Q.bm25_retrieve(t, c, 5).collect()] == ["A2"]
+
+
+def test_preprocess_with_a_repeated_key(spark, small_corpus):
+    from parley.operators.analysis import preprocess
+
+    docs = spark.createDataFrame([("d", "growing gardens"), ("d", "cancer treatments"), ("e", "growing gardens")], "doc_id string, text string")
+    got = sorted((r["doc_id"], r["data"]) for r in preprocess(docs, ["doc_id"], "text", small_corpus.stem_map).collect())
+    assert len(got) == 3 and got[2][1] in {got[0][1], got[1][1]}
+
+
+def test_repeated_qid_is_deterministic(spark):
+    turns = spark.createDataFrame([(1, 1, "a", "x"), (1, 1, "c", "y"), (1, 1, "b", "z")], "topic long, turn long, manual string, automatic string")
+    for n in (1, 3):
+        assert [r["manual"] for r in Q.make_qid(turns.repartition(n)).collect()] == ["c"]
+
+
+def test_large_query_batches_never_shuffle_the_index(spark, small_corpus, monkeypatch):
+    from parley.plans import sizing
+
+    t = Q.turns_for(_turns(spark, [(k, 1, x, "") for k, x in enumerate(["throat cancer", "growing gardens", "sore throats", "research"])]), "Manual")
+    whole = sorted(tuple(r) for r in Q.bm25_retrieve(t, small_corpus, 5).collect())
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 4)
+    parts = Q.bm25_retrieve(t, small_corpus, 5)
+    assert sorted(tuple(r) for r in parts.collect()) == whole
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in plan
+
+
+def test_nothing_stays_cached(spark, small_corpus):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    t = Q.turns_for(_turns(spark, [(1, 1, "throat cancer", "")]), "Manual")
+    Q.bm25_retrieve(t, small_corpus, 5).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

@@ -56,3 +56,39 @@ def test_run_round_trip(spark, tmp_path):
     back = sorted((r["qid"], r["doc_id"], r["rank"], r["score"], r["tag"]) for r in load_run(spark, path).collect())
     assert back == sorted([("10_2", "MARCO_1", 1, 3.25, "Manual"), ("10_2", "CAR_9", 2, 1.5, "Manual"), ("2_1", "MARCO_7", 1, 0.5, "Manual")])
     assert format_run(ranking, "X").count() == 3
+
+
+def test_replace_collection_replaces(spark, tmp_path):
+    import pytest
+
+    from parley.sources.collection import collection_counts, replace_collection
+
+    make = lambda rows: spark.createDataFrame(rows, "doc_id string, text string, source string, batch_id bigint")
+    path = str(tmp_path / "collection")
+    old = replace_collection(make([("a", "x", "S", 1), ("b", "y", "T", 1)]), path, buckets=2)
+    assert sorted(tuple(r) for r in collection_counts(old).collect()) == [("S", 1), ("T", 1)]
+    with pytest.raises(ValueError):
+        replace_collection(old, path, buckets=2)
+    new = replace_collection(make([("c", "z", "S", 2)]), path, buckets=2)
+    assert [r["doc_id"] for r in new.collect()] == ["c"]
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_short_judgement_and_run_lines_are_reported(spark):
+    from parley.sources.trec import parse_qrels, parse_run, rejected_lines
+
+    lines = spark.createDataFrame([("1_1 0 d1 2",), ("1_1 0 d1",), ("",), ("1_1 Q0 d1 1 0.5 tag",)], "value string")
+    assert parse_qrels(lines).count() == 2 and [r["value"] for r in rejected_lines(lines, 4).collect()] == ["1_1 0 d1"]
+    assert parse_run(lines).count() == 1 and rejected_lines(lines, 6).count() == 2
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from parley.session import checkpoint_root
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://x:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError):
+        checkpoint_root(session)
