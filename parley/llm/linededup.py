@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import stored
+from parley.llm.common import stored, whole
 
 #: Lines of the shortest run that counts as repeated.
 RUN = 3
@@ -33,14 +33,22 @@ def _lines(text: str) -> Column:
 
 
 def fingerprints(docs: DataFrame, doc_id: str, text: str, run: int) -> DataFrame:
-    """Per document of at least ``run`` lines: its key, the hashes of its lines and, as
-    ``__f``, the (hash, place) of the last minimum of each window of ``run`` lines."""
+    """Per document of at least ``run`` lines: its key and, as ``__f``, for each distinct
+    last minimum of the windows of ``run`` lines: its hash, place, and the windows that hold
+    it, as structs of start and two hashes (s, w, v).
+
+    Each array is a column of its own, which the lambdas read by place.
+    """
     d = docs.select(*_key(doc_id, text), F.transform(_lines(text), lambda x: F.xxhash64(x)).alias("__h"))
     d = d.filter(F.size("__h") >= run)
     d = d.withColumn("__p", F.transform("__h", lambda h, i: F.struct(h.alias("h"), (-i).alias("i"))))
-    least = F.transform(F.sequence(F.lit(0), F.size("__p") - run), lambda i: F.array_min(F.slice("__p", i + 1, run)))
-    kept = F.transform(F.array_distinct(least), lambda x: F.struct(x["h"].alias("h"), (-x["i"]).alias("i")))
-    return d.select(*_KEY, "__h", kept.alias("__f"))
+    d = d.withColumn("__l", F.transform(F.sequence(F.lit(0), F.size("__p") - run), lambda i: F.array_min(F.slice("__p", i + 1, run))))
+    # their places never go back, so equal ones are neighbours
+    d = d.withColumn("__m", F.filter("__l", lambda x, i: (i == 0) | (x["i"] != F.get("__l", i - 1)["i"])))
+    lines = lambda s: [F.get("__h", s + j) for j in range(run)]
+    window = lambda s: F.struct(s.alias("s"), F.xxhash64(*lines(s)).alias("w"), F.xxhash64(F.lit("second"), *lines(s)).alias("v"))
+    around = lambda i: F.sequence(F.greatest(F.lit(0), i - (run - 1)), F.least(i, F.size("__h") - run))
+    return d.select(*_KEY, F.transform("__m", lambda x: F.struct(x["h"].alias("h"), (-x["i"]).alias("i"), F.transform(around(-x["i"]), window).alias("around"))).alias("__f"))
 
 
 def later_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
@@ -49,10 +57,11 @@ def later_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run
     Equal rows (same id, same text) cannot be told apart and count as one document.  What
     is joined is stored first: then either side of a join is a plain exchange, which
     adaptive execution can split where one line or passage is in very many documents.
+    The joins sort at every size, so that work grows evenly with the input.
     """
     docs = docs.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias(text))
     prints = stored(fingerprints(docs, doc_id, text, run), "line-prints")
-    places = prints.select(*_KEY, "__h", F.explode("__f").alias("__x")).select(*_KEY, "__h", F.col("__x.h").alias("__hash"), F.col("__x.i").alias("__at"))
+    places = prints.select(*_KEY, F.explode("__f").alias("__x")).select(*_KEY, F.col("__x.h").alias("__hash"), F.col("__x.i").alias("__at"), "__x.around")
     # a fingerprint is worth extending if it stands at two different places
     spot = {"d": F.xxhash64(F.col("__d")), "t": F.col("__t"), "u": F.col("__u"), "i": F.col("__at")}
     ends = places.groupBy("__hash").agg(*[f(c).alias(f"{n}_{k}") for k, c in spot.items() for n, f in (("least", F.min), ("most", F.max))])
@@ -60,34 +69,32 @@ def later_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run
     for k in spot:
         two = two | (F.col(f"least_{k}") != F.col(f"most_{k}"))
     shared = stored(ends.filter(two).select("__hash"), "line-shared")
-    # extend: every window of `run` lines around the position, inside the document
-    around = F.sequence(F.greatest(F.lit(0), F.col("__at") - (run - 1)), F.least(F.col("__at"), F.size("__h") - run))
-    lines = lambda s: [F.get("__h", s + j) for j in range(run)]
-    windows = F.transform(around, lambda s: F.struct(s.alias("s"), F.xxhash64(*lines(s)).alias("w"), F.xxhash64(F.lit("second"), *lines(s)).alias("v")))
-    windows = places.select(*_KEY, "__hash", F.explode(windows).alias("__w"))
-    windows = stored(windows.join(shared, "__hash", "left_semi").select(*_KEY, "__w.*").distinct(), "line-windows")
+    # extend: the windows of `run` lines around the position, inside the document
+    windows = places.select(*_KEY, "__hash", F.explode("around").alias("__w"))
+    windows = stored(windows.join(shared.hint("merge"), "__hash", "left_semi").select(*_KEY, "__w.*").distinct(), "line-windows")
     place = F.struct(*_KEY, "s")
     first = windows.groupBy("w", "v").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = stored(first.filter(~F.col("first").eqNullSafe(F.col("last"))).select("w", "v", "first"), "line-firsts")
-    later = windows.join(first, ["w", "v"]).filter(~place.eqNullSafe(F.col("first")))
+    later = windows.join(first.hint("merge"), ["w", "v"]).filter(~place.eqNullSafe(F.col("first")))
     gone = F.flatten(F.transform(F.collect_set("s"), lambda s: F.sequence(s, s + run - 1)))
     return stored(later.groupBy(*_KEY).agg(F.sort_array(F.array_distinct(gone)).alias("__gone")), "line-gone")
 
 
 def _shortened(docs: DataFrame, doc_id: str, text: str, run: int) -> DataFrame:
-    """``docs`` with ``__gone`` (places of the deleted lines, null if none) and ``__new``."""
+    """Each row of ``docs`` as the struct ``row``, its ``text``, ``__gone`` (places of the
+    deleted lines, null if none) and ``__new``, the text without them."""
     gone = later_lines(docs, doc_id, text, run)
-    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *[c.alias(f"__own{k}") for c, k in zip(_key(doc_id, text), _KEY)])
+    keyed = docs.select(whole(docs), *[c.alias(f"__own{k}") for c, k in zip(_key(doc_id, text), _KEY)])
     same = F.lit(True)
     for k in _KEY:
         same = same & F.col(f"__own{k}").eqNullSafe(F.col(k))
-    out = keyed.join(gone, same, "left")
-    out = out.withColumn("__lines", F.when(F.col("__gone").isNotNull(), _lines(text)))
+    out = keyed.join(gone.hint("merge"), same, "left").withColumn("text", F.col(f"row.`{text}`"))
+    out = out.withColumn("__lines", F.when(F.col("__gone").isNotNull(), _lines("text")))
     # the stretches between deleted lines
     out = out.withColumn("__edge", F.concat(F.array(F.lit(-1)), F.col("__gone"), F.array(F.size("__lines"))))
     gaps = F.transform("__edge", lambda e, i: F.struct((F.get("__edge", i - 1) + 1).alias("a"), (e - F.get("__edge", i - 1) - 1).alias("n")))
     kept = F.transform(F.filter(gaps, lambda g: g["n"] > 0), lambda g: F.slice("__lines", g["a"] + 1, g["n"]))
-    return out.withColumn("__new", F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(F.flatten(kept), "\n")))
+    return out.withColumn("__new", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(kept), "\n")))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN, length: str | None = None) -> DataFrame:
@@ -103,8 +110,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run
     out = _shortened(docs, doc_id, text, run)
     changed = {text: F.col("__new")}
     if length:
-        changed[length] = F.when(F.col("__gone").isNull(), F.col(f"`{length}`")).otherwise(F.length("__new").cast(docs.schema[length].dataType))
-    return out.select([changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        changed[length] = F.when(F.col("__gone").isNull(), F.col(f"row.`{length}`")).otherwise(F.length("__new").cast(docs.schema[length].dataType))
+    return out.select([changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
@@ -113,4 +120,4 @@ def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines("text"))).cast("long")
     n_deleted = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long")
-    return _shortened(rows, "doc_id", "text", run).select("doc_id", n_lines.alias("n_lines"), n_deleted.alias("n_deleted"), F.col("__new").alias("text"))
+    return _shortened(rows, "doc_id", "text", run).select("row.doc_id", n_lines.alias("n_lines"), n_deleted.alias("n_deleted"), F.col("__new").alias("text"))
