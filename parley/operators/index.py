@@ -86,6 +86,16 @@ def text_bigrams(collection: DataFrame, data_col: str = "data") -> DataFrame:
     return rows.groupBy("doc_id", F.col("ab.a").alias("a"), F.col("ab.b").alias("b")).agg(F.min("pos").alias("first_pos"))
 
 
+def slot(term: F.Column, dim: int = 256) -> F.Column:
+    """The hashed encoder's slot of a term."""
+    return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
+
+
+def sign(term: F.Column) -> F.Column:
+    """The hashed encoder's sign of a term."""
+    return F.when(F.conv(F.substring(F.md5(term), 9, 1), 16, 10).cast("int") % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+
+
 def text_stats(postings_text: DataFrame, n_all_docs: int, dim: int = 256) -> DataFrame:
     """Stored-text term statistics ``(term, df, cf, idf, slot, sign)``.
 
@@ -93,30 +103,25 @@ def text_stats(postings_text: DataFrame, n_all_docs: int, dim: int = 256) -> Dat
     sign of the term, computed once here instead of per (document, term) at query time.
     """
     s = postings_text.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    md5 = F.md5(F.col("term"))
-    return s.select(
-        "term", "df", "cf",
-        bm25_idf(F.col("df"), n_all_docs).alias("idf"),
-        (F.conv(F.substring(md5, 1, 8), 16, 10).cast("bigint") % dim).cast("int").alias("slot"),
-        F.when(F.conv(F.substring(md5, 9, 1), 16, 10).cast("int") % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("sign"),
-    )
+    return s.select("term", "df", "cf", bm25_idf(F.col("df"), n_all_docs).alias("idf"),
+                    slot(F.col("term"), dim).alias("slot"), sign(F.col("term")).alias("sign"))
 
 
-def doc_vectors(postings_text: DataFrame, stats: DataFrame, dim: int = 256) -> DataFrame:
-    """Built-in encoder over every stored passage: ``(doc_id, vec array<double>[dim])``.
+def hashed_vectors(weighted: DataFrame, keys: list[str]) -> DataFrame:
+    """The built-in encoder's vectors from term weights ``(*keys, slot, w)``: summed per slot
+    and L2-normalised, as the non-zero ``slots`` (ascending) and their ``weights``."""
+    sw = weighted.groupBy(*keys, "slot").agg(F.sum("w").alias("w"))
+    v = sw.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("slot", "w"))).alias("e"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    unit = F.transform("e", lambda x: F.when(F.col("norm") > 0, x["w"] / F.col("norm")).otherwise(F.lit(0.0)))
+    return v.select(*keys, F.transform("e", lambda x: x["slot"]).alias("slots"), unit.alias("weights"))
+
+
+def doc_vectors(postings_text: DataFrame, stats: DataFrame) -> DataFrame:
+    """Built-in encoder over every stored passage: ``(doc_id, slots, weights)``.
 
     ``(1 + ln tf) * idf * sign`` summed per hashed slot, L2-normalised; passages without
-    tokens get no row.
+    tokens get no row.  Only the slots that occur are stored.
     """
     w = postings_text.join(stats.select("term", "idf", "slot", "sign"), "term").select(
         "doc_id", "slot", ((F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf") * F.col("sign")).alias("w"))
-    sw = w.groupBy("doc_id", "slot").agg(F.sum("w").alias("w"))
-    v = sw.groupBy("doc_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("m"),
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-    )
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.when(F.col("norm") > 0, F.coalesce(F.try_element_at(F.col("m"), i + F.lit(0)), F.lit(0.0)) / F.col("norm")).otherwise(F.lit(0.0)),
-    )
-    return v.select("doc_id", dense.alias("vec"))
+    return hashed_vectors(w, ["doc_id"])

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.text import raw_terms
-from parley.operators.index import bm25_idf
-from parley.plans.sizing import bounded_broadcast, lookup_small
+from parley.operators.index import bm25_idf, hashed_vectors, sign, slot
+from parley.plans.sizing import bounded_broadcast, lookup_small, materialize
 
 # --- fixed values -----------------------------------------------------------------------
 EMBED_DIM = 256  # hashed encoder slots
@@ -55,52 +55,24 @@ def build_pairs(pairs: DataFrame, query_texts: DataFrame, collection: DataFrame,
 
 
 # ----------------------------------------------------------------------------- R3 / R4
-def _slot(term: Column, dim: int) -> Column:
-    return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
-
-
-def _sign(term: Column) -> Column:
-    d = F.conv(F.substring(F.md5(term), 9, 1), 16, 10).cast("int")
-    return F.when(d % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-
-
 def text_idf(corpus) -> DataFrame:
     """``(term, idf)`` over stored-text tokens (terms absent here get df = 0)."""
     return corpus.text_stats.select("term", "idf")
 
 
-def embed(df: DataFrame, keys: list[str], text_col: str, corpus, dim: int = EMBED_DIM,
-          small_side: bool = False, sparse: bool = False) -> DataFrame:
+def embed(df: DataFrame, keys: list[str], text_col: str, corpus, dim: int = EMBED_DIM) -> DataFrame:
     """R3 built-in encoder: hashed ``(1 + ln tf) * idf`` weights, signed, L2-normalised.
 
-    ``(*keys, text) -> (*keys, vec array<double>[dim])``; texts without tokens get no row.
-    ``small_side`` broadcasts the text side's term rows (size-checked) against the idf table.
-    ``sparse`` returns only the non-zero slots (``slots``, ``weights``), for short texts.
+    ``(*keys, text) -> (*keys, slots, weights)``, the non-zero slots only; texts without
+    tokens get no row.  Meant for the query side: its terms (size-checked) are broadcast
+    to the idf table.  Stored passages have their vectors in ``corpus.doc_vectors``.
     """
     toks = df.select(*keys, F.explode(F.split(F.col(text_col), " ")).alias("term")).where("term <> ''")
     tf = toks.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
-    idf = text_idf(corpus)
-    if small_side:
-        tw = lookup_small(tf, idf, "term")
-    else:
-        tw = tf.join(idf, "term", "left")
-    missing_idf = bm25_idf(F.lit(0), corpus.n_all_docs)
-    w = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.coalesce(F.col("idf"), missing_idf) * _sign(F.col("term"))
-    sw = tw.select(*keys, _slot(F.col("term"), dim).alias("slot"), w.alias("w")).groupBy(*keys, "slot").agg(F.sum("w").alias("w"))
-    v = sw.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("m"),
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-    )
-    if sparse:
-        # non-zero slots in ascending order: (slots array<int>, weights array<double>)
-        ent = F.array_sort(F.map_entries("m"))
-        w = F.transform(ent, lambda e: F.when(F.col("norm") > 0, e["value"] / F.col("norm")).otherwise(F.lit(0.0)))
-        return v.select(*keys, F.transform(ent, lambda e: e["key"]).alias("slots"), w.alias("weights"))
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.when(F.col("norm") > 0, F.coalesce(F.try_element_at(F.col("m"), i + F.lit(0)), F.lit(0.0)) / F.col("norm")).otherwise(F.lit(0.0)),
-    )
-    return v.select(*keys, dense.alias("vec"))
+    tw = lookup_small(tf, text_idf(corpus), "term")
+    idf = F.coalesce(F.col("idf"), bm25_idf(F.lit(0), corpus.n_all_docs))
+    w = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * idf * sign(F.col("term"))
+    return hashed_vectors(tw.select(*keys, slot(F.col("term"), dim).alias("slot"), w.alias("w")), keys)
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
@@ -118,22 +90,26 @@ def dot_rerank(pairs: DataFrame, query_vecs: DataFrame, doc_vecs: DataFrame, key
     are joined back to the pairs.
     """
     pk = [*keys, "doc_id"]
-    d = doc_vecs.select("doc_id", F.col("vec").alias("dvec"))
-    j = d.join(bounded_broadcast(pairs.select(*pk)), "doc_id")
-    if "slots" in query_vecs.columns:  # sparse query: touch only its non-zero slots
-        j = j.join(bounded_broadcast(query_vecs), keys)
-        prod = F.zip_with("slots", "weights", lambda i, w: w * F.col("dvec")[i])
-        s = j.select(*pk, F.aggregate(prod, F.lit(0.0), lambda acc, v: acc + v).alias("_dot"))
+    if "slots" in doc_vecs.columns:  # built-in vectors: the document's slots, looked up in the query's
+        d = doc_vecs.select("doc_id", F.col("slots").alias("ds"), F.col("weights").alias("dw"))
+        at = F.map_from_arrays("slots", "weights")
+        dense = F.transform(F.sequence(F.lit(0), F.lit(EMBED_DIM - 1)), lambda i: F.coalesce(F.try_element_at(at, i + F.lit(0)), F.lit(0.0)))
+        q = query_vecs.select(*keys, dense.alias("q"))
+        prod = F.zip_with("ds", "dw", lambda i, w: w * F.get("q", i))
+        product = F.aggregate(prod, F.lit(0.0), lambda acc, v: acc + v)
     else:
-        j = j.join(bounded_broadcast(query_vecs.withColumnRenamed("vec", "qvec")), keys)
-        s = j.select(*pk, dot("qvec", "dvec").alias("_dot"))
+        d = doc_vecs.select("doc_id", F.col("vec").alias("dvec"))
+        q = query_vecs.withColumnRenamed("vec", "q")
+        product = dot("q", "dvec")
+    j = d.join(bounded_broadcast(pairs.select(*pk)), "doc_id").join(bounded_broadcast(materialize(q)), keys)
+    s = j.select(*pk, product.alias("_dot"))
     out = pairs.join(s, pk, "left")
     return out.select(*pairs.columns, F.round(F.coalesce(F.col("_dot"), F.lit(0.0)), SCORE_DIGITS).alias("score"))
 
 
 def bi_encoder_scores(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[str], dim: int = EMBED_DIM) -> DataFrame:
     """R3 + R4 with the built-in encoder: query text vs stored passage vector (index side)."""
-    qv = embed(query_texts, keys, "query_text", corpus, dim, small_side=True, sparse=True)
+    qv = embed(query_texts, keys, "query_text", corpus, dim)
     return dot_rerank(pairs, qv, corpus.doc_vectors, keys)
 
 
@@ -165,15 +141,16 @@ def pair_features(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[s
     qd, qb, qn = _query_parts(query_texts, corpus, keys)
     pk = [*keys, "doc_id"]
     p = pairs.join(bounded_broadcast(qn.select(*keys, "budget", "nq_distinct", "idf_total")), keys)
-    # query terms found in candidate passages within the budget, from the positional index:
-    # the index side meets the (broadcast) query terms first, then the candidate pairs
-    # index side streams; query terms/bigrams and the pair keys (size-checked) are broadcast,
-    # so the per-pair aggregates run inside the doc_id buckets without an exchange
+    # query terms found in candidate passages within the budget, from the positional index,
+    # which is cut to the candidates' documents first (by doc_id, its bucketing), then to
+    # the query terms, then to the pairs; what is broadcast is size-checked, so the per-pair
+    # aggregates run inside the doc_id buckets without an exchange
     pb = bounded_broadcast(p.select(*pk, "budget"))
-    occ = corpus.text_postings.join(bounded_broadcast(qd.select(*keys, "term", "idf")), "term")
+    docs = bounded_broadcast(pairs.select("doc_id").distinct())
+    occ = corpus.text_postings.join(docs, "doc_id", "left_semi").join(bounded_broadcast(qd.select(*keys, "term", "idf")), "term")
     found = occ.join(pb, pk).where(F.col("first_pos") < F.col("budget"))
     cov = found.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_found"), F.sum("idf").alias("idf_found"))
-    bocc = corpus.text_bigrams.join(bounded_broadcast(qb), ["a", "b"])
+    bocc = corpus.text_bigrams.join(docs, "doc_id", "left_semi").join(bounded_broadcast(qb), ["a", "b"])
     bfound = bocc.join(pb, pk).where(F.col("first_pos") + 1 < F.col("budget"))
     big = bfound.groupBy(*pk).agg(F.count(F.lit(1)).alias("bigrams"))
     dots = bi_encoder_scores(pairs, query_texts, corpus, keys, dim).select(*pk, F.col("score").alias("dot"))
@@ -229,7 +206,8 @@ def query_likelihood(pairs: DataFrame, turns: DataFrame, corpus, keys: list[str]
     qsum = qp.groupBy(*keys).agg(
         F.sum(F.col("qtf") * F.log10("mupc")).alias("background"), F.sum("qtf").alias("qlen"))
     pk = [*keys, "doc_id"]
-    occ = corpus.text_postings.select("doc_id", "term", "tf").join(
+    docs = bounded_broadcast(pairs.select("doc_id").distinct())
+    occ = corpus.text_postings.select("doc_id", "term", "tf").join(docs, "doc_id", "left_semi").join(
         bounded_broadcast(qp.select(*keys, "term", "qtf", "mupc")), "term")
     fg = occ.join(bounded_broadcast(pairs.select(*pk)), pk).groupBy(*pk).agg(
         F.sum(F.col("qtf") * F.log10(F.lit(1.0) + F.col("tf") / F.col("mupc"))).alias("foreground"))

@@ -433,8 +433,8 @@ def embed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parley.operators import rerank as R
 
     c = corpus_for(spark, sf_dir)
-    e = c.doc_vectors.select("doc_id", F.posexplode("vec").alias("slot", "weight"))
-    return e.select("doc_id", F.col("slot").cast("bigint").alias("slot"), F.round("weight", 6).alias("weight")).where(
+    e = c.doc_vectors.select("doc_id", F.explode(F.arrays_zip("slots", "weights")).alias("e"))
+    return e.select("doc_id", F.col("e.slots").cast("bigint").alias("slot"), F.round("e.weights", 6).alias("weight")).where(
         F.col("weight") != 0)
 
 

@@ -39,7 +39,7 @@ class Corpus:
     text_stats: DataFrame  # term, df, cf, idf, slot, sign over stored-text tokens
     text_postings: DataFrame  # doc_id, term, tf, first_pos  (bucketed by doc_id)
     text_bigrams: DataFrame  # doc_id, a, b, first_pos  (bucketed by doc_id)
-    doc_vectors: DataFrame  # doc_id, vec  (bucketed by doc_id)
+    doc_vectors: DataFrame  # doc_id, slots, weights  (bucketed by doc_id)
     n_docs: int
     sum_dl: int
     avgdl: float
