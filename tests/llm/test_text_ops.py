@@ -179,6 +179,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><meta x><body class="has-si
     (PAGE.replace("article", "section").replace("main", "div"), None),
     (None, ""), ("", ""), ("plain &lt; text", "plain < text"), ("<p>a<!-- no end", "a"), ("<article><p>cut o", "cut o"),
     ("<article><p>a</article><p>out", "a"), ("<form><article><p>a</article></form>", "a"),
+    ("<div>top</div><div role=main><p>a</div><div>end</div>", "a"),
+    ("<article><p>a<div class='reader-comments'><p>b</div><p class=notice>c<p>d</article>", "a\n\nd"),
     ("<nav><a href='/'>x</a></nav><p>" + "long words " * 20 + "<p>s", "long words " * 19 + "long words\n\ns"),
 ])
 def test_main_text(html, want):
