@@ -102,6 +102,25 @@ def test_near_duplicates_equal_brute_force(spark):
     assert left.count() == len(set(label))
 
 
+def test_near_duplicates_within_a_template_family(spark):
+    """Texts that share a template are no duplicates, and one of them is every bucket's hub:
+    pairs among the others have to be found beside it, whatever their lengths."""
+    rnd = random.Random(12)
+    new = lambda n: [f"u{rnd.randrange(10**9)}" for _ in range(n)]
+    template, pairs, want = new(400), [], set()
+    for k in range(300):
+        own = new(rnd.choice((80, 90, 180)))
+        pairs.append((len(pairs), " ".join(template + own)))
+        if k % 5 == 0:
+            want.add((len(pairs) - 1, len(pairs)))
+            pairs.append((len(pairs), " ".join(template + own[: len(own) // 2] + new(len(own) // 2))))
+    sets = [shingles(t) for _, t in pairs]
+    alike = {(a, b) for a, b in combinations(range(len(pairs)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert alike <= want and len(alike) >= 30
+    got = {r.doc_id: r.class_id for r in orderminhash.near_duplicates(frame(spark, pairs)).collect()}
+    assert {(c, i) for i, c in got.items() if c != i} == alike
+
+
 def test_near_duplicates_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert orderminhash.near_duplicates(empty).count() == 0 and orderminhash.dedup(empty).count() == 0
