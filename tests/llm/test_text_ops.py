@@ -191,6 +191,12 @@ def test_main_text(html, want):
         assert "cookies" not in got and "reader" not in got and "menu" not in got
 
 
+@pytest.mark.parametrize("raw", ["<svg class='icon'/>", "<math/>", "<canvas />", "<object data=x />", "<svg><svg>x</svg>y</svg>", "<object>x<object>y</object>z</object>", "<svg>", "<svg><svg/>x</svg>"])
+def test_raw_elements_end_where_they_end(raw):
+    assert lineblock.main_text(f"<article><p>a {raw} b</p><p>c</article>") == "a b\n\nc"
+    assert lineblock.main_text(f"<article><p>a {raw} b</p><svg>i</svg><p>c</article>") == "a b\n\nc" or raw == "<svg>"
+
+
 def test_extract_keeps_every_row(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 30_000 + "</article>"
     pages = spark.createDataFrame([(1, "u", PAGE, 3), (1, "u", PAGE, 3), (None, None, None, 4), (2, "v", long, 5)], "page_id long, url string, html string, n_chars int")
