@@ -191,6 +191,17 @@ def test_main_text(html, want):
         assert "cookies" not in got and "reader" not in got and "menu" not in got
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<h2 id='related-work'>a</h2><p>b", "a\n\nb"), ("<section id='social-impact'><p>a</section><p>b", "a\n\nb"),
+    ("<section id='discussion'><h2>a</h2></section><p>b", "a\n\nb"), ("<h3 id=search>a</h3><p class='alert-levels'>b", "a\n\nb"),
+    ("<section class='related-posts'><p>a</section><p>b", "b"), ("<section id='social-share'><p>a</section><p>b", "b"),
+    ("<section id='comments'><p>a</section><p class=notice>c<p>b", "b"), ("<div class='related-box'><p>a</div><p>b", "b"),
+])
+def test_slugs_of_an_article_are_not_its_surroundings(html, want):
+    assert lineblock.main_text(f"<article>{html}</article>") == want
+    assert lineblock.main_text(f"<div class='page-with-sidebar'><p>{'long words ' * 20}</p></div>") == " ".join(["long words"] * 20)
+
+
 @pytest.mark.parametrize("raw", ["<svg class='icon'/>", "<math/>", "<canvas />", "<object data=x />", "<svg><svg>x</svg>y</svg>", "<object>x<object>y</object>z</object>", "<svg>", "<svg><svg/>x</svg>"])
 def test_raw_elements_end_where_they_end(raw):
     assert lineblock.main_text(f"<article><p>a {raw} b</p><p>c</article>") == "a b\n\nc"
