@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
-from parley.llm import bpe, chunks, linededup, lineblock, merkle, orderminhash, quality, sharding, tokenfiles, winnow
+from parley.llm import bpe, chunks, filteraudit, linededup, lineblock, merkle, orderminhash, phrases, quality, sharding, simhash, tokenfiles, winnow
 from parley.llm.common import stored, table
 from parley.session import scratch_path
 
@@ -62,6 +62,19 @@ def op10_content_defined_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = filteraudit.base_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filteraudit.audit(rows, filteraudit.failing_ids(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_merkle_fixity": op1_merkle_fixity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -73,4 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_minimax_sharding": op9_minimax_sharding,
     "op10_content_defined_chunks": op10_content_defined_chunks,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_simhash": op12_simhash,
+    "op13_filter_audit": op13_filter_audit,
 }
