@@ -7,7 +7,8 @@ the counts of successively shorter prefixes, which are the counts of all shorter
 A word or pair of words that stands less than LEAST times is in no candidate, nor in a part
 of one, so windows are also padded there.  What is rare is told by counters of hashed words
 and pairs (2^BITS of them, whatever the input): a counter is never less than any count it
-holds, so no window of a candidate is cut.
+holds, so no window of a candidate is cut.  The fuller the counters, the fewer windows they
+shorten; the result is the same.
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from parley.session import apply_plan_settings
 
 #: Words of the longest phrase, the least count of a candidate, rows returned per language.
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: 2^BITS counters, in parts of 2^16; a mebibyte or two as bits.
-BITS = 24
-#: Text bytes handled at once, within a text too.
-BLOCK = 4 << 20
-
-_PART = 1 << 16
+#: 2^BITS counters, of which a bit each is sent to the tasks (32 MB).  They tell rare pairs
+#: while there are less than some 50 words to a counter, up to 10^10 words.
+BITS = 28
+#: Text bytes handled at once, within a text too, and counters that a task holds.
+BLOCK, HELD = 2 << 20, 4 << 20
+
+#: Counters travel in parts of 2^20, each of 16 runs of 2^16.
+_PART, _RUN = 1 << 20, 1 << 16
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _WORD = ~_BREAK
@@ -104,58 +107,99 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[Block, list[str]]]:
 
 
 def _slots(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+    return (h >> np.uint64(64 - bits)).astype(np.uint32)
+
+
+def _summed(slots: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct slots in order, and the sums of their counts."""
+    order = np.argsort(slots, kind="stable")
+    slots, counts = slots[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], slots[1:] != slots[:-1]))) if len(slots) else order
+    return slots[first], np.add.reduceat(counts, first) if len(slots) else counts
+
+
+def _parts(slots: np.ndarray, counts: np.ndarray, kind: str) -> Iterator[tuple]:
+    """Rows (part, low halves of the slots, slots in each run, counts) of ascending slots."""
+    cuts = np.searchsorted(slots, np.arange(0, int(slots[-1]) + _RUN + 1, _RUN)) if len(slots) else np.zeros(1, np.int64)
+    sizes = np.diff(cuts)
+    for i in range(0, len(sizes), _PART // _RUN):
+        a, own = cuts[i], sizes[i : i + _PART // _RUN]
+        if own.sum():
+            b = a + own.sum()
+            yield i * _RUN // _PART, (slots[a:b] & np.uint32(_RUN - 1)).astype("<u2").tobytes(), own.astype("<u4").tobytes(), counts[a:b].astype(kind).tobytes(), None, None
+
+
+_COUNTED = "part int, low binary, sizes binary, counts binary, lang string, n long"
+
+
+def _kind(least: int) -> str:
+    """A number that holds a count up to ``least``, beyond which it need not be told."""
+    return "<u1" if least < 256 else "<u4"
+
 
+def _count(least: int, bits: int):
+    kind, most = _kind(least), least if least < 256 else 2**32 - 1
+
+    def rows(out: list[tuple]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.string(), pa.int64())
+        for i in range(0, len(out), 64):
+            cols = list(zip(*out[i : i + 64]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["part", "low", "sizes", "counts", "lang", "n"])
 
-def _count(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counters of this task's words and pairs, and its number of words per language."""
-        counts, words = np.zeros(1 << bits, np.uint32), {}
+        held, size, words = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))], 0, {}
         for batch in batches:
             for block, langs in _blocks(batch):
                 own = block.own
-                for h in (block.hashes[own], block.pairs()[own & block.joined]):
-                    slot, n = np.unique(_slots(h, bits), return_counts=True)
-                    counts[slot] += n.astype(np.uint32)
+                slots = np.concatenate((_slots(block.hashes[own], bits), _slots(block.pairs()[own & block.joined], bits)))
+                held.append(_summed(slots, np.ones(len(slots), np.int64)))
+                size += len(held[-1][0])
                 for text, n in zip(*(x.tolist() for x in np.unique(block.text[own], return_counts=True))):
                     words[langs[text]] = words.get(langs[text], 0) + n
-        out = []
-        for part in range(len(counts) // _PART):
-            own = counts[part * _PART : (part + 1) * _PART]
-            one, more = np.flatnonzero(own == 1).astype("<u2"), np.flatnonzero(own > 1).astype("<u2")
-            if len(one) or len(more):
-                out.append((part, one.tobytes(), more.tobytes(), own[more].astype("<u4").tobytes(), None, None))
-        out += [(None, None, None, None, lang, n) for lang, n in words.items()]
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.string(), pa.int64())
-        for i in range(0, len(out), 64):
-            cols = list(zip(*out[i : i + 64]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["part", "one", "more", "counts", "lang", "n"])
+                if size > HELD:
+                    held = [_summed(*(np.concatenate(x) for x in zip(*held)))]
+                    size = len(held[0][0])
+                    if size > HELD // 2:
+                        yield from rows(list(_parts(held[0][0], np.minimum(held[0][1], most), kind)))
+                        held, size = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))], 0
+        slots, counts = _summed(*(np.concatenate(x) for x in zip(*held)))
+        yield from rows([*_parts(slots, np.minimum(counts, most), kind), *[(None, None, None, None, lang, n) for lang, n in words.items()]])
 
     return run
 
 
-def _often(least: int):
+def _often(least: int, bits: int):
+    kind, width = _kind(least), min(_PART, 1 << bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of all tasks' counters of some parts: a bit for each that is ``least`` or more."""
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                own = sums.setdefault(row["part"], np.zeros(_PART, np.int64))
-                own[np.frombuffer(row["one"], "<u2")] += 1
-                own[np.frombuffer(row["more"], "<u2")] += np.frombuffer(row["counts"], "<u4")
-        bits = [np.packbits(own >= least).tobytes() for own in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], names=["part", "bits"])
+                own = sums.setdefault(row["part"], np.zeros(width, np.int32))
+                sizes = np.frombuffer(row["sizes"], "<u4")
+                at = np.frombuffer(row["low"], "<u2") + np.repeat(np.arange(len(sizes)) * _RUN, sizes)
+                own[at] = np.minimum(own[at] + np.frombuffer(row["counts"], kind).astype(np.int64), least)
+        out = [np.packbits(own >= least).tobytes() for own in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(out, pa.binary())], names=["part", "bits"])
 
     return run
 
 
-def often(counted: DataFrame, least: int = LEAST, bits: int = BITS) -> np.ndarray:
-    """Whether each of the 2^``bits`` counters is ``least`` or more."""
-    rows = counted.filter("part is not null").select("part", "one", "more", "counts").repartition("part").mapInArrow(_often(least), "part int, bits binary").collect()
-    out = np.zeros(1 << bits, bool)  # at most 2^(bits - 16) rows of 8 KB
-    for r in rows:
-        out[r["part"] * _PART : (r["part"] + 1) * _PART] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
-    return out
+def often(counted: DataFrame, least: int = LEAST, bits: int = BITS) -> bytes:
+    """A bit for each of the 2^``bits`` counters: whether it is ``least`` or more."""
+    width = min(_PART, 1 << bits) // 8
+    out = bytearray((1 << bits) // 8)
+    found = counted.filter("part is not null").select("part", "low", "sizes", "counts").repartition("part").mapInArrow(_often(least, bits), "part int, bits binary")
+    for r in stored(found, "phrase-often").toLocalIterator():  # at most 2^(bits - 20) rows of 128 KB
+        out[r["part"] * width : (r["part"] + 1) * width] = r["bits"]
+    return bytes(out)
+
+
+def _among(packed: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    slot = _slots(h, bits)
+    return (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _strings(block: Block, words: np.ndarray, there: np.ndarray) -> pa.Array:
@@ -173,13 +217,13 @@ WINDOW = [f"w{i}" for i in range(1, LONGEST + 1)]
 def _windows(bits: int, packed):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(lang, w1 .. w5, n): the distinct longest windows of each block and their counts."""
-        kept = np.unpackbits(np.frombuffer(packed.value, np.uint8)).astype(bool)
+        kept = np.frombuffer(packed.value, np.uint8)
         for batch in batches:
             for block, langs in _blocks(batch):
                 if not len(block.starts):
                     continue
-                word = kept[_slots(block.hashes, bits)]
-                chain = block.joined & word & kept[_slots(block.pairs(), bits)]
+                word = _among(kept, block.hashes, bits)
+                chain = block.joined & word & _among(kept, block.pairs(), bits)
                 chain[:-1] &= word[1:]
                 size, run_on, key = word.astype(np.int64), word.copy(), block.hashes.copy()
                 for k in range(1, LONGEST):  # words of the window, and a hash of them
@@ -210,9 +254,9 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     """
     spark = docs.sparkSession
     own = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    counted = stored(own.mapInArrow(_count(bits), "part int, one binary, more binary, counts binary, lang string, n long"), "phrase-counters")
+    counted = stored(own.mapInArrow(_count(least, bits), _COUNTED), "phrase-counters")
     totals = stored(counted.filter("lang is not null").groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    packed = spark.sparkContext.broadcast(np.packbits(often(counted, least, bits)).tobytes())  # 2^bits bits
+    packed = spark.sparkContext.broadcast(often(counted, least, bits))  # 2^bits bits
     found = own.mapInArrow(_windows(bits, packed), ", ".join(["lang string", *[f"{w} string" for w in WINDOW], "n long"]))
     longest = stored(found.groupBy("lang", *WINDOW).agg(F.sum("n").alias("n")), "phrase-windows")
     # level: how many of the columns are summed away; a prefix that ends in padding is a
