@@ -34,7 +34,7 @@ class Corpus:
     collection: DataFrame  # doc_id, data, source, batch_id, n_tokens   (bucketed by doc_id)
     conflation: DataFrame  # surface, stem: every term of V
     stem_map: DataFrame  # changed entries of ``conflation``, broadcast when small
-    postings: DataFrame  # doc_id, term, tf, dl  (bucketed by doc_id)
+    postings: DataFrame  # doc_id, term, tf, dl  (bucketed by doc_id, files sorted by term)
     term_stats: DataFrame  # term, df, cf, idf
     text_stats: DataFrame  # term, df, cf, idf, slot, sign over stored-text tokens
     text_postings: DataFrame  # doc_id, term, tf, first_pos  (bucketed by doc_id)
@@ -97,7 +97,7 @@ def build_corpus(raw: DataFrame, root: str | None = None, buckets: int | None =
         coll = preprocess_clean(raw_t, ["doc_id"], "clean", stem_map).withColumn("n_tokens", n_tokens("data"))
         coll_t = write_bucketed(coll.select("doc_id", "data", "source", "batch_id", "n_tokens"), f"{root}/collection", buckets=n)
     with _step("postings"):
-        post_t = write_bucketed(build_postings(coll_t, stem_map), f"{root}/postings", buckets=n)
+        post_t = write_bucketed(build_postings(coll_t, stem_map), f"{root}/postings", buckets=n, sort="term")
     with _step("stats"):
         g = post_t.agg(F.countDistinct("doc_id").alias("n"), F.sum("tf").alias("s")).first()
         n_docs, sum_dl = int(g["n"] or 0), int(g["s"] or 0)
@@ -193,7 +193,7 @@ def _load_manifest(spark: SparkSession, cache_root: str) -> Corpus | None:
         return None
     meta = json.loads(min(r["value"] for r in rows))  # builds of one key hold the same rows
     root, n = meta["root"], int(meta["buckets"])
-    t = {name: register_bucketed(spark, f"{root}/{name}", "doc_id", n) for name in _BUCKETED}
+    t = {name: register_bucketed(spark, f"{root}/{name}", "doc_id", n, sort="term" if name == "postings" else None) for name in _BUCKETED}
     apply_plan_settings(spark)
     return Corpus(
         collection=t["collection"],

@@ -28,15 +28,20 @@ def _width(name: str, kind: T.DataType) -> Column:
     return F.lit(8)
 
 
-def measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, bytes) of ``df``, of at most ``max_rows`` + 1 of its rows."""
+def _extent(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``."""
     width = F.lit(16)
     for f in df.schema.fields:
         width = width + _width(f.name, f.dataType)
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
     return int(r["n"]), int(r["b"] or 0)
 
 
+def measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, of at most ``max_rows`` + 1 of its rows."""
+    return _extent(df.limit(max_rows + 1))
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows and MAX_BROADCAST_BYTES bytes."""
     limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
@@ -45,13 +50,15 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
 
 
 def batches(df: DataFrame, keys: list[str], max_rows: int | None = None) -> list[DataFrame]:
-    """``df`` (stored) in parts of about ``max_rows`` rows at most, all rows of a key together.
+    """``df`` (stored) in parts of about ``max_rows`` rows and MAX_BROADCAST_BYTES bytes at
+    most, all rows of a key together.
 
     Used for the query side: turns are independent of each other, so a batch too large to
     broadcast is answered part by part with the same plan, and the index is never shuffled.
     """
     limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    count = max(1, -(-2 * df.count() // max(1, limit)))
+    rows, size = _extent(df)
+    count = max(1, -(-2 * rows // max(1, limit)), -(-2 * size // max(1, MAX_BROADCAST_BYTES)))
     if count == 1:
         return [df]
     part = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(count))

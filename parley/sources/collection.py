@@ -51,9 +51,15 @@ def upsert_collection(current: DataFrame, batch: DataFrame) -> DataFrame:
     return untouched.unionByName(touched)
 
 
+#: Rows of a Parquet page in tables that are looked up by their sort column: what a point
+#: look-up reads at least of each file.
+PAGE_ROWS = 2000
+
+
 def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int | None = None, name: str | None = None,
-                   prepartitioned: bool = False) -> DataFrame:
-    """Write ``df`` bucketed and sorted by ``key`` under ``path``; return the table.
+                   prepartitioned: bool = False, sort: str | None = None) -> DataFrame:
+    """Write ``df`` bucketed by ``key`` under ``path``, its files sorted by ``sort`` (the key
+    unless given, with short pages, so that a filter on it reads few of them); return the table.
 
     The returned DataFrame scans with ``HashPartitioning(key)``, so joins and aggregates
     on ``key`` need no exchange of this side.  Falls back to plain Parquet (no bucket
@@ -66,28 +72,30 @@ def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int |
     n = buckets or shuffle_partitions(spark)
     part = df if prepartitioned else df.repartition(n, key)
     name = name or "parley_" + re.sub(r"[^0-9a-zA-Z_]", "_", uuid.uuid4().hex[:16])
+    pages = {"parquet.page.row.count.limit": str(PAGE_ROWS)} if sort else {}
     try:
         (
             part.write.mode("overwrite")
             .bucketBy(n, key)
-            .sortBy(key)
+            .sortBy(sort or key)
+            .options(**pages)
             .option("path", path)
             .saveAsTable(name)
         )
         return spark.table(name)
     except AnalysisException as e:  # catalog without table support: keep the data, lose the bucket map
         warnings.warn(f"stored without buckets, later steps will shuffle: {e}", stacklevel=2)
-        part.sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+        part.sortWithinPartitions(sort or key).write.mode("overwrite").options(**pages).parquet(path)
         return spark.read.parquet(path)
 
 
-def register_bucketed(spark: SparkSession, path: str, key: str, buckets: int, name: str | None = None) -> DataFrame:
+def register_bucketed(spark: SparkSession, path: str, key: str, buckets: int, name: str | None = None, sort: str | None = None) -> DataFrame:
     """Re-attach a table written by :func:`write_bucketed` (e.g. from another session)."""
     name = name or "parley_" + uuid.uuid4().hex[:16]
     try:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
         spark.sql(
-            f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+            f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({sort or key}) "
             f"INTO {buckets} BUCKETS LOCATION '{path}'"
         )
         return spark.table(name)

@@ -25,3 +25,26 @@ def test_top_k_has_partial_limit_before_shuffle(spark, small_corpus):
                                               "topic long, turn long, manual string, automatic string"), "Manual")
     plan = _plan(Q.bm25_retrieve(turns, small_corpus, 2500))
     assert "WindowGroupLimit" in plan
+
+
+def test_postings_of_reads_only_ranges_of_terms(spark, small_corpus):
+    from pyspark.sql import functions as F
+
+    all_terms = sorted(r["term"] for r in small_corpus.term_stats.collect())
+    for terms in ([all_terms[0]], all_terms[2:7], all_terms, ["zzz not there"]):
+        qw = spark.createDataFrame([("q", t, 1) for t in terms], "qid string, term string, qtf long")
+        pruned = Q.postings_of(small_corpus.postings, qw)
+        assert "PushedFilters: [" in _plan(pruned) and "term" in re.search(r"PushedFilters: \[([^]]*)", _plan(pruned))[1]
+        if len(terms) <= Q.KEY_RANGES:  # each term its own range: nothing else passes
+            assert {r["term"] for r in pruned.collect()} == set(terms) & set(all_terms)
+        want = small_corpus.postings.where(F.col("term").isin(terms)).count()
+        assert pruned.join(qw, "term").count() == want
+    empty = spark.createDataFrame([], "qid string, term string, qtf long")
+    assert Q.postings_of(small_corpus.postings, empty).count() == 0
+
+
+def test_key_ranges_hold_every_key_of_a_large_set(spark):
+    keys = spark.range(5000).selectExpr("concat('k', cast(id * 7 as string)) AS k")
+    assert keys.where(Q.key_ranges(keys, "k")).count() == 5000
+    few = spark.createDataFrame([("k14",), ("k70",), (None,)], "k string")
+    assert {r["k"] for r in keys.where(Q.key_ranges(few, "k")).collect()} == {"k14", "k70"}
