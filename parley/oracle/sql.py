@@ -37,6 +37,11 @@ SELECT doc_id, text, source, batch_id FROM (
 """
 oracle("replace_collection", query(_BATCH, "coll"))
 oracle("upsert_collection", query(_UPSERTED, "coll"))
+oracle("upsert_stored", query(_UPSERTED, "coll"))
+oracle("ingest_counts", """
+SELECT s.source, count(*) AS n_read, CAST(0 AS BIGINT) AS n_rejected, count(DISTINCT doc_id) AS n_written
+FROM documents, (VALUES ('MARCO'), ('CAR')) s(source) GROUP BY s.source
+""")
 oracle("collection_counts", query("SELECT source, count(*) AS n_docs FROM coll GROUP BY source", "coll"))
 oracle("load_topics", query("SELECT topic, turn, manual, automatic FROM conv_turns", "conv_turns"))
 oracle("load_qrels", query("SELECT qid, iter, doc_id, rel FROM qrels", "qrels"))
@@ -95,8 +100,10 @@ SELECT t.qid, f.doc_id, 1.0::DOUBLE AS score, f.rank FROM
 _abm = bm25_ctes("qa", "qa", 500)
 oracle("bm25_automatic", query(f"SELECT qid, doc_id, score, rank FROM {_abm}", _abm))
 # the same SQL over the collection with its update batch applied
-oracle("bm25_upserted", query(f"SELECT qid, doc_id, score, rank FROM {_bm}", _bm, replace={
-    "coll": (("coll0",), _UPSERTED.replace("FROM coll", "FROM coll0"), True)}))
+_AFTER = {"coll": (("coll0",), _UPSERTED.replace("FROM coll", "FROM coll0"), True)}
+for _key in ("bm25_upserted", "bm25_compacted"):
+    oracle(_key, query(f"SELECT qid, doc_id, score, rank FROM {_bm}", _bm, replace=_AFTER))
+oracle("upserted_term_stats", query("SELECT term, df, CAST(cf AS BIGINT) AS cf, round(idf, 6) AS idf FROM tstats", "tstats", replace=_AFTER))
 oracle("bm25_topics", query(f"SELECT qid, doc_id, score, rank FROM {_cbm}", _cbm))
 oracle("fetch_documents", query(
     f"SELECT b.qid, b.doc_id, b.rank, CAST(CASE WHEN c.data = '' THEN 0 ELSE len(string_split(c.data, ' ')) END AS BIGINT) AS n_tokens, c.data "

@@ -137,7 +137,7 @@ _BUCKETED = ("collection", "postings", "text_postings", "text_bigrams", "doc_vec
 _SCALARS = ("n_docs", "sum_dl", "avgdl", "text_tokens", "text_vocab", "n_all_docs")
 
 
-def _input_files(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
+def input_files(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
     """(path, bytes, mtime) of the documents table's files, via the Hadoop file system."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/documents.parquet")
@@ -222,7 +222,7 @@ def corpus_for(spark: SparkSession, sf_dir: str) -> Corpus:
     c = _CACHE.get(key)
     if c is not None:
         return c
-    files = _input_files(spark, sf_dir)
+    files = input_files(spark, sf_dir)
     cache_root = f"{checkpoint_root(spark).rstrip('/')}/parley/corpus-cache/{_input_key(files)}"
     c = _load_manifest(spark, cache_root)
     if c is None:

@@ -89,11 +89,13 @@ def write_bucketed(df: DataFrame, path: str, key: str = "doc_id", buckets: int |
         return spark.read.parquet(path)
 
 
-def register_bucketed(spark: SparkSession, path: str, key: str, buckets: int, name: str | None = None, sort: str | None = None) -> DataFrame:
-    """Re-attach a table written by :func:`write_bucketed` (e.g. from another session)."""
+def register_bucketed(spark: SparkSession, path: str, key: str, buckets: int, name: str | None = None, sort: str | None = None,
+                      cols: str | None = None) -> DataFrame:
+    """Re-attach a table written by :func:`write_bucketed` (e.g. from another session); ``cols``
+    is its DDL, read from its files where not given."""
     name = name or "parley_" + uuid.uuid4().hex[:16]
     try:
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        cols = cols or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
         spark.sql(
             f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({sort or key}) "
             f"INTO {buckets} BUCKETS LOCATION '{path}'"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,14 @@ def parse_passage_lines(lines: DataFrame, prefix: str = "MARCO_", source: str =
     )
 
 
+def checked_passage_lines(lines: DataFrame, prefix: str = "MARCO_", source: str = "MARCO", batch_id: int = 1) -> tuple[DataFrame, Column]:
+    """Every line as a passage row, and the condition that it is one (for counts at ingest)."""
+    f = _fields()
+    rows = lines.select(F.concat(F.lit(prefix), F.get(f, 0)).alias("doc_id"), F.get(f, 1).alias("text"), F.lit(source).alias("source"),
+                        F.lit(batch_id).cast("bigint").alias("batch_id"))
+    return rows, F.col("text").isNotNull()
+
+
 def rejected_passage_lines(lines: DataFrame) -> DataFrame:
     """Lines that are not passages (fewer than two tab-separated columns)."""
     return lines.where(F.size(_fields()) < 2).select("value")
