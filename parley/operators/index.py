@@ -116,12 +116,26 @@ def hashed_vectors(weighted: DataFrame, keys: list[str]) -> DataFrame:
     return v.select(*keys, F.transform("e", lambda x: x["slot"]).alias("slots"), unit.alias("weights"))
 
 
-def doc_vectors(postings_text: DataFrame, stats: DataFrame) -> DataFrame:
+#: Terms that stand in more than a FREQUENT-th part of all postings; there are less than
+#: FREQUENT of them, whatever the collection.
+FREQUENT = 1 << 14
+
+
+def doc_vectors(postings_text: DataFrame, stats: DataFrame, n_postings: int, frequent: int = FREQUENT) -> DataFrame:
     """Built-in encoder over every stored passage: ``(doc_id, slots, weights)``.
 
     ``(1 + ln tf) * idf * sign`` summed per hashed slot, L2-normalised; passages without
     tokens get no row.  Only the slots that occur are stored.
+
+    The idf of a term comes by two joins, at every size: the frequent terms, bounded by
+    their definition, are broadcast, so that their postings stay where they are; the
+    postings of the others, of which none is a hot key, are shuffled by term.
     """
-    w = postings_text.join(stats.select("term", "idf", "slot", "sign"), "term").select(
-        "doc_id", "slot", ((F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf") * F.col("sign")).alias("w"))
-    return hashed_vectors(w, ["doc_id"])
+    own = stats.select("term", "df", "idf", "slot", "sign")
+    often = F.col("df").cast("double") * frequent > F.lit(float(n_postings))
+    weight = ((F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf") * F.col("sign")).alias("w")
+    heavy = F.broadcast(own.where(often).select("term", "idf", "slot", "sign"))
+    near = postings_text.join(heavy, "term").select("doc_id", "slot", weight)
+    rest = postings_text.join(heavy.select("term"), "term", "left_anti")
+    far = rest.join(own.where(~often).hint("merge"), "term").select("doc_id", "slot", weight)
+    return hashed_vectors(near.unionByName(far), ["doc_id"])

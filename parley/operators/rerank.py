@@ -68,7 +68,7 @@ def embed(df: DataFrame, keys: list[str], text_col: str, corpus, dim: int = EMBE
     to the idf table.  Stored passages have their vectors in ``corpus.doc_vectors``.
     """
     toks = df.select(*keys, F.explode(F.split(F.col(text_col), " ")).alias("term")).where("term <> ''")
-    tf = toks.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = materialize(toks.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")))
     tw = lookup_small(tf, text_idf(corpus), "term")
     idf = F.coalesce(F.col("idf"), bm25_idf(F.lit(0), corpus.n_all_docs))
     w = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * idf * sign(F.col("term"))
@@ -116,7 +116,7 @@ def bi_encoder_scores(pairs: DataFrame, query_texts: DataFrame, corpus, keys: li
 # ----------------------------------------------------------------------------- R5
 def _query_parts(query_texts: DataFrame, corpus, keys: list[str]):
     """Query-side tables for the pair scorer (all small): tokens, distinct terms, bigrams, sizes."""
-    qt = query_texts.select(*keys, F.posexplode(F.split("query_text", " ")).alias("pos", "term")).where("term <> ''")
+    qt = materialize(query_texts.select(*keys, F.posexplode(F.split("query_text", " ")).alias("pos", "term")).where("term <> ''"))
     idf = text_idf(corpus)
     qd = lookup_small(qt.select(*keys, "term").distinct(), idf, "term")
     qd = qd.withColumn("idf", F.coalesce("idf", bm25_idf(F.lit(0), corpus.n_all_docs)))
@@ -127,7 +127,8 @@ def _query_parts(query_texts: DataFrame, corpus, keys: list[str]):
     ).join(qd.groupBy(*keys).agg(F.count(F.lit(1)).alias("nq_distinct"), F.sum("idf").alias("idf_total")), keys, "left")
     qn = qn.fillna(0, ["nq", "nq_distinct"]).fillna(0.0, ["idf_total"])
     qn = qn.withColumn("budget", F.greatest(F.lit(MAX_PAIR_TOKENS) - F.col("nq") - F.lit(PAIR_SEPARATORS), F.lit(0)))
-    return qd, qb, qn
+    # each is measured and read several times: computed once
+    return materialize(qd), materialize(qb), materialize(qn)
 
 
 def pair_features(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[str], dim: int = EMBED_DIM) -> DataFrame:
@@ -145,8 +146,8 @@ def pair_features(pairs: DataFrame, query_texts: DataFrame, corpus, keys: list[s
     # which is cut to the candidates' documents first (by doc_id, its bucketing), then to
     # the query terms, then to the pairs; what is broadcast is size-checked, so the per-pair
     # aggregates run inside the doc_id buckets without an exchange
-    pb = bounded_broadcast(p.select(*pk, "budget"))
-    docs = bounded_broadcast(pairs.select("doc_id").distinct())
+    pb = bounded_broadcast(materialize(p.select(*pk, "budget")))
+    docs = bounded_broadcast(materialize(pairs.select("doc_id").distinct()))
     occ = corpus.text_postings.join(docs, "doc_id", "left_semi").join(bounded_broadcast(qd.select(*keys, "term", "idf")), "term")
     found = occ.join(pb, pk).where(F.col("first_pos") < F.col("budget"))
     cov = found.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_found"), F.sum("idf").alias("idf_found"))
@@ -199,14 +200,15 @@ def query_likelihood(pairs: DataFrame, turns: DataFrame, corpus, keys: list[str]
     if query_tokens not in ("raw", "analyzed"):
         raise ValueError(f"query_tokens must be 'raw' or 'analyzed', got {query_tokens!r}")
     tokens = raw_terms(text_col) if query_tokens == "raw" else F.array_remove(F.split(F.col(text_col), " "), "")
-    qt = turns.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("qtf"))
+    qt = materialize(turns.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("qtf")))
     cf = corpus.text_stats.select("term", "cf")
     qp = lookup_small(qt, cf, "term").withColumn(
         "mupc", F.lit(mu) * (F.coalesce(F.col("cf"), F.lit(0)).cast("double") + F.lit(0.5)) / F.lit(denom))
-    qsum = qp.groupBy(*keys).agg(
-        F.sum(F.col("qtf") * F.log10("mupc")).alias("background"), F.sum("qtf").alias("qlen"))
+    qp = materialize(qp)
+    qsum = materialize(qp.groupBy(*keys).agg(
+        F.sum(F.col("qtf") * F.log10("mupc")).alias("background"), F.sum("qtf").alias("qlen")))
     pk = [*keys, "doc_id"]
-    docs = bounded_broadcast(pairs.select("doc_id").distinct())
+    docs = bounded_broadcast(materialize(pairs.select("doc_id").distinct()))
     occ = corpus.text_postings.select("doc_id", "term", "tf").join(docs, "doc_id", "left_semi").join(
         bounded_broadcast(qp.select(*keys, "term", "qtf", "mupc")), "term")
     fg = occ.join(bounded_broadcast(pairs.select(*pk)), pk).groupBy(*pk).agg(

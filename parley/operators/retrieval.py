@@ -159,7 +159,8 @@ def bm25_retrieve(turns: DataFrame, corpus, k: int, keys: list[str] | None = Non
     keys = keys or ["qid"]
     # the query side is written once and read several times (match, empty check)
     rows = materialize(stem_rows(turns, keys, "utterance", corpus.stem_map))
-    qw = materialize(query_weights(terms_of_rows(rows, corpus.stem_map, keys), corpus.term_stats))
+    terms = materialize(terms_of_rows(rows, corpus.stem_map, keys))
+    qw = materialize(query_weights(terms, corpus.term_stats))
     ranked = empty_query_fallback(turns, rows, corpus.collection, keys, k)
     for part in batches(qw, keys):  # as many as it takes for each to be broadcast
         scores = None

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parley.operators import retrieval as Q
 from parley.plans.corpus import corpus_for
+from parley.plans.sizing import materialize
 from parley.sources import fixtures
 
 BM25_DEPTH = 500
@@ -389,7 +390,7 @@ def bm25_automatic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("fetch_documents")
 def fetch_documents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = corpus_for(spark, sf_dir)
-    f = Q.fetch_documents(bm25_retrieve(spark, sf_dir), c.collection, ("data", "n_tokens"))
+    f = Q.fetch_documents(materialize(bm25_retrieve(spark, sf_dir)), c.collection, ("data", "n_tokens"))
     return f.select("qid", "doc_id", "rank", "n_tokens", "data")
 
 

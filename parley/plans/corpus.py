@@ -109,9 +109,10 @@ def build_corpus(raw: DataFrame, root: str | None = None, buckets: int | None =
         text_stats(tp_t, n_all).write.mode("overwrite").parquet(f"{root}/text_stats")
         ts = spark.read.parquet(f"{root}/term_stats")
         xs = spark.read.parquet(f"{root}/text_stats")
-        h = xs.agg(F.sum("cf").alias("c"), F.count(F.lit(1)).alias("v")).first()
+        h = xs.agg(F.sum("cf").alias("c"), F.count(F.lit(1)).alias("v"), F.sum("df").alias("p")).first()
+        n_postings = int(h["p"] or 0)
     with _step("doc_vectors"):
-        dv_t = write_bucketed(doc_vectors(tp_t, bounded_broadcast(xs)), f"{root}/doc_vectors", buckets=n)
+        dv_t = write_bucketed(doc_vectors(tp_t, xs, n_postings), f"{root}/doc_vectors", buckets=n)
     return Corpus(
         collection=coll_t,
         conflation=conf,

@@ -28,8 +28,8 @@ def _width(name: str, kind: T.DataType) -> Column:
     return F.lit(8)
 
 
-def _extent(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of ``df``."""
+def extent(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, by one aggregate; no row moves for it."""
     width = F.lit(16)
     for f in df.schema.fields:
         width = width + _width(f.name, f.dataType)
@@ -37,15 +37,12 @@ def _extent(df: DataFrame) -> tuple[int, int]:
     return int(r["n"]), int(r["b"] or 0)
 
 
-def measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, bytes) of ``df``, of at most ``max_rows`` + 1 of its rows."""
-    return _extent(df.limit(max_rows + 1))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows and MAX_BROADCAST_BYTES bytes."""
     limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    rows, size = measured(df, limit)
+    rows, size = extent(df)
     return rows <= limit and size <= MAX_BROADCAST_BYTES
 
 
@@ -57,7 +54,7 @@ def batches(df: DataFrame, keys: list[str], max_rows: int | None = None) -> list
     broadcast is answered part by part with the same plan, and the index is never shuffled.
     """
     limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    rows, size = _extent(df)
+    rows, size = extent(df)
     count = max(1, -(-2 * rows // max(1, limit)), -(-2 * size // max(1, MAX_BROADCAST_BYTES)))
     if count == 1:
         return [df]
@@ -90,5 +87,5 @@ def lookup_small(small: DataFrame, big: DataFrame, on: str) -> DataFrame:
     small side (inner match), and the matched rows - at most one per small key for a
     keyed ``big`` - are joined back onto the small side.
     """
-    hit = big.join(bounded_broadcast(small.select(on).distinct()), on)
+    hit = materialize(big.join(bounded_broadcast(materialize(small.select(on).distinct())), on))
     return small.join(bounded_broadcast(hit), on, "left")

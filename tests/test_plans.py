@@ -48,3 +48,18 @@ def test_key_ranges_hold_every_key_of_a_large_set(spark):
     assert keys.where(Q.key_ranges(keys, "k")).count() == 5000
     few = spark.createDataFrame([("k14",), ("k70",), (None,)], "k string")
     assert {r["k"] for r in keys.where(Q.key_ranges(few, "k")).collect()} == {"k14", "k70"}
+
+
+def test_passage_vectors_shuffle_only_rare_terms(spark):
+    from pyspark.sql import functions as F
+
+    from parley.operators.index import doc_vectors, text_stats
+
+    rows = [(f"d{i}", t, 1 + i % 3) for i in range(60) for t in ("the", "of", f"w{i}", f"p{i // 2}")]
+    postings = spark.createDataFrame(rows, "doc_id string, term string, tf long")
+    stats = text_stats(postings.withColumn("first_pos", F.lit(0)), 60)
+    near = lambda df: {r["doc_id"]: (r["slots"], [round(w, 9) for w in r["weights"]]) for r in df.collect()}
+    split = doc_vectors(postings, stats, len(rows), frequent=10)  # "the" and "of" are frequent
+    assert near(split) == near(doc_vectors(postings, stats, len(rows), frequent=10**6)) == near(doc_vectors(postings, stats, len(rows), frequent=1))
+    plan = _plan(split)
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" in plan
