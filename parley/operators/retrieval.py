@@ -29,8 +29,8 @@ EMPTY_QUERY_SCORE = 1.0
 SCORE_DIGITS = 4
 # -----------------------------------------------------------------------------------------
 
-#: Ranges of sorted keys that a scan is cut to.
-KEY_RANGES = 32
+#: Ranges of sorted keys that a scan is cut to; each costs every row that is read.
+KEY_RANGES = 8
 
 
 def select_utterance(turns: DataFrame, kind: str) -> DataFrame:
