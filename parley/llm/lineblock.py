@@ -1,15 +1,18 @@
 """Main text of web pages by line-block distribution (operator 5).
 
 Markup is stripped into lines, one per block element; a line of a menu, header, footer,
-sidebar, notice, advert, form or reader comment counts no characters.  The lengths are
-summed over a sliding window of WINDOW lines: where the sum rises from nothing is a surge
-point, where it falls back is a dive point, and the text between them is kept.
+sidebar, notice, advert, form or reader comment is not one of the article.  The lengths
+are summed over a sliding window of WINDOW lines: where the sum rises from nothing is a
+surge point, where it falls back is a dive point.  What is between the first surge and the
+last dive is kept: of the article element if there is one, else of the stretches that
+reach SURGE_CHARS and of the container that holds them.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -18,9 +21,9 @@ from pyspark.sql import functions as F
 
 #: Lines of the sliding window.
 WINDOW = 3
-#: Without an article or main element, a stretch needs so many characters in a window to
-#: surge, and this share of the largest stretch's characters to be kept.
-SURGE_CHARS, LEAST_SHARE = 60, 0.25
+#: Without an article or main element, the text starts at the first and ends at the last
+#: stretch that has so many characters in a window or is in the container of those.
+SURGE_CHARS = 60
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -39,6 +42,7 @@ _BLOCK = frozenset(
 _SPACE = frozenset("br td th wbr img input".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 _LISTS = frozenset("ul ol dl table select menu div section article main body html".split())
+_CONTAINERS = frozenset("div section center".split())
 
 # Words that tell what is not the article: elements, roles and parts of classes and ids.
 _OFF_ELEMENTS = frozenset("nav aside footer form menu dialog button select head".split())
@@ -53,11 +57,19 @@ _PREFIXES = frozenset("has with no without is not".split())
 #: Elements of an article's own text: one word of a slug (related-work) does not judge them,
 #: only a token all of whose words do, or which adds no more than such a plain word.
 _PROSE = frozenset("h1 h2 h3 h4 h5 h6 p section".split())
+#: Elements that wrap either: a token judges them by its last word that is not plain
+#: (fb-comments, ad-728x90, comments-section, but not social-impact or menu-prices).
+_WRAPPERS = frozenset("div ul ol table figure blockquote".split())
 _PLAIN_PARTS = frozenset(
-    "article articles area bar block body box button buttons container content form group icons inner item items label line links list main message news outer page panel post posts "
-    "reader readers row section site stories story text thread title top user users wrap wrapper".split())
+    "area articles article bar block body bottom box button buttons by center col column container content coverage cta danger dark default desktop email facebook fixed form "
+    "group here holder icons info inline inner item items label large left light line link links list main message mobile module news now outer page panel placement post posts "
+    "primary reader readers reading right row secondary section site slot small sticky stories story strip success text thread title toggle top twitter unit us user users "
+    "warning whatsapp wrap wrapper".split())
+_NUMBER = re.compile(r"\d+(?:x\d+)?")
 #: Whole ids that are headings of articles as well.
 _SLUGS = frozenset("discussion respond response reply replies".split())
+#: With these, a header is that of the article.
+_TITLES = frozenset("article content entry post story title".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -84,11 +96,16 @@ def _kind(name: str, attrs: str, in_article: bool, role: str) -> str:
             split = [x for x in re.split(r"[-_]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", unescape(token)).lower()) if x]
             # what follows "with" and the like says what is inside, or not there
             split = split[: next((i for i, x in enumerate(split) if x in _PREFIXES), len(split))]
-            if in_article and name in _PROSE:
-                if not set(split) <= _OFF_PARTS | _COMMENT_PARTS | _PLAIN_PARTS:
+            if name in _PROSE:
+                if not all(x in _OFF_PARTS or x in _COMMENT_PARTS or x in _PLAIN_PARTS or _NUMBER.fullmatch(x) for x in split):
                     continue
                 if attribute == "id" and len(split) == 1 and (split[0] in _OFF_PARTS or split[0] in _SLUGS):
                     continue
+            elif name in _WRAPPERS:
+                telling = [x for x in split if x not in _PLAIN_PARTS and not _NUMBER.fullmatch(x)]
+                if telling and telling[-1] == "header" and _TITLES & set(split):
+                    continue
+                split = telling[-1:]
             parts.update(split)
     if parts & _COMMENT_PARTS:
         return "comment"
@@ -126,56 +143,113 @@ def _raw_end(html: str, name: str, attrs: str, at: int, unclosed: set[str]) -> i
     return ends
 
 
+@dataclass(slots=True)
+class _Line:
+    """A line of a page; ``node`` is the innermost container that it is in."""
+
+    text: str
+    links: int  # characters within links
+    article: bool
+    main: bool
+    counted: bool  # not of a menu, header ...
+    node: int
+
+
 class _Lines:
-    """The lines of a page: [text, characters within links, in an article, in main, counted]."""
+    """The lines of a page, and its containers in page order: ``parents`` gives the one
+    around each, ``ends`` the last one inside it (0 is the page).
+
+    What is asked about the open elements is counted as they open and close, so the time
+    is in proportion to the page however many are open.
+    """
 
     def __init__(self, html: str):
-        self.lines: list[tuple[str, int, bool, bool, bool]] = []
+        self.lines: list[_Line] = []
+        self.parents, self.ends = [0], [0]
         self._text: list[str] = []
         self._links = 0
-        self._stack: list[tuple[str, str, str]] = []  # (element, kind, role)
+        self._stack: list[list] = []  # [element, kind, role, container around it]
+        self._node = 0
+        self._at: dict[str, list[int]] = {}  # places of the open elements of each name
+        self._blocks: list[int] = []
+        self._lists: list[int] = []
+        self._forms: list[int] = []
+        self._kinds = 0
+        self._roles = {"article": 0, "main": 0}
         self._run(html)
         self._line()
+        self._pop(0)
+        self.ends[0] = len(self.parents) - 1
 
     def _line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            roles = {r for _, _, r in self._stack}
-            self.lines.append((text, self._links, "article" in roles, "main" in roles, not any(k for _, k, _ in self._stack)))
+            self.lines.append(_Line(text, self._links, self._roles["article"] > 0, self._roles["main"] > 0, not self._kinds, self._node))
         self._text, self._links = [], 0
 
+    def _push(self, name: str, kind: str, role: str) -> None:
+        at = len(self._stack)
+        self._stack.append([name, kind, role, self._node])
+        self._at.setdefault(name, []).append(at)
+        if name in _BLOCK:
+            self._blocks.append(at)
+        if name in _LISTS:
+            self._lists.append(at)
+        if kind:
+            self._kinds += 1
+            if kind == "form":
+                self._forms.append(at)
+        if role:
+            self._roles[role] += 1
+        if name in _CONTAINERS:
+            self.parents.append(self._node)
+            self._node = len(self.parents) - 1
+            self.ends.append(self._node)
+
     def _pop(self, at: int) -> None:
-        del self._stack[at:]
+        while len(self._stack) > at:
+            name, kind, role, around = self._stack.pop()
+            self._at[name].pop()
+            self._kinds -= bool(kind)
+            if role:
+                self._roles[role] -= 1
+            if name in _CONTAINERS:
+                self.ends[self._node] = len(self.parents) - 1
+                self._node = around
+        for places in (self._blocks, self._lists, self._forms):
+            while places and places[-1] >= at:
+                places.pop()
+
+    def _last(self, names) -> int:
+        """The place of the innermost open element of these names, -1 if there is none."""
+        return max((self._at[n][-1] for n in names if self._at.get(n)), default=-1)
 
     def _open(self, name: str, attrs: str) -> None:
-        stack = self._stack
-        if any(x[0] == "head" for x in stack) and name not in _HEAD and name != "head":
-            self._pop(next(i for i, x in enumerate(stack) if x[0] == "head"))
-        if name in _BLOCK:
-            for i in range(len(stack) - 1, -1, -1):  # an open paragraph ends here
-                if stack[i][0] == "p":
-                    self._pop(i)
-                    break
-                if stack[i][0] in _BLOCK:
-                    break
-        for i in range(len(stack) - 1, -1, -1) if name in _CLOSES else ():
-            if stack[i][0] in _CLOSES[name]:
-                self._pop(i)
-                break
-            if stack[i][0] in _LISTS:
-                break
+        if self._at.get("head") and name not in _HEAD and name != "head":
+            self._pop(self._at["head"][0])
+        if name in _BLOCK and (p := self._last(("p",))) >= 0 and p == self._blocks[-1]:
+            self._pop(p)  # an open paragraph ends here
+        if name in _CLOSES and (i := self._last(_CLOSES[name])) > (self._lists[-1] if self._lists else -1):
+            self._pop(i)
         role = _role(name, attrs)
-        kind = _kind(name, attrs, any(x[2] for x in stack), role)
+        kind = _kind(name, attrs, any(self._roles.values()), role)
         if role and not kind:  # an article in a form or a wrapper is one
-            stack[:] = [(n, "" if k == "form" else k, r) for n, k, r in stack]
+            for i in self._forms:
+                self._stack[i][1] = ""
+            self._kinds -= len(self._forms)
+            self._forms = []
         if name not in _VOID:
-            stack.append((name, kind, role))
+            self._push(name, kind, role)
 
     def _close(self, name: str) -> None:
-        for i in range(len(self._stack) - 1, -1, -1):
-            if self._stack[i][0] == name:
-                self._pop(i)
-                return
+        if self._at.get(name):
+            self._pop(self._at[name][-1])
+
+    def container(self, a: int, b: int) -> int:
+        """The innermost container around the containers ``a`` to ``b``."""
+        while not a <= b <= self.ends[a]:
+            a = self.parents[a]
+        return a
 
     def _run(self, html: str) -> None:
         at, n, unclosed = 0, len(html), set()
@@ -185,7 +259,7 @@ class _Lines:
             if text:
                 text = unescape(text)
                 self._text.append(text)
-                if any(x[0] == "a" for x in self._stack):
+                if self._at.get("a"):
                     self._links += len(text.strip())
             if not m:
                 break
@@ -208,34 +282,52 @@ class _Lines:
 
 
 def stretches(lengths: list[int], surge: int, window: int = WINDOW) -> list[tuple[int, int]]:
-    """(surge, dive) places of a distribution of line lengths: a stretch starts at the first
-    line of a window whose sum reaches ``surge`` and ends where a window's sum is 0 again."""
+    """(surge, dive) places of a distribution of line lengths: a stretch starts where the sum
+    of a window rises from 0, ends where it is 0 again, and reaches ``surge`` in between."""
     n, out, i = len(lengths), [], 0
     while i < n:
-        if lengths[i] and sum(lengths[i : i + window]) >= surge:
-            j = i
-            while j < n and sum(lengths[j : j + window]):
-                j += 1
-            out.append((i, j))
+        if lengths[i]:
+            j, most = i, 0
+            while j < n and (total := sum(lengths[j : j + window])):
+                j, most = j + 1, max(most, total)
+            if most >= surge:
+                out.append((i, j))
             i = j
         i += 1
     return out
 
 
 def main_text(html: str | None) -> str:
-    """The article of a page: its blocks in page order, joined by two line feeds."""
-    lines = _Lines(html or "").lines
-    for inside in (2, 3):  # an article element, else a main element
-        if any(x[inside] and x[4] for x in lines):
-            lengths = [len(x[0]) if x[inside] and x[4] else 0 for x in lines]
-            found = stretches(lengths, 1)
-            break
+    """The article of a page: its blocks in page order, joined by two line feeds.
+
+    In an article element, else a main element, every line counts.  On a page without
+    either, a line with half or more of its characters in links counts no characters, so
+    that it cannot start or end the text, but is kept inside it.  A stretch below
+    SURGE_CHARS is kept between others, and in the container (an element within the page's
+    body) around all that reach it.
+    """
+    page = _Lines(html or "")
+    counted = [x for x in page.lines if x.counted]
+    own = [x for x in counted if x.article] or [x for x in counted if x.main]
+    if own:
+        lengths = [len(x.text) for x in own]
+        found = stretches(lengths, 1)
     else:
-        lengths = [len(x[0]) if x[4] and 2 * x[1] < len(x[0]) else 0 for x in lines]
-        found = stretches(lengths, SURGE_CHARS) or stretches(lengths, 1)
-        sizes = [sum(lengths[a:b]) for a, b in found]
-        found = [r for r, s in zip(found, sizes) if s >= LEAST_SHARE * max(sizes)]
-    return "\n\n".join(lines[i][0] for a, b in found for i in range(a, b) if lengths[i])
+        own = counted
+        lengths = [len(x.text) if 2 * x.links < len(x.text) else 0 for x in own]
+        found = stretches(lengths, SURGE_CHARS)
+        if found:
+            nodes = [own[i].node for a, b in found for i in range(a, b) if lengths[i]]
+            around = page.container(min(nodes), max(nodes))
+            if around:
+                inside = [(a, b) for a, b in stretches(lengths, 1) if around <= own[a].node <= page.ends[around]]
+                found = sorted({*found, *inside})
+        else:
+            found = stretches(lengths, 1)
+    if not found:
+        return ""
+    last = max(i for i in range(*found[-1]) if lengths[i])
+    return "\n\n".join(x.text for x in own[found[0][0] : last + 1])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

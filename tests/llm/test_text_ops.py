@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -202,6 +203,45 @@ def test_slugs_of_an_article_are_not_its_surroundings(html, want):
     assert lineblock.main_text(f"<div class='page-with-sidebar'><p>{'long words ' * 20}</p></div>") == " ".join(["long words"] * 20)
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div class='social-impact'><p>a</div><p>b", "a\n\nb"), ("<div id='search-methods'>a</div><p>b", "a\n\nb"),
+    ("<ul class='related-work'><li>a</ul><p>b", "a\n\nb"), ("<table class='menu-prices'><tr><td>a</table><p>b", "a\n\nb"),
+    ("<figure class='banner-year'>a</figure><p>b", "a\n\nb"), ("<div class='fb-comments'>a</div><p>b", "b"),
+    ("<div class='ad-728x90'>a</div><p>b", "b"), ("<div class='comments-section'>a</div><div id='comment-12'>c</div><p>b", "b"),
+    ("<ul class='social-share'><li>a</ul><p>b", "b"), ("<div class='newsletter-cta'>a</div><p>b", "b"), ("<div class='alert alert-info'>a</div><p>b", "b"),
+])
+def test_slugs_of_wrappers_are_judged_by_their_last_word(html, want):
+    assert lineblock.main_text(f"<article>{html}</article>") == want
+
+
+LONG = ["long words of the article " * 8 + str(i) for i in range(8)]
+ADVERT = "<div class='advert'><p>buy<p>this<p>now</div>"
+
+
+@pytest.mark.parametrize("before, inner, after", [
+    ("", ADVERT, ["closing one", "closing two"]), ("", "", ["the end"]),
+    ("<div><a href=/>home</a></div><div><a href=/a>about</a></div><div><a href=/b>contact</a></div>", ADVERT * 2, ["x", "y"]),
+    ("<p>Site</p><ul><li><a>a</a><li><a>b</a><li><a>c</a></ul>", "", ["closing"]),
+])
+@pytest.mark.parametrize("wrapper", ["<div>{}</div>", "<table><tr><td><div class='page-with-sidebar'>{}</div></table>", "<div><div class='entry-header'><h1>Title</h1></div><div>{}</div></div>"])
+def test_pages_without_article_lose_no_text_by_size(before, inner, after, wrapper):
+    """Inner adverts, lines of links, short openings and closings, at any size."""
+    links = "<p><a>a line that is one link</a></p>"
+    body = wrapper.format("<p>by a<p>on a day<p>" + "<p>".join(LONG) + inner + links * 4 + "".join(f"<p>{x}" for x in after))
+    want = ["by a", "on a day", *LONG, *["a line that is one link"] * 4, *after]
+    if "Title" in wrapper:
+        want = ["Title", *want]
+    got = lineblock.main_text(f"<body>{before}{body}<ul><li><a>x</a><li><a>y</a><li><a>z</a></ul><p>(c) me</body>")
+    assert got == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("html", ["<div>" * 40_000 + "text", "<b>" * 40_000 + "text", "<b>" * 20_000 + "<div>x</div>" * 20_000, "<ul>" + "<b>" * 20_000 + "<li>x</li>" * 20_000, "<div>x" * 40_000, "<form>" * 20_000 + "<article>x" * 20_000, "<article>" + "<p><b>x" * 40_000])
+def test_unclosed_elements_take_linear_time(html):
+    start = time.process_time()
+    assert lineblock.main_text(html)
+    assert time.process_time() - start < 2
+
+
 @pytest.mark.parametrize("raw", ["<svg class='icon'/>", "<math/>", "<canvas />", "<object data=x />", "<svg><svg>x</svg>y</svg>", "<object>x<object>y</object>z</object>", "<svg>", "<svg><svg/>x</svg>"])
 def test_raw_elements_end_where_they_end(raw):
     assert lineblock.main_text(f"<article><p>a {raw} b</p><p>c</article>") == "a b\n\nc"
