@@ -71,24 +71,48 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.searchsorted(starts, offsets)
 
 
-_CHUNKS = "doc_id {id}, __t long, chunks array<struct<at:int,n:int,d:long,e:long>>"
+#: Bits of the filter of repeated digests, by a digest's highest bits: 32 MB at every size.
+FILTER_BITS = 28
+#: A chunk's place and length in one number: place * 1024 + length.
+_LENGTH_BITS = 10
 
+_CHUNKS = "doc_id {id}, __t long, chunks array<struct<a:long,d:long,e:long>>"
 
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (id, __t, text): the place in bytes, length and 128-bit digest of each chunk."""
+
+def _chunked(batches: Iterator[pa.RecordBatch], repeated: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Of rows (id, __t, text): place and length in bytes and 128-bit digest of each chunk,
+    of those only whose bit in the words of ``repeated`` is set, if it is given."""
     for batch in batches:
         for first, end, data, offsets in text_blocks(batch.column(2)):
             starts, at = boundaries(data, offsets)
             ends = np.append(starts[1:], len(data)) if len(starts) else starts
-            lengths = ends - starts
             d = span_hashes(data, starts, ends)
-            e = span_hashes(data[::-1], len(data) - ends, len(data) - starts) ^ lengths.astype(np.uint64)  # of the bytes backwards
             place = starts - np.repeat(offsets[:-1], np.diff(at))
-            cells = pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(lengths.astype(np.int32)), pa.array(d.view(np.int64)), pa.array(e.view(np.int64))], ["at", "n", "d", "e"])
+            if repeated is not None:
+                bit = d >> np.uint64(59 - len(repeated).bit_length())  # 2^n words have n + 6 bits
+                some = (repeated[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+                at = np.concatenate(([0], np.cumsum(some)))[at]
+                starts, ends, d, place = starts[some], ends[some], d[some], place[some]
+            lengths = ends - starts
+            e = span_hashes(data[::-1], len(data) - ends, len(data) - starts) ^ lengths.astype(np.uint64)  # of the bytes backwards
+            cells = pa.StructArray.from_arrays([pa.array((place << _LENGTH_BITS) | lengths), pa.array(d.view(np.int64)), pa.array(e.view(np.int64))], ["a", "d", "e"])
             own = [batch.column(c).slice(first, end - first) for c in range(2)]
             yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), cells)], names=["doc_id", "__t", "chunks"])
 
 
+def repeated_bits(digests: DataFrame) -> np.ndarray:
+    """The filter's words: of every digest ``d`` with two rows or more the bit that its
+    highest FILTER_BITS bits name.  Counts and words are summed before they move; at most
+    2^(FILTER_BITS - 6) words come to the driver."""
+    twice = digests.groupBy("d").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    bit = F.shiftrightunsigned("d", 64 - FILTER_BITS)
+    named = twice.select(F.shiftrightunsigned(bit, 6).cast("int").alias("word"), bit.bitwiseAND(63).cast("int").alias("bit"))
+    words = named.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     bare = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(bare).alias("__t"), bare.alias("text"))
@@ -96,23 +120,28 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document (doc_id, __t) with repeated chunks: ``chunks``, a set of (place and
-    length in bytes, id of the document of the first copy).  Equal rows are one document.
+    length in one number, id of the document of the first copy).  Equal rows are one
+    document.
 
-    The chunks are computed twice, for the counts and for the rows that the counts leave:
-    cheaper than storing them.  Counts are summed before they move; what is joined after
-    that is stored first, so that a chunk of very many documents can be split, and joined
+    The chunks are computed twice: for the filter of repeated digests, and for the rows
+    that it leaves, those of repeated chunks and the few that share a bit with one.  Only
+    they are stored and move.  Counts and first places are summed before they move; what is
+    joined is stored first, so that a chunk of very many documents can be split, and joined
     by sorting at every size.
     """
     texts = _texts(docs, doc_id, text)
     schema = _CHUNKS.format(id=texts.schema["doc_id"].dataType.simpleString())
-    chunks = texts.mapInArrow(_chunked, schema).select("doc_id", "__t", F.explode("chunks").alias("c")).select("doc_id", "__t", "c.*")
-    twice = stored(chunks.groupBy("d").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("d"), "chunk-twice")
-    again = stored(chunks.join(twice.hint("merge"), "d", "left_semi"), "chunk-again")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__t", "at")
+    bits = docs.sparkSession.sparkContext.broadcast(repeated_bits(texts.mapInArrow(_chunked, schema).select(F.explode("chunks.d").alias("d"))))
+
+    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _chunked(batches, bits.value)
+
+    again = stored(texts.mapInArrow(filtered, schema).select("doc_id", "__t", F.inline("chunks")), "chunk-again")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__t", "a")
     first = again.groupBy("d", "e").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = stored(first.filter(~F.col("first").eqNullSafe(F.col("last"))).select("d", "e", "first"), "chunk-first")
     later = again.join(first.hint("merge"), ["d", "e"]).filter(~place.eqNullSafe(F.col("first")))
-    cell = F.struct("at", "n", F.col("first.doc_id").alias("source"))
+    cell = F.struct("a", F.col("first.doc_id").alias("source"))
     return stored(later.groupBy("doc_id", "__t").agg(F.collect_set(cell).alias("chunks")), "chunk-later")
 
 
@@ -137,7 +166,8 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             out: dict[str, list] = {"n_bytes": [], "n_repeat_bytes": [], "repeats": [], "source_ids": [], "text": []}
             for t, found in zip(batch.column(1), batch.column(2)):
                 raw, runs, sources, kept, at = t.as_buffer().to_pybytes(), [], set(), [], 0
-                for a, n, ids in stretches(found.as_py() or [], run_bytes):
+                cells = [{"at": c["a"] >> _LENGTH_BITS, "n": c["a"] & ((1 << _LENGTH_BITS) - 1), "source": c["source"]} for c in found.as_py() or []]
+                for a, n, ids in stretches(cells, run_bytes):
                     runs.append({"at": a, "n": n})
                     sources.update(i for i in ids if i is not None)
                     kept.append(raw[at:a])

@@ -196,13 +196,21 @@ def test_chunks_tile_and_stay_characters():
         assert (starts[at[i] : at[i + 1]] - offsets[i]).tolist() == [a for a, _ in cut(t)]
 
 
+def test_chunks_are_short():
+    """Place and length share a number: no chunk may be as long as 1,024 bytes."""
+    for t in ("x" * 5000, "é" * 3000, "😀" * 2000, "a" * 63, "ab" * 40, *[t or "" for _, t in chunk_cases()]):
+        assert max((len(c) for _, c in cut(t)), default=0) <= chunks.SPAN + 16 + 3
+
+
 def test_chunks_resist_insertions():
     base = "".join(random.Random(3).choice("abcdefgh ") for _ in range(4000))
     a, b = {c for _, c in cut(base)}, {c for _, c in cut(base[:700] + "inserted" + base[700:])}
     assert len(a - b) <= 8
 
 
-def test_substring_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize("filter_bits", [chunks.FILTER_BITS, 8])
+def test_substring_dedup_equals_brute_force(spark, monkeypatch, filter_bits):
+    """Also with a filter that lets nearly every chunk pass."""
     pairs = chunk_cases()
     first, want = {}, {}
     for i, t in sorted(set(pairs), key=lambda p: (p[0] is None, p[0] or 0)):
@@ -211,6 +219,7 @@ def test_substring_dedup_equals_brute_force(spark):
             if first.setdefault(c, (i, t, at)) != (i, t, at):
                 found.append({"at": at, "n": len(c), "source": first[c][0]})
         want[i, t] = chunks.stretches(found, chunks.RUN_BYTES)
+    monkeypatch.setattr(chunks, "FILTER_BITS", filter_bits)
     docs = frame(spark, pairs)
     got = chunks.dedup_substrings(docs).collect()
     assert len(got) == len(pairs)
