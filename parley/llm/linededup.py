@@ -2,8 +2,9 @@
 
 A document is its lines.  Two runs of at least ``run`` equal consecutive lines share the
 minimum of their line hashes in every window of ``run`` lines, so the window minima are
-fingerprints that no repeated run can avoid.  Positions are joined on them: a fingerprint
-that occurs once anywhere is dropped.  Around each other position the match is extended
+fingerprints that no repeated run can avoid.  A shorter run of at least LONG_BYTES is a
+window, and its hash a fingerprint, of its own.  Positions are joined on them: a
+fingerprint that occurs once anywhere is dropped.  Around each other position the match is extended
 both ways, to the windows that hold it; a window equal to an earlier one (by document id,
 then place) is a later copy and its lines go.  Overlapping windows make up whole runs, so
 a run of any length goes as one.
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import stored, whole
 
-#: Lines of the shortest run that counts as repeated.
-RUN = 3
+#: Lines of the shortest run that counts as repeated whatever its length, and UTF-8 bytes
+#: (line feeds aside) from which a shorter run does: some 40 words.
+RUN, LONG_BYTES = 3, 200
 
 _KEY = ("__d", "__t", "__u")
 
@@ -33,22 +35,31 @@ def _lines(text: str) -> Column:
 
 
 def fingerprints(docs: DataFrame, doc_id: str, text: str, run: int) -> DataFrame:
-    """Per document of at least ``run`` lines: its key and, as ``__f``, for each distinct
-    last minimum of the windows of ``run`` lines: its hash, place, and the windows that hold
-    it, as structs of start and two hashes (s, w, v).
+    """Per document its key and, as ``__f``, its fingerprints as structs of hash,
+    place, and the windows that hold it, as structs of start, lines and two hashes
+    (s, k, w, v).
 
-    Each array is a column of its own, which the lambdas read by place.
+    They are each distinct last minimum of the windows of ``run`` lines, and each shorter
+    run of at least LONG_BYTES.  Each array is a column of its own, which the lambdas read
+    by place.
     """
-    d = docs.select(*_key(doc_id, text), F.transform(_lines(text), lambda x: F.xxhash64(x)).alias("__h"))
-    d = d.filter(F.size("__h") >= run)
+    d = docs.select(*_key(doc_id, text), F.transform(_lines(text), lambda x: F.struct(F.xxhash64(x).alias("h"), F.octet_length(x).alias("n"))).alias("__x"))
+    d = d.select(*_KEY, F.transform("__x", lambda x: x["h"]).alias("__h"), F.transform("__x", lambda x: x["n"].cast("long")).alias("__n"))
     d = d.withColumn("__p", F.transform("__h", lambda h, i: F.struct(h.alias("h"), (-i).alias("i"))))
-    d = d.withColumn("__l", F.transform(F.sequence(F.lit(0), F.size("__p") - run), lambda i: F.array_min(F.slice("__p", i + 1, run))))
+    places = lambda n, of: F.filter(F.sequence(F.lit(0), F.size(of)), lambda i: i <= F.size(of) - n)
+    # a column that is read once would be computed anew for each element of a lambda
+    d = d.withColumn("__l", F.transform(places(run, "__p"), lambda i: F.array_min(F.slice("__p", i + 1, run))))
     # their places never go back, so equal ones are neighbours
     d = d.withColumn("__m", F.filter("__l", lambda x, i: (i == 0) | (x["i"] != F.get("__l", i - 1)["i"])))
-    lines = lambda s: [F.get("__h", s + j) for j in range(run)]
-    window = lambda s: F.struct(s.alias("s"), F.xxhash64(*lines(s)).alias("w"), F.xxhash64(F.lit("second"), *lines(s)).alias("v"))
+    lines = lambda s, k: [F.get("__h", s + j) for j in range(k)]
+    window = lambda s, k: F.struct(
+        s.alias("s"), F.lit(k).alias("k"), F.xxhash64(*lines(s, k)).alias("w"), F.xxhash64(F.lit("second"), F.lit(k), *lines(s, k)).alias("v"))
     around = lambda i: F.sequence(F.greatest(F.lit(0), i - (run - 1)), F.least(i, F.size("__h") - run))
-    return d.select(*_KEY, F.transform("__m", lambda x: F.struct(x["h"].alias("h"), (-x["i"]).alias("i"), F.transform(around(-x["i"]), window).alias("around"))).alias("__f"))
+    prints = [F.transform("__m", lambda x: F.struct(x["h"].alias("h"), (-x["i"]).alias("i"), F.transform(around(-x["i"]), lambda s: window(s, run)).alias("around")))]
+    for k in range(1, run):
+        long = F.filter(places(k, "__h"), lambda s: sum((F.get("__n", s + j) for j in range(k)), F.lit(0)) >= LONG_BYTES)  # noqa: B023
+        prints.append(F.transform(long, lambda s: F.struct(F.xxhash64(F.lit("long"), *lines(s, k)).alias("h"), s.alias("i"), F.array(window(s, k)).alias("around"))))  # noqa: B023
+    return d.select(*_KEY, F.concat(*prints).alias("__f"))
 
 
 def later_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
@@ -69,14 +80,14 @@ def later_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run
     for k in spot:
         two = two | (F.col(f"least_{k}") != F.col(f"most_{k}"))
     shared = stored(ends.filter(two).select("__hash"), "line-shared")
-    # extend: the windows of `run` lines around the position, inside the document
+    # extend: the windows of `run` lines around the position, inside the document, or the long run
     windows = places.select(*_KEY, "__hash", F.explode("around").alias("__w"))
     windows = stored(windows.join(shared.hint("merge"), "__hash", "left_semi").select(*_KEY, "__w.*").distinct(), "line-windows")
-    place = F.struct(*_KEY, "s")
+    place = F.struct(*_KEY, "s")  # equal windows are of equally many lines
     first = windows.groupBy("w", "v").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = stored(first.filter(~F.col("first").eqNullSafe(F.col("last"))).select("w", "v", "first"), "line-firsts")
     later = windows.join(first.hint("merge"), ["w", "v"]).filter(~place.eqNullSafe(F.col("first")))
-    gone = F.flatten(F.transform(F.collect_set("s"), lambda s: F.sequence(s, s + run - 1)))
+    gone = F.flatten(F.transform(F.collect_set(F.struct("s", "k")), lambda x: F.sequence(x["s"], x["s"] + x["k"] - 1)))
     return stored(later.groupBy(*_KEY).agg(F.sort_array(F.array_distinct(gone)).alias("__gone")), "line-gone")
 
 
@@ -98,8 +109,8 @@ def _shortened(docs: DataFrame, doc_id: str, text: str, run: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = RUN, length: str | None = None) -> DataFrame:
-    """``docs`` with every later copy of a run of at least ``run`` lines deleted from
-    ``text``, the other lines joined by line feeds as before; ``length``, if named, is set
+    """``docs`` with every later copy of a run of at least ``run`` lines, or of LONG_BYTES in
+    fewer, deleted from ``text``, the other lines joined by line feeds as before; ``length``, if named, is set
     to the new number of code points of a changed text.  All rows and columns stay.
 
     "Earlier" is by document id (nulls first), then place in the text; texts that share an

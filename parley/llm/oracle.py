@@ -58,10 +58,11 @@ FROM b
 OP7 = """
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 windows AS (
-  SELECT rid, i, ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2] AS w
-  FROM (SELECT rid, ls, unnest(range(1, len(ls) - 1)) AS i FROM d WHERE len(ls) >= 3)),
-later AS (SELECT rid, i FROM (SELECT rid, i, row_number() OVER (PARTITION BY w ORDER BY rid, i) AS k FROM windows) WHERE k > 1),
-gone AS (SELECT DISTINCT rid, unnest([i, i + 1, i + 2]) AS p FROM later),
+  SELECT rid, i, m, array_to_string(ls[i:i + m - 1], chr(10)) AS w
+  FROM (SELECT rid, ls, m, unnest(range(1, len(ls) - m + 2)) AS i FROM d, (VALUES (1), (2), (3)) t(m) WHERE len(ls) >= m)
+  WHERE m = 3 OR strlen(array_to_string(ls[i:i + m - 1], '')) >= 200),
+later AS (SELECT rid, i, m FROM (SELECT rid, i, m, row_number() OVER (PARTITION BY m, w ORDER BY rid, i) AS k FROM windows) WHERE k > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + m)) AS p FROM later),
 lines AS (SELECT rid, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p FROM d WHERE text IS NOT NULL),
 left_over AS (
   SELECT l.rid, string_agg(l.line, chr(10) ORDER BY l.p) AS text FROM lines l ANTI JOIN gone g ON l.rid = g.rid AND l.p = g.p GROUP BY l.rid),

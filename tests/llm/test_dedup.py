@@ -22,9 +22,11 @@ def brute_lines(pairs, run=linededup.RUN):
     seen, out = {}, {}
     for i, t in sorted({p for p in pairs if p[1] is not None}, key=lambda p: (p[0] is not None, p[0] or 0)):
         lines, gone = t.split("\n"), set()
-        for k in range(len(lines) - run + 1):
-            if seen.setdefault(tuple(lines[k : k + run]), (i, t, k)) != (i, t, k):
-                gone.update(range(k, k + run))
+        for n in range(1, run + 1):
+            for k in range(len(lines) - n + 1):
+                window = tuple(lines[k : k + n])
+                if (n == run or len("".join(window).encode()) >= linededup.LONG_BYTES) and seen.setdefault(window, (i, t, k)) != (i, t, k):
+                    gone.update(range(k, k + n))
         out[i, t] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
@@ -34,6 +36,9 @@ def line_cases():
     pool = ["a", "b", "", "long line é", "c", "d"]
     pairs = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randint(1, 12)))) for i in range(60)]
     unique = [(100 + i, f"x{i}\ny{i}\nz{i}\nboiler 1\nboiler 2\nboiler 3\nw{i}") for i in range(20)]
+    long = ["é" * 100, "x" * 199, "y" * 120, "z" * 80, "w" * 79]  # runs of one or two lines, by bytes
+    pairs += [(300 + i, "\n".join(rnd.choice([*long, "a"]) for _ in range(rnd.randint(1, 4)))) for i in range(40)]
+    pairs += [(400, long[0]), (401, long[0]), (402, long[1]), (403, long[1])]
     return [*pairs, *unique, (200, unique[3][1]), (None, unique[4][1]), (201, None), (202, ""), (203, "\n" * 50), (204, "\n".join(str(k) for k in range(50_000))), (204, "\n".join(str(k) for k in range(50_000)))]
 
 
