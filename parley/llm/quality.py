@@ -17,9 +17,12 @@ from parley.llm.common import stored, whole
 #: Words per window of the repetition count.
 WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
-#: Learner: candidate thresholds per feature and class, conditions per rule, rules per list,
-#: the share of rejected rows in a rule's pruning rows, and the rejected rows a rule must cover there.
-THRESHOLDS, MAX_CONDITIONS, MAX_RULES, MIN_PRECISION, MIN_COVER = 16, 4, 12, 0.97, 5
+#: Learner: conditions per rule, the share of rejected rows in a rule's pruning rows, the
+#: rejected rows a rule must cover there, and regions set aside in a row before it ends.
+MAX_CONDITIONS, MIN_PRECISION, MIN_COVER, MAX_ASIDE = 4, 0.97, 5, 4
+#: Quantiles of a feature between which thresholds lie: 16 evenly, the extremes, and tails
+#: down to one row in 4,096.
+QUANTILES = sorted({0.0, 1.0, *((i + 0.5) / 16 for i in range(16)), *(2.0**-k for k in range(6, 13)), *(1 - 2.0**-k for k in range(6, 13))})
 #: Of this many parts of the labelled rows one prunes; the others grow.
 FOLDS = 3
 
@@ -124,9 +127,9 @@ def _gain(p: float, n: float, p0: float, n0: float) -> float:
 
 def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
     """Candidate thresholds: midpoints between neighbouring quantiles of each feature over
-    either class, so that a threshold keeps its distance from the values it separates."""
-    at = [(i + 0.5) / THRESHOLDS for i in range(THRESHOLDS)]
-    q = lambda f, own: F.percentile_approx(F.when(F.col(own) > 0, F.col(f)), at, 10_000).alias(f"{f}_{own}")
+    either class, so that a threshold keeps its distance from the values it separates.
+    One aggregate."""
+    q = lambda f, own: F.percentile_approx(F.when(F.col(own) > 0, F.col(f)), QUANTILES, 10_000).alias(f"{f}_{own}")
     got = rows.agg(*[q(f, own) for f in FEATURES for own in ("bad", "good")]).first()
     values = {f: sorted({*(got[f"{f}_bad"] or []), *(got[f"{f}_good"] or [])}) for f in FEATURES}
     return {f: [(a + b) / 2 for a, b in zip(v, v[1:])] for f, v in values.items()}
@@ -150,42 +153,72 @@ def _best(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[float, float,
     return p0, n0, out
 
 
+def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> list[Rule]:
+    """Two rules from the growing rows: the one grown by information gain, and the single
+    condition that covers most rejected rows precisely."""
+    grown: Rule = ()
+    plain: list[Rule] = []
+    while any(cuts.values()) and len(grown) < MAX_CONDITIONS:
+        p0, n0, found = _best(rows.filter(_all(grown)), cuts)
+        if not grown:
+            if p0 < MIN_COVER:
+                break
+            precise = [x for x in found if x[2] >= MIN_COVER and x[2] >= MIN_PRECISION * (x[2] + x[3]) and n0]
+            plain = [(max(precise, key=lambda x: x[2])[1],)] if precise else []
+        found = [x for x in found if x[0] > 1e-9 and x[1] not in grown]
+        if not p0 or not n0 or not found:
+            break
+        grown += (max(found, key=lambda x: x[0])[1],)
+    return ([grown] if grown else []) + plain
+
+
+def _pruned(rows: DataFrame, rule: Rule) -> Rule | None:
+    """``rule`` without the final conditions that the pruning rows do not need; None if it is
+    not precise enough on them."""
+    sums = [F.sum(F.when(_all(rule[:k]), F.col(c)).otherwise(0)).alias(f"{c}{k}") for k in range(1, len(rule) + 1) for c in ("bad", "good")]
+    got = rows.agg(*sums).first()
+    count = lambda c, k: got[f"{c}{k}"] or 0
+    value = lambda k: (count("bad", k) - count("good", k)) / max(1, count("bad", k) + count("good", k))
+    k = max(range(1, len(rule) + 1), key=lambda k: (value(k), -k))
+    p, n = count("bad", k), count("good", k)
+    return rule[:k] if p >= MIN_COVER and p >= MIN_PRECISION * (p + n) else None
+
+
 def learn(rows: DataFrame) -> list[Rule]:
     """A decision list from rows of the features, ``bad`` and ``good`` (label counts) and
     ``prune`` (boolean).
 
-    Sequential covering: a rule grows by the condition of most information gain on the
-    growing rows until it covers no accepted row, then loses final conditions as long as
-    that does not lower (p - n) / (p + n) on the pruning rows.  Rows that a rule covers
-    leave; the list ends with the first rule that is not precise enough.  Ties go to the
-    earlier feature, then the lower threshold, then <=.  Without labels of both classes
-    the list is empty.
+    Sequential covering, with thresholds taken anew from the rows left before each rule: a
+    rule grows by the condition of most information gain on the growing rows until it covers
+    no accepted row, then loses final conditions as long as that does not lower
+    (p - n) / (p + n) on the pruning rows.  If it is not precise enough there, the single
+    condition that covers most rejected rows precisely is tried.  Rows that a rule covers
+    leave.  Where neither is precise, the grown rule's region is set aside for growing (not
+    for pruning) and learning goes on; it ends when fewer than MIN_COVER rejected rows are
+    left to grow from, or after MAX_ASIDE such regions in a row.  Ties go to the earlier
+    feature, then the lower threshold, then <=.  Without labels of both classes the list is
+    empty.
     """
-    cuts = _thresholds(rows)
     rules: list[Rule] = []
-    if not any(cuts.values()):
-        return rules
-    while len(rules) < MAX_RULES:
+    aside: list[Rule] = []
+    missed = 0
+    while missed < MAX_ASIDE:
         left = rows
         for r in rules:
             left = left.filter(~_all(r))
-        rule: Rule = ()
-        while len(rule) < MAX_CONDITIONS:
-            p0, n0, found = _best(left.filter(~F.col("prune") & _all(rule)), cuts)
-            found = [x for x in found if x[0] > 1e-9 and x[1] not in rule]
-            if not p0 or not n0 or not found:
-                break
-            rule += (max(found, key=lambda x: x[0])[1],)
-        if not rule:
-            break
-        sums = [F.sum(F.when(_all(rule[:k]), F.col(c)).otherwise(0)).alias(f"{c}{k}") for k in range(1, len(rule) + 1) for c in ("bad", "good")]
-        got = left.filter("prune").agg(*sums).first()
-        value = lambda k: ((got[f"bad{k}"] or 0) - (got[f"good{k}"] or 0)) / max(1, (got[f"bad{k}"] or 0) + (got[f"good{k}"] or 0))  # noqa: B023, E731
-        k = max(range(1, len(rule) + 1), key=lambda k: (value(k), -k))
-        p, n = got[f"bad{k}"] or 0, got[f"good{k}"] or 0
-        if p < MIN_COVER or p < MIN_PRECISION * (p + n):
+        free = left.filter(~F.col("prune"))
+        for r in aside:
+            free = free.filter(~_all(r))
+        tried = _grow(free, _thresholds(free))
+        if not tried:
             break
-        rules.append(rule[:k])
+        good = next((x for x in (_pruned(left.filter("prune"), r) for r in tried) if x), None)
+        if good:
+            rules.append(good)
+            missed = 0
+        else:
+            aside.append(tried[0])
+            missed += 1
     return rules
 
 

@@ -157,6 +157,24 @@ def test_learned_list_covers_what_it_should(spark):
     assert sum(a and b for a, b in judged) >= 0.8 * sum(b for _, b in judged)
 
 
+def test_a_rare_kind_of_junk_gets_a_rule(spark):
+    """One kind is 1 % of the rejected labels; another third of them has no rule at all."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(9000):
+        f = {n: rnd.random() for n in quality.FEATURES}
+        kind = "rare" if i % 300 == 7 else "common" if i % 3 == 0 else "noise" if i % 6 == 1 else "good"
+        if kind == "common":
+            f["symbol_share"] = 2 + rnd.random()
+        if kind == "rare":
+            f["bar_share"] = 3 + rnd.random()
+        rows.append((*[f[n] for n in quality.FEATURES], int(kind != "good"), int(kind == "good"), rnd.random() < 1 / 3, kind))
+    frame = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in quality.FEATURES) + ", bad long, good long, prune boolean, kind string")
+    rules = quality.learn(frame)
+    got = {r.kind: r.share for r in frame.groupBy("kind").agg(F.avg(quality.verdict(rules).isNotNull().cast("int")).alias("share")).collect()}
+    assert got["common"] == 1 and got["rare"] == 1 and got["good"] <= 0.01
+
+
 def test_held_out_accuracy(spark):
     rows, labels = quality_cases()
     docs = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows if i is not None and i < 700], DOCS)
