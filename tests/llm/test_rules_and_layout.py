@@ -224,5 +224,24 @@ def test_shards(spark, shards):
     assert all(again[r.doc_id, r.size, r.text_crc32] == r.shard for r in got)
 
 
+@pytest.mark.parametrize("bits,shards,hot", [(2, 7, 0), (4, 40, 0), (1, 13, 400), (16, 40, 50)])
+def test_shards_are_minimax_over_groups(spark, monkeypatch, bits, shards, hot):
+    """Fewer first ranges than groups: the capacity is still that of the groups, in the order of their hashes."""
+    monkeypatch.setattr(sharding, "BITS", bits)
+    monkeypatch.setattr(sharding, "STEP", 3)
+    rnd = random.Random(bits)
+    texts = [str(i) + "x" * rnd.choice([0, 3, 50, 900]) for i in range(1500)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:1] * hot)], "doc_id long, text string")
+    order = docs.groupBy(F.xxhash64("text").alias("h")).agg(F.sum(F.octet_length("text") + 16).alias("n")).collect()
+    sizes = [r.n for r in sorted(order, key=lambda r: r.h % (1 << 64))]
+    got = sharding.shard_by_bytes(docs, shards).collect()
+    held, slots = Counter(), defaultdict(list)
+    for r in got:
+        held[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert len(got) == docs.count() and max(held.values()) == sharding.capacity(sizes, shards)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
 def test_sharding_empty(spark):
     assert sharding.shard_by_bytes(spark.createDataFrame([], "doc_id long, text string"), 40).count() == 0
