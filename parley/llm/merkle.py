@@ -15,6 +15,10 @@ from parley.llm.common import stored
 
 #: Bytes of an archive whose records make a leaf, and children of a node.
 LEAF_BYTES, FAN = 1 << 16, 16
+#: Leaves over which records without an offset are dealt, by their digests.
+UNPLACED = 1 << 16
+#: Copies of a record laid out from one row, and leading hex digits of the digests that share a cell.
+COPIES, DIGITS = 1 << 16, 4
 #: Records in an archive that ``warc_records`` lays out.
 ARCHIVE_RECORDS = 1000
 
@@ -24,10 +28,16 @@ def _digest(parts: Column) -> Column:
     return F.sha2(F.array_join(F.transform(F.sort_array(parts), lambda x: F.concat_ws(" ", x["place"].cast("string"), x["text"])), "\n"), 256)
 
 
+def _leaf() -> Column:
+    """The leaf of a record: the range of its offset, or below 0 one by its digest."""
+    return F.when(F.col("offset") >= 0, F.floor(F.col("offset") / LEAF_BYTES)).otherwise(-1 - F.pmod(F.xxhash64("n_bytes", "digest"), F.lit(UNPLACED))).cast("long")
+
+
 def _levels(records: DataFrame, depth: int) -> list[DataFrame]:
     """The nodes (archive, range, digest) of each level, leaves first, roots (range 0) last."""
-    entry = F.struct(F.col("offset").alias("place"), F.concat_ws(" ", F.col("n_bytes").cast("string"), "digest").alias("text"))
-    leaves = records.groupBy("archive", F.floor(F.col("offset") / LEAF_BYTES).cast("long").alias("range")).agg(_digest(F.collect_list(entry)).alias("digest"))
+    entry = F.struct(F.col("offset").alias("place"), F.concat_ws(" ", F.col("n_bytes").cast("string"), "digest", F.col("copies").cast("string")).alias("text"))
+    spots = records.groupBy("archive", "offset", "n_bytes", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    leaves = spots.groupBy("archive", _leaf().alias("range")).agg(_digest(F.collect_list(entry)).alias("digest"))
     out = [stored(leaves, "merkle-leaves")]
     child = F.struct(F.col("range").alias("place"), F.col("digest").alias("text"))
     for _ in range(depth):
@@ -53,7 +63,12 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     Replicas are (archive string, offset long, n_bytes long, digest string); a record is
     named by archive and offset.  Repeated records are compared as a multiset: where the
     counts differ, each is reported.  A null archive is '', a null offset -1, null digests
-    are equal to each other only.  Equal or empty replicas give no rows.
+    are equal to each other only.  Equal or empty replicas give no rows.  Other columns are
+    ignored.
+
+    A leaf holds each distinct record once, with its number of copies; records below offset
+    0 are dealt over UNPLACED leaves of their archive by digest.  A leaf then has as many
+    entries as different records start in LEAF_BYTES.
     """
     def clean(x: DataFrame) -> DataFrame:
         return x.select(F.coalesce("archive", F.lit("")).alias("archive"), F.coalesce(F.col("offset").cast("long"), F.lit(-1)).alias("offset"),
@@ -71,7 +86,7 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     spot = ["archive", "offset"]
 
     def own(x: DataFrame) -> DataFrame:
-        held = x.withColumn("range", F.floor(F.col("offset") / LEAF_BYTES).cast("long")).join(wrong, ["archive", "range"], "left_semi")
+        held = x.withColumn("range", _leaf()).join(wrong, ["archive", "range"], "left_semi")
         return held.groupBy(*spot, "n_bytes", "digest").agg(F.count(F.lit(1)).alias("copies"))
 
     a, b = own(ours), own(theirs)
@@ -94,17 +109,42 @@ def warc_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
 
 
 def indexed(records: DataFrame) -> DataFrame:
-    """Length, digest and offset of the records (page_id, archive, payload) of each archive."""
-    rows = records.select("page_id", "archive", F.octet_length("payload").cast("long").alias("n_bytes"), F.sha2("payload", 256).alias("digest"))
-    before = Window.partitionBy("archive").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("n_bytes").over(before), F.lit(0)).cast("long"))
+    """page_id, archive, n_bytes, digest and offset of the records (page_id, archive,
+    payload): in each archive end to end, in order of id, then digest (nulls first).
+
+    A null payload has no bytes and a null digest.  Equal records lie next to each other.
+    An empty table gives no rows; other columns are ignored.  Offsets are sums in two
+    steps, over the distinct records of a cell (an id and the first DIGITS of the digest)
+    and over the cells before it, so one id may hold any share of the rows.
+    """
+    rows = records.select("page_id", "archive", F.coalesce(F.octet_length("payload"), F.lit(0)).cast("long").alias("n_bytes"), F.sha2("payload", 256).alias("digest"))
+    cell = ["archive", "page_id", "__cell"]
+    once = rows.groupBy("archive", "page_id", "n_bytes", "digest").agg(F.count(F.lit(1)).alias("__n")).withColumn("__cell", F.substring("digest", 1, DIGITS))
+    once = stored(once, "warc-distinct")
+    so_far = lambda w, n: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cells = once.groupBy(*cell).agg(F.sum(F.col("n_bytes") * F.col("__n")).alias("__bytes"))
+    bases = cells.select(*cell, so_far(Window.partitionBy("archive").orderBy("page_id", "__cell"), "__bytes").alias("__base"))
+    placed = once.withColumn("__in", so_far(Window.partitionBy(*cell).orderBy("digest"), F.col("n_bytes") * F.col("__n")))
+    same = F.lit(True)
+    bases = bases.select(*[F.col(c).alias(f"__b_{c}") for c in cell], "__base")
+    for c in cell:
+        same = same & F.col(c).eqNullSafe(F.col(f"__b_{c}"))
+    placed = placed.join(bases, same)
+    # copies: rows of up to COPIES first, so that no array is longer than that
+    many = placed.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(COPIES).cast("long"))))
+    each = many.withColumn("__i", F.explode(F.sequence("__from", F.least(F.col("__n"), F.col("__from") + COPIES) - 1)))
+    return each.select("page_id", "archive", "n_bytes", "digest", (F.col("__base") + F.col("__in") + F.col("__i") * F.col("n_bytes")).cast("long").alias("offset"))
 
 
 def damaged(records: DataFrame, index: DataFrame) -> DataFrame:
     """A replica to audit: of the ``index``'ed records, those whose digest starts with 00
-    have their last byte changed, with 01 are lost, with 02 have a stray second entry."""
+    have their last byte changed, with 01 are lost, with 02 have a stray second entry.
+
+    Equal records share their fate; those without a digest or an id stay as they are.  An
+    empty index gives no rows; other columns are ignored.
+    """
     first = F.substring("digest", 1, 2)
     changed = F.sha2(F.concat(F.expr("substring(payload, 1, length(payload) - 1)"), F.lit("X")), 256)
     bad = records.select("page_id", "archive", F.sha2("payload", 256).alias("digest"), changed.alias("bad")).filter(first == "00").distinct()
-    kept = index.filter(first != "01").join(bad, ["page_id", "archive", "digest"], "left").select("archive", "offset", "n_bytes", F.coalesce("bad", "digest").alias("digest"))
+    kept = index.filter(first.isNull() | (first != "01")).join(bad, ["page_id", "archive", "digest"], "left").select("archive", "offset", "n_bytes", F.coalesce("bad", "digest").alias("digest"))
     return kept.union(index.filter(first == "02").select("archive", F.col("offset") + 1, "n_bytes", "digest"))

@@ -78,6 +78,30 @@ def test_warc_records_lie_end_to_end(spark):
     assert len(got) == 8 and len({r.archive for r in got}) == 3
 
 
+def test_one_id_may_hold_most_records(spark, monkeypatch):
+    """Records of one null id, copies among them, lie end to end; without offsets they are audited all the same."""
+    monkeypatch.setattr(merkle, "COPIES", 7)
+    monkeypatch.setattr(merkle, "DIGITS", 1)
+    rows = [(None, "u", f"{i % 150}" + "y" * (i % 9)) for i in range(600)] + [(None, "u", "same")] * 40 + [(i, "u", "z" * i) for i in range(30)]
+    records = merkle.warc_records(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = merkle.indexed(records).collect()
+    raw = Counter((r.archive, r.page_id, hashlib.sha256(r.payload.encode()).hexdigest(), len(r.payload.encode())) for r in records.collect())
+    assert Counter((r.archive, r.page_id, r.digest, r.n_bytes) for r in got) == raw
+    want, at = [], defaultdict(int)
+    for archive, page, digest, n in sorted(raw.elements()):
+        want.append((archive, at[archive], n, digest))
+        at[archive] += n
+    assert sorted((r.archive, r.offset, r.n_bytes, r.digest) for r in got) == sorted(want)
+    ours = [(a, None if a < "00000000" else o, n, d) for a, o, n, d in want]
+    theirs = [*ours[:100], *ours[103:], ours[0]]
+    clean = lambda x: [(a, -1 if o is None else o, n, d) for a, o, n, d in x]
+    found = merkle.audit(spark.createDataFrame(ours, RECORD), spark.createDataFrame(theirs, RECORD)).collect()
+    side = lambda n, d: None if d is None else (n, d)
+    assert sorted([(r.archive, r.offset, r.status, side(r.n_bytes, r.digest), side(r.their_bytes, r.their_digest)) for r in found], key=repr) == brute_audit(clean(ours), clean(theirs))
+    leaves = merkle._levels(spark.createDataFrame(clean(ours), RECORD), 1)[0].filter("range < 0")
+    assert leaves.count() > 100
+
+
 # ---------------------------------------------------------------- 3: quality rules
 def brute_statistics(text):
     t = text or ""
