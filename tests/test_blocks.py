@@ -71,3 +71,15 @@ def test_a_bucket_holds_little_and_retrieval_writes_no_reranker_tables(spark):
     written = lambda: {n.split("-")[0] for n in os.listdir(root)}
     assert "postings" in written() and not written() & {"text_postings", "text_bigrams", "text_stats", "doc_vectors"}
     assert c.text_vocab == 2 and "text_stats" in written()
+
+
+def test_judgements_are_counted_within_parts_of_documents(spark, monkeypatch):
+    """The sums per (query, document) are as many as queries x documents; they are not exchanged."""
+    from parley.sources import fixtures
+
+    plans = []
+    kept = fixtures.materialize
+    monkeypatch.setattr(fixtures, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df))
+    rows = fixtures.qrels(spark, "/root/testdata/sf0.001").collect()
+    assert rows and {r["rel"] for r in rows} <= {0, 1, 2}
+    assert not re.search(r"hashpartitioning\(qid[^)]*doc_id", plans[-1])
