@@ -9,6 +9,7 @@ that the 120 orders of five filters are read off the joins of its 31 proper pref
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from itertools import combinations, permutations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,25 +73,30 @@ def prefixes(rows: DataFrame, fails: Mapping[str, DataFrame]) -> DataFrame:
     of them.
 
     Rows that fail no filter survive every prefix; they are counted once, and only the
-    others are joined.  All joins are on ``row`` and sort at every size, so each table is
-    exchanged once and all prefixes read that exchange.
+    others are joined.  The prefixes are a tree: what survives one is stored, and one more
+    anti-join gives what survives the next; the counts are stored for the prefixes of each
+    length.  So a plan holds a few joins (one plan of all prefixes, 185 exchanges, took more
+    memory of the driver than it has).
     """
     letters = sorted(fails)
     ids = fails[letters[0]]
     for x in letters[1:]:
         ids = ids.union(fails[x])
     bad = stored(rows.select("row", "part", "good", "toxic").join(ids.hint("merge"), "row", "left_semi"), "audit-bad")
-    out = _counts(rows, "all", "")
+    out = stored(_counts(rows, "all", ""), "audit-count")
+    alive = {"": bad}
     for k in range(len(letters) + 1):
-        for given in combinations(letters, k):
-            alive = bad
-            for x in given:
-                alive = alive.join(fails[x].hint("merge"), "row", "left_anti")
-            out = out.union(_counts(alive, "kept", "".join(given)))
+        found = []
+        for given in map("".join, combinations(letters, k)):
+            if k:
+                rest = alive[given[:-1]].join(fails[given[-1]].hint("merge"), "row", "left_anti")
+                alive[given] = rest if given[-1] == letters[-1] else stored(rest, "audit-alive")  # the last letter opens no branch
+            found.append(_counts(alive[given], "kept", given))
             if k in (0, len(letters) - 1):  # what a filter fails in all, and what it alone fails
                 for x in letters:
                     if x not in given:
-                        out = out.union(_counts(alive.join(fails[x].hint("merge"), "row", "left_semi"), x, "".join(given)))
+                        found.append(_counts(alive[given].join(fails[x].hint("merge"), "row", "left_semi"), x, given))
+        out = out.union(stored(reduce(DataFrame.union, found), "audit-count"))
     return out
 
 

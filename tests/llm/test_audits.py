@@ -233,3 +233,19 @@ def test_filter_audit_equals_brute_force(spark):
     assert {(r.part, r.filter_order, r.step): tuple(r[c] for c in names) for r in got.collect()} == brute_audit(rows, labels)
     empty = filteraudit.base_rows(frame(spark, []), frame_l.limit(0))
     assert filteraudit.audit(empty, filteraudit.failing_ids(empty)).count() == 0
+
+
+def test_filter_audit_makes_no_large_plan(spark, monkeypatch):
+    """One plan of all prefixes (185 exchanges) took more memory than the driver has."""
+    exchanges = []
+    kept = filteraudit.stored
+
+    def watched(df, name):
+        exchanges.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return kept(df, name)
+
+    monkeypatch.setattr(filteraudit, "stored", watched)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = filteraudit.base_rows(spark.createDataFrame([(1, "a $", "en"), (2, "a $", "de")], "doc_id long, text string, lang string"), labels)
+    assert filteraudit.audit(rows, filteraudit.failing_ids(rows)).count() == 2 * 120 * 5
+    assert max(exchanges) <= 40
