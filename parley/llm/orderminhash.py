@@ -6,9 +6,9 @@ the order in which they stand in the text.  Texts of a small edit distance share
 the same k-mers in another order do not.  Documents that share a sketch are candidates,
 and a banded alignment of their k-mer sequences verifies them.
 
-A bucket's members are aligned with one hub.  Those that a template joins to a hub which
-is no duplicate meet again by the k-mers that the hub lacks, each with several others at
-once.
+A bucket's members are aligned with one hub first, which brings most duplicates into one
+class.  Pairs of a bucket that are of different classes by then are all compared, in tiles
+of members: those whose k-mers overlap enough are aligned.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import stored, text_blocks, whole
+from parley.llm.common import spread, stored, text_blocks, whole
 from parley.llm.components import components
 from parley.llm.words import Words, mix
 
@@ -35,12 +35,9 @@ AGREE = 2
 #: Documents are grouped by each sketch, and again by each run of 2 (up to DEPTH) of them:
 #: where many texts share one passage, the groups of two sketches tell them apart.
 DEPTH = 2
-#: Of the k-mers that tell a text from its hub, so many of the least hashes (all, if there
-#: are no more) bring it together with others of that hub.
-APART = 64
-#: Texts that share such a k-mer are aligned, if they are of different classes by then, with
-#: so many of them, the shortest: all pairs of cells of up to that number.
-HUBS = 8
+#: Members of a bucket are dealt into blocks of about so many, and of so many bytes of
+#: k-mers; every two blocks meet in a task.
+MEMBERS, HELD = 512, 8 << 20
 
 
 def kmers(words: Words, k: int = K) -> tuple[np.ndarray, np.ndarray]:
@@ -167,31 +164,109 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     return matched / (total - matched) if total > matched else 1.0
 
 
-def _apart(a: np.ndarray, b: np.ndarray) -> list[int]:
-    """The APART least hashes of the occurrence-labelled k-mers of ``a`` that ``b`` lacks;
-    if ``a`` is the shorter, also of those of ``b`` that ``a`` lacks."""
-    own, other = (labelled(mix(x.astype(np.uint64)), np.array([0, len(x)])) for x in (a, b))
-    out = np.setdiff1d(own, other)[:APART]
-    if len(a) < len(b):
-        out = np.concatenate((out, np.setdiff1d(other, own)[:APART]))
-    return out.view(np.int64).tolist()
-
-
-_CHECKED = "a string, b string, n int, linked boolean, apart array<long>"
+_CHECKED = "a string, b string, linked boolean"
 
 
 def _verify(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keep, apart = [], [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                ka, kb = (np.frombuffer(k.as_py(), "<u4") for k in (x, y))
-                n.append(len(ka))
-                keep.append(similarity(ka, kb, least) >= least)
-                apart.append(_apart(ka, kb))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(keep, pa.bool_()), pa.array(apart, pa.list_(pa.int64()))],
-                names=["a", "b", "n", "linked", "apart"])
+            keep = [similarity(*(np.frombuffer(k.as_py(), "<u4") for k in pair), least) >= least for pair in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keep, pa.bool_())], names=["a", "b", "linked"])
+
+    return run
+
+
+class Tile:
+    """Members of one bucket, of one block or of two, that meet in a task: a row for each of
+    (i, cross, block, node, n, label, hubs, sketch), and its k-mers."""
+
+    def __init__(self, rows: pa.Table, least: float):
+        column = lambda c: rows.column(c).to_numpy()
+        self.least, self.i, self.cross = least, int(column("i")[0]), bool(column("cross")[0])
+        self.block, self.n, self.label = column("block"), column("n").astype(np.int64), column("label").copy()
+        self.nodes = rows.column("node").to_pylist()
+        self.sketch = rows.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(self.n), -1)
+        self.hubs = (column("hubs")[:, None] >> np.arange(self.sketch.shape[1]) & 1).astype(bool)
+
+    def open(self, x: int) -> np.ndarray:
+        """The members after ``x`` to compare with it: of another class and a near enough
+        length, alike in AGREE sketches of which this bucket's is the first, and not aligned
+        before, as a member and its hub are."""
+        y = slice(x + 1, None)
+        ok = (self.label[y] != self.label[x]) & (np.minimum(self.n[y], self.n[x]) >= self.least * np.maximum(self.n[y], self.n[x]))
+        if self.cross:
+            ok &= self.block[y] != self.block[x]
+        at = np.flatnonzero(ok) + x + 1
+        same = self.sketch[at] == self.sketch[x]
+        ok = (same.argmax(axis=1) == self.i) & (same.sum(axis=1) >= AGREE) & ~(same & (self.hubs[at] | self.hubs[x])).any(axis=1)
+        return at[ok]
+
+    def waiting(self) -> list[str]:
+        """The members of a pair to compare."""
+        found = np.zeros(len(self.n), bool)
+        for x in range(len(self.n) - 1):
+            at = self.open(x)
+            found[at] = True
+            found[x] |= len(at) > 0
+        return [self.nodes[x] for x in np.flatnonzero(found)]
+
+    def links(self, kmers: list[bytes]) -> list[tuple[str, str]]:
+        """Links that join all classes which some pair to compare joins.  The aligned k-mers
+        of two texts are at most those they share, so few pairs have to be aligned."""
+        texts = [np.frombuffer(k, "<u4") for k in kmers]
+        at = np.concatenate(([0], np.cumsum(self.n)))
+        codes = np.unique(labelled(mix(np.concatenate(texts).astype(np.uint64)), at), return_inverse=True)[1]
+        own, out = np.zeros(len(codes), bool), []
+        for x in range(len(self.n) - 1):
+            y = self.open(x)
+            if not len(y):
+                continue
+            mine = codes[at[x] : at[x + 1]]
+            own[mine] = True
+            shared = np.add.reduceat(own[codes[spread(self.n[y], at[y])]], np.cumsum(self.n[y]) - self.n[y], dtype=np.int64)
+            own[mine] = False
+            enough = shared >= self.least * (self.n[x] + self.n[y]) / (1 + self.least) - 1e-6
+            for j in y[enough][np.argsort(-shared[enough], kind="stable")].tolist():
+                if self.label[j] != self.label[x] and similarity(texts[x], texts[j], self.least) >= self.least:
+                    self.label[self.label == self.label[j]] = self.label[x]
+                    out.append((self.nodes[x], self.nodes[j]))
+        return out
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each tile, of batches sorted by ``tile``."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        if held is not None:
+            rows = pa.concat_tables([held, rows])
+        tile = rows.column("tile").to_numpy()
+        cuts = [0, *(np.flatnonzero(tile[1:] != tile[:-1]) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:]):
+            yield rows.slice(a, b - a)
+        held = rows.slice(cuts[-1])
+    if held is not None:
+        yield held
+
+
+def _waiting(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _tiles(batches):
+            found = Tile(rows, least).waiting()
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([rows.column(c)[0].as_py()] * len(found), k) for c, k in (("i", pa.int32()), ("key", pa.int64()))] + [pa.array(found, pa.string())], names=["i", "key", "node"])
+
+    return run
+
+
+def _linked(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _tiles(batches):
+            found = Tile(rows, least).links(rows.column("kmers").to_pylist())
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], names=["a", "b"])
 
     return run
 
@@ -208,12 +283,13 @@ def _cells(nodes: DataFrame, depth: int) -> DataFrame:
     return nodes.filter(width > 0).withColumn("cell", F.explode(F.concat(*cells))).select("*", "cell.*").drop("cell")
 
 
-def candidates(nodes: DataFrame, least: float = SIMILARITY, depth: int = DEPTH) -> DataFrame:
-    """(a, b): a document a and the hub b of a bucket of documents with equal sketches.
+def candidates(nodes: DataFrame, least: float = SIMILARITY, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """((a, b): a document a and the hub b of a bucket of documents with equal sketches,
+    (i, key, c): the number of documents in each bucket of several, (i, key, hub)).
 
     The hub is the member that shares most sketches with others (the original of a group
     of edited copies is nearer to all of them than they are to each other), so a bucket
-    gives one pair per member, never all pairs.  Pairs whose sketches as a whole are too far
+    gives one pair per member; ``_across`` compares its other pairs.  Pairs whose sketches as a whole are too far
     apart go.  Where members are too short or too long for their hub, the bucket is dealt
     again by length: two texts of near enough lengths share one of their two classes, each
     of which has its own hub, the shortest.  What is joined is stored first, so that a join on a key of
@@ -238,44 +314,48 @@ def candidates(nodes: DataFrame, least: float = SIMILARITY, depth: int = DEPTH)
     heads = stored(dealt.groupBy("i", "key", "step").agg(F.min(F.struct("n", "node", "brief")).alias("hub")), "dealt-hubs")
     again = dealt.join(heads.hint("merge"), ["i", "key", "step"]).filter((F.col("node") != F.col("hub.node")) & (agree >= F.least(F.lit(AGREE), F.size("brief"))))
     pairs = met.filter("near and node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    return pairs.union(again.select("node", "hub.node")).distinct()
+    return pairs.union(again.select("node", "hub.node")).distinct(), sizes, hubs
 
 
-def _digest(sketch: str) -> Column:
-    """The last byte of each of the sketches, in two longs."""
-    half = lambda i: F.aggregate(F.slice(sketch, i, SKETCHES // 2), F.lit(0).cast("long"), lambda h, x: F.shiftleft(h, 8).bitwiseOR(x.bitwiseAND(F.lit(255))))
-    return F.struct(half(1).alias("x"), half(1 + SKETCHES // 2).alias("y"))
+def _crowds(nodes: DataFrame, sizes: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(i, key, node, n): the members of the buckets of one sketch, ``i``, that have more
+    members than a hub and one other."""
+    many = sizes.filter((F.col("c") > 2) & (F.pmod(F.col("i") - 1, F.lit(depth)) == 0)).select(((F.col("i") - 1) / depth).cast("int").alias("i"), "key")
+    cells = _cells(nodes.select("node", "n", "sketch"), 1).select((F.col("i") - 1).alias("i"), "key", "node", "n")
+    return stored(cells.join(many.hint("merge"), ["i", "key"]), "crowds")
 
 
-def _agree(a: str, b: str) -> Column:
-    """How many bytes of two such digests are equal."""
-    same = F.lit(0)
-    for f in ("x", "y"):
-        differ = F.col(f"{a}.{f}").bitwiseXOR(F.col(f"{b}.{f}"))
-        for i in range(0, 8 * (SKETCHES // 2), 8):
-            same = same + F.when(F.shiftrightunsigned(differ, i).bitwiseAND(F.lit(255)) == 0, 1).otherwise(0)
-    return same
+def _in_tiles(members: DataFrame) -> DataFrame:
+    """``members`` of buckets (i, key), dealt into ``blocks``, once for each two blocks of
+    which one is theirs; sorted by ``tile``."""
+    block = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int").alias("block")
+    rows = members.select("*", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("cross", F.col("other") != F.col("block"))
+    rows = rows.withColumn("tile", F.xxhash64("i", "key", F.least("block", "other"), F.greatest("block", "other")))
+    return rows.drop("blocks", "other").repartition("tile").sortWithinPartitions("tile")
 
 
-def _rehubbed(failed: DataFrame, tried: DataFrame, labels: DataFrame, nodes: DataFrame, hubs: int, least: float) -> DataFrame:
-    """Pairs (a, b) not yet ``tried``: of the texts that ``failed`` against one hub, those
-    that share a k-mer which tells them from it, each with the ``hubs`` shortest of them.
+def _across(crowds: DataFrame, nodes: DataFrame, hubs: DataFrame, labels: DataFrame, sequences: DataFrame, least: float, depth: int = DEPTH) -> DataFrame:
+    """Links (a, b) among the ``crowds`` between different classes by the links so far
+    (``labels``): of any two texts of a bucket that are linked, both are of one class then.
 
-    Pairs of one class by the links so far (``labels``) go, and those whose lengths or
-    sketches are too far apart.
+    No pair of a bucket is left out: two members are told apart by their classes, lengths
+    and sketches, and else by their k-mers.  A task holds two blocks of a bucket, and moves
+    only k-mers of members that are in such a pair.
     """
-    own = failed.join(labels.withColumnRenamed("node", "a").hint("merge"), "a", "left").withColumn("label", F.xxhash64(F.coalesce("label", "a")))
-    own = own.join(nodes.select(F.col("node").alias("a"), _digest("sketch").alias("brief")).hint("merge"), "a")
-    cells = own.select("a", "n", "label", "brief", F.col("b").alias("old"), F.explode("apart").alias("kmer"))
-    cells = stored(cells.select("a", "n", "label", "brief", F.xxhash64("old", "kmer").alias("cell")), "apart-cells")
-    mixed = stored(cells.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("cell"), "apart-mixed")
-    cells = stored(cells.join(mixed.hint("merge"), "cell", "left_semi"), "apart-open")
-    nth = F.row_number().over(Window.partitionBy("cell").orderBy("n", "a"))
-    heads = cells.withColumn("nth", nth).filter(F.col("nth") <= hubs).select("cell", F.struct("a", "n", "label", "brief").alias("hub"))
-    met = cells.join(stored(heads, "apart-hubs").hint("merge"), "cell").filter((F.col("label") != F.col("hub.label")) & (F.least("n", "hub.n") >= least * F.greatest("n", "hub.n")))
-    met = met.filter(_agree("brief", "hub.brief") >= AGREE).select(F.col("a"), F.col("hub.a").alias("b"))
-    pairs = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "apart-pairs")
-    return pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).hint("merge"), ["a", "b"], "left_anti")
+    own = crowds.join(labels.hint("merge"), "node", "left").select("i", "key", "node", "n", F.xxhash64(F.coalesce("label", "node")).alias("label"))
+    own = stored(own, "crowds-classes")
+    mixed = own.groupBy("i", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")).filter("low <> high")
+    blocks = F.greatest(F.ceil(F.col("c") / MEMBERS), F.ceil(F.col("n") * 4 / HELD)).cast("int").alias("blocks")
+    own = stored(own.join(mixed.select("i", "key", blocks).hint("merge"), ["i", "key"]), "crowds-open")
+    ids = own.select("node").distinct()
+    heads = hubs.filter(F.pmod(F.col("i") - 1, F.lit(depth)) == 0).groupBy(F.col("hub.node").alias("node")).agg(F.expr(f"sum(shiftleft(1, cast((i - 1) / {depth} as int)))").alias("hubs"))
+    known = nodes.select("node", "sketch").join(ids.hint("merge"), "node", "left_semi").join(heads.hint("merge"), "node", "left")
+    known = stored(known.select("node", "sketch", F.coalesce("hubs", F.lit(0).cast("long")).alias("hubs")), "crowds-known")
+    full = stored(own.join(known.hint("merge"), "node"), "crowds-full")
+    waiting = stored(_in_tiles(full).mapInArrow(_waiting(least), "i int, key long, node string").distinct(), "crowds-waiting")
+    full = full.join(waiting.hint("merge"), ["i", "key", "node"], "left_semi").join(sequences.hint("merge"), "node")
+    return stored(_in_tiles(full).mapInArrow(_linked(least), "a string, b string").distinct(), "crowds-linked")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -297,21 +377,17 @@ def classes(rows: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> tup
     """
     nodes = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("__t", "__u")).alias("own"))
     nodes = stored(nodes, "nodes")
-    pairs = stored(candidates(nodes.select("node", "n", "sketch"), least), "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    pairs, sizes, hubs = candidates(nodes.select("node", "n", "sketch"), least)
+    pairs, crowds = stored(pairs, "pairs"), _crowds(nodes, sizes)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(crowds.select("node")).distinct()
     ids = stored(nodes.select("node", "own.*").join(ids, "node", "left_semi"), "pair-nodes")
     wanted = texts.select("__t", "__u", "__text").join(ids.hint("merge"), ["__t", "__u"]).select("node", "__text")
     sequences = stored(wanted.mapInArrow(_sequences, "node string, kmers binary").groupBy("node").agg(F.first("kmers").alias("kmers")), "pair-kmers")
     side = lambda s: sequences.select(F.col("node").alias(s), F.col("kmers").alias(f"k{s}")).hint("merge")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ka", "kb").mapInArrow(_verify(least), _CHECKED), "pairs-checked")
-
-    checked = verified(pairs)
-    links, failed = (stored(checked.filter(c).select(*cols), "pairs-checked") for c, cols in (("linked", ("a", "b")), ("not linked", ("a", "b", "n", "apart"))))
+    checked = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ka", "kb").mapInArrow(_verify(least), _CHECKED)
+    links = stored(checked.filter("linked").select("a", "b"), "pairs-checked")
     labels = components(links)
-    pairs = stored(_rehubbed(failed, pairs, labels, nodes, HUBS, least), "pairs")
-    new = stored(verified(pairs).filter("linked").select("a", "b"), "pairs-linked")
+    new = _across(crowds, nodes, hubs, labels, sequences, least)
     labels, links = _merged(labels, new), links.union(new)
     ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().select(F.explode(F.array("a", "b")).alias("node"))
     return labels, stored(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node-links")

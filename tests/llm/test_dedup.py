@@ -126,6 +126,36 @@ def test_near_duplicates_within_a_template_family(spark):
     assert {(c, i) for i, c in got.items() if c != i} == alike
 
 
+def test_near_duplicates_are_whole_among_many_edited_copies(spark):
+    """Copies of one text with a few words changed in each: many are no duplicates of the
+    hub of their bucket, and are linked to it or to each other only through further copies."""
+    rnd = random.Random(0)
+    new = lambda: f"u{rnd.randrange(10**9)}"
+    base, pairs = [new() for _ in range(150)], []
+    for i in range(300):
+        words = list(base)
+        for k in rnd.sample(range(150), rnd.randint(1, 3)):
+            words[k] = new()
+        pairs.append((i, " ".join(words)))
+    sets = [shingles(t) for _, t in pairs]
+    label = list(range(len(pairs)))
+    for a, b in combinations(range(len(pairs)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and label[a] != label[b]:
+            low, high = sorted((label[a], label[b]))
+            label = [low if x == high else x for x in label]
+    got = {r.doc_id: r.class_id for r in orderminhash.near_duplicates(frame(spark, pairs)).collect()}
+    assert [got[i] for i in range(len(pairs))] == label
+
+
+def test_a_bucket_in_tiles_equals_one_tile(spark, monkeypatch):
+    """Blocks of a few members meet two by two: the same classes as in one block."""
+    docs = frame(spark, near_cases())
+    rows = lambda: sorted((str(r.doc_id), str(r.class_id), r.class_size) for r in orderminhash.near_duplicates(docs).collect())
+    want = rows()
+    monkeypatch.setattr(orderminhash, "MEMBERS", 3)
+    assert rows() == want
+
+
 def test_near_duplicates_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert orderminhash.near_duplicates(empty).count() == 0 and orderminhash.dedup(empty).count() == 0
