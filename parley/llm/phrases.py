@@ -173,16 +173,26 @@ def _often(least: int, bits: int):
     kind, width = _kind(least), min(_PART, 1 << bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of all tasks' counters of some parts: a bit for each that is ``least`` or more."""
-        sums: dict[int, np.ndarray] = {}
+        """Of all tasks' counters, sorted by part: a bit for each that is ``least`` or more.
+        One part is held at a time, however many a task gets."""
+        part, own = None, np.zeros(width, np.int32)
+
+        def found() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(own >= least).tobytes()], pa.binary())], names=["part", "bits"])
+
         for batch in batches:
-            for row in batch.to_pylist():
-                own = sums.setdefault(row["part"], np.zeros(width, np.int32))
+            for at in range(batch.num_rows):
+                row = {c: batch.column(i)[at].as_py() for i, c in enumerate(("part", "low", "sizes", "counts"))}
+                if row["part"] != part:
+                    if part is not None:
+                        yield found()
+                    part = row["part"]
+                    own[:] = 0
                 sizes = np.frombuffer(row["sizes"], "<u4")
-                at = np.frombuffer(row["low"], "<u2") + np.repeat(np.arange(len(sizes)) * _RUN, sizes)
-                own[at] = np.minimum(own[at] + np.frombuffer(row["counts"], kind).astype(np.int64), least)
-        out = [np.packbits(own >= least).tobytes() for own in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(out, pa.binary())], names=["part", "bits"])
+                slots = np.frombuffer(row["low"], "<u2") + np.repeat(np.arange(len(sizes)) * _RUN, sizes)
+                own[slots] = np.minimum(own[slots] + np.frombuffer(row["counts"], kind).astype(np.int64), least)
+        if part is not None:
+            yield found()
 
     return run
 
@@ -191,7 +201,7 @@ def often(counted: DataFrame, least: int = LEAST, bits: int = BITS) -> bytes:
     """A bit for each of the 2^``bits`` counters: whether it is ``least`` or more."""
     width = min(_PART, 1 << bits) // 8
     out = bytearray((1 << bits) // 8)
-    found = counted.filter("part is not null").select("part", "low", "sizes", "counts").repartition("part").mapInArrow(_often(least, bits), "part int, bits binary")
+    found = counted.filter("part is not null").select("part", "low", "sizes", "counts").repartition("part").sortWithinPartitions("part").mapInArrow(_often(least, bits), "part int, bits binary")
     for r in stored(found, "phrase-often").toLocalIterator():  # at most 2^(bits - 20) rows of 128 KB
         out[r["part"] * width : (r["part"] + 1) * width] = r["bits"]
     return bytes(out)

@@ -98,6 +98,31 @@ def test_scores_are_exact_beyond_64_bits(spark):
         assert phrases.collocations(spark.range(0)).first()["score"] == 1000 * a * n // (left * right)
 
 
+def test_a_task_holds_the_counters_of_one_part():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    parts, slot = 48, np.array([7], np.uint32)
+    given = [next(phrases._parts(slot, np.array([2], np.int64), "<u1"))[1:4] for _ in range(2)]  # 2 + 2 >= 3, in every part
+    names = ["part", "low", "sizes", "counts"]
+
+    def batches():
+        for part in range(parts):
+            cols = [[part] * 2, *zip(*given)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), *[pa.binary()] * 3))], names=names)
+
+    tracemalloc.start()
+    found = {}
+    for out in phrases._often(3, 28)(batches()):
+        found.update((r["part"], np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8))).tolist()) for r in out.to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == {part: [7] for part in range(parts)}
+    assert peak < 10 * 4 * phrases._PART  # all parts at once: 48 times 4 MB
+
+
 # ---------------------------------------------------------------- 12: SimHash
 def brute_fingerprint(text):
     ws = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
