@@ -7,8 +7,11 @@ the counts of successively shorter prefixes, which are the counts of all shorter
 A word or pair of words that stands less than LEAST times is in no candidate, nor in a part
 of one, so windows are also padded there.  What is rare is told by counters of hashed words
 and pairs (2^BITS of them, whatever the input): a counter is never less than any count it
-holds, so no window of a candidate is cut.  The fuller the counters, the fewer windows they
-shorten; the result is the same.
+holds, so no window of a candidate is cut.  Longer phrases whose words and pairs all passed
+are counted in the same way, and windows padded from the first length on that stands less
+than LEAST times: what moves are phrases of candidates' counts, not all the windows of
+frequent words.  The fuller the counters, the fewer windows they shorten; the result is the
+same.
 """
 
 from __future__ import annotations
@@ -137,7 +140,30 @@ def _kind(least: int) -> str:
     return "<u1" if least < 256 else "<u4"
 
 
-def _count(least: int, bits: int):
+def _chains(block: Block, kept: np.ndarray, bits: int) -> tuple[np.ndarray, Iterator[tuple[int, np.ndarray, np.ndarray]]]:
+    """Which words are among the ``kept``, and for each number of leads, 1 to LONGEST - 1, a
+    hash of every word with so many leads, and where all its words and pairs are kept."""
+    word = _among(kept, block.hashes, bits)
+    chain = block.joined & word & _among(kept, block.pairs(), bits)
+    chain[:-1] &= word[1:]
+
+    def leads() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        run_on, key = word.copy(), block.hashes
+        for k in range(1, LONGEST):
+            end = max(0, len(chain) - k + 1)
+            run_on[:end] &= chain[k - 1 :]
+            run_on[end:] = False
+            nxt = np.zeros(len(key), np.uint64)
+            nxt[: max(0, len(key) - k)] = block.hashes[k:]
+            key = mix(key * _ODD + nxt)
+            yield k, key, run_on
+
+    return word, leads()
+
+
+def _count(least: int, bits: int, packed=None):
+    """Counters of words and pairs, or of the longer phrases of the words and pairs that are
+    among the ``packed``."""
     kind, most = _kind(least), least if least < 256 else 2**32 - 1
 
     def rows(out: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -147,15 +173,19 @@ def _count(least: int, bits: int):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["part", "low", "sizes", "counts", "lang", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counters of this task's words and pairs, and its number of words per language."""
+        """Counters of this task, and with those of words its number of words per language."""
+        kept = None if packed is None else np.frombuffer(packed.value, np.uint8)
         held, size, words = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))], 0, {}
         for batch in batches:
             for block, langs in _blocks(batch):
                 own = block.own
-                slots = np.concatenate((_slots(block.hashes[own], bits), _slots(block.pairs()[own & block.joined], bits)))
+                if kept is None:
+                    slots = np.concatenate((_slots(block.hashes[own], bits), _slots(block.pairs()[own & block.joined], bits)))
+                else:
+                    slots = np.concatenate([_slots(key[own & there], bits) for k, key, there in _chains(block, kept, bits)[1] if k > 1])
                 held.append(_summed(slots, np.ones(len(slots), np.int64)))
                 size += len(held[-1][0])
-                for text, n in zip(*(x.tolist() for x in np.unique(block.text[own], return_counts=True))):
+                for text, n in zip(*(x.tolist() for x in np.unique(block.text[own], return_counts=True))) if kept is None else ():
                     words[langs[text]] = words.get(langs[text], 0) + n
                 if size > HELD:
                     held = [_summed(*(np.concatenate(x) for x in zip(*held)))]
@@ -232,22 +262,18 @@ def _windows(bits: int, packed):
             for block, langs in _blocks(batch):
                 if not len(block.starts):
                     continue
-                word = _among(kept, block.hashes, bits)
-                chain = block.joined & word & _among(kept, block.pairs(), bits)
-                chain[:-1] &= word[1:]
-                size, run_on, key = word.astype(np.int64), word.copy(), block.hashes.copy()
-                for k in range(1, LONGEST):  # words of the window, and a hash of them
-                    end = max(0, len(chain) - k + 1)
-                    run_on[:end] &= chain[k - 1 :]
-                    run_on[end:] = False
+                word, leads = _chains(block, kept, bits)
+                size, run_on, key = word.astype(np.int64), word.copy(), block.hashes
+                for k, phrase, there in leads:  # words of the window, and a hash of them
+                    run_on &= there
+                    if k > 1:
+                        run_on &= _among(kept, phrase, bits)
                     size += run_on
-                    nxt = np.zeros(len(key), np.uint64)
-                    nxt[: max(0, len(key) - k)] = block.hashes[k:]
-                    key = mix(key * _ODD + np.where(run_on, nxt, np.uint64(0)))
+                    key = np.where(run_on, phrase, key)
                 at = np.flatnonzero(block.own & word)
                 if not len(at):
                     continue
-                _, first, n = np.unique(key[at], return_index=True, return_counts=True)
+                _, first, n = np.unique(mix(key[at] ^ size[at].astype(np.uint64)), return_index=True, return_counts=True)
                 at = at[first]
                 lang = pa.array([langs[t] for t in block.text[at].tolist()], pa.string())
                 cols = [_strings(block, at + k, size[at] > k) for k in range(LONGEST)]
@@ -266,7 +292,12 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     own = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     counted = stored(own.mapInArrow(_count(least, bits), _COUNTED), "phrase-counters")
     totals = stored(counted.filter("lang is not null").groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    packed = spark.sparkContext.broadcast(often(counted, least, bits))  # 2^bits bits
+    some = often(counted, least, bits)
+    packed = spark.sparkContext.broadcast(some)  # 2^bits bits
+    longer = stored(own.mapInArrow(_count(least, bits, packed), _COUNTED), "phrase-longer")
+    packed.unpersist()
+    some = np.frombuffer(some, np.uint8) | np.frombuffer(often(longer, least, bits), np.uint8)
+    packed = spark.sparkContext.broadcast(some.tobytes())
     found = own.mapInArrow(_windows(bits, packed), ", ".join(["lang string", *[f"{w} string" for w in WINDOW], "n long"]))
     longest = stored(found.groupBy("lang", *WINDOW).agg(F.sum("n").alias("n")), "phrase-windows")
     # level: how many of the columns are summed away; a prefix that ends in padding is a

@@ -123,6 +123,22 @@ def test_a_task_holds_the_counters_of_one_part():
     assert peak < 10 * 4 * phrases._PART  # all parts at once: 48 times 4 MB
 
 
+def test_windows_of_frequent_pairs_move_only_as_long_as_they_are_frequent(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choice("abcdef") for _ in range(100)), "en") for i in range(30)]  # a triple: some 14 times
+    rows += [(100 + i, "p q r s t u", "en") for i in range(30)]
+    made = {}
+    plain = phrases.stored
+    def kept(df, name):
+        made[name] = plain(df, name)
+        return made[name]
+    monkeypatch.setattr(phrases, "stored", kept)
+    got = collected(phrases.collocations(frame(spark, rows), least=30, bits=20))
+    assert got == brute_collocations(rows, 30) and len(got) > 2
+    moved = Counter(sum(r[w] != "" for w in phrases.WINDOW) for r in made["phrase-windows"].collect())
+    assert moved[5] == 2 and sum(moved.values()) <= 6 + 36 + 6
+
+
 # ---------------------------------------------------------------- 12: SimHash
 def brute_fingerprint(text):
     ws = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
