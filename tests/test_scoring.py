@@ -44,3 +44,14 @@ def test_copies_tie_by_id_and_few_rows_move(spark, monkeypatch):
     got = {(r["qid"], r["rank"]): r["doc_id"] for r in Q.bm25_retrieve(turns, c, 80).collect()}
     assert [got["a", i] for i in range(1, 81)] == [f"D{i:04}" for i in range(80)] == [got["b", i] for i in range(1, 81)]
     assert moved[0] <= 2 * 100  # not 80 from each bucket, nor all 800
+
+
+def test_only_postings_of_the_batch_reach_python(spark, small_corpus, monkeypatch):
+    terms = [r["term"] for r in small_corpus.postings.select("term").distinct().orderBy("term").collect()]
+    turns = spark.createDataFrame([("a", f"{terms[0]} {terms[-1]}")], "qid string, utterance string")
+    monkeypatch.setattr(Q, "KEY_RANGES", 1)  # one range, from the first term to the last
+    read = []
+    best_rows = scoring.best_rows
+    monkeypatch.setattr(scoring, "best_rows", lambda postings, *rest: read.append(postings) or best_rows(postings, *rest))
+    assert Q.bm25_retrieve(turns, small_corpus, 5).count()
+    assert {r["term"] for r in read[0].select("term").collect()} <= {terms[0], terms[-1]}
