@@ -129,3 +129,18 @@ def test_stages_on_an_empty_table(spark, steps):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, path).count() == 0
     assert quality.FEATURES
+
+
+def test_near_stage_keeps_one_of_many_edited_copies(spark):
+    """Copies with one to three of 150 words changed, many of them no duplicates of the hub of
+    their bucket: all are linked through others, so one document stays."""
+    rnd = random.Random(0)
+    new = lambda: f"u{rnd.randrange(10**9)}"
+    base, rows = [new() for _ in range(150)], []
+    for i in range(300):
+        words = list(base)
+        for k in rnd.sample(range(150), rnd.randint(1, 3)):
+            words[k] = new()
+        rows.append((i, " ".join(words), "en", "src1", 1))
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert [r.doc_id for r in got] == [0]
