@@ -33,8 +33,11 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 #: 2^BITS counters, of which a bit each is sent to the tasks (32 MB).  They tell rare pairs
 #: while there are less than some 50 words to a counter, up to 10^10 words.
 BITS = 28
-#: Text bytes handled at once, within a text too, and counters that a task holds.
-BLOCK, HELD = 2 << 20, 4 << 20
+#: Text bytes handled at once, within a text too, and counters and windows that a task holds.
+BLOCK, HELD, KEPT = 2 << 20, 4 << 20, 1 << 19
+#: Words that a task looks for windows in, on average, where there are more tasks than cores
+#: (some 20 s).
+TASK_WORDS = 1 << 26
 
 #: Counters travel in parts of 2^20, each of 16 runs of 2^16.
 _PART, _RUN = 1 << 20, 1 << 16
@@ -256,8 +259,22 @@ WINDOW = [f"w{i}" for i in range(1, LONGEST + 1)]
 
 def _windows(bits: int, packed):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(lang, w1 .. w5, n): the distinct longest windows of each block and their counts."""
+        """(lang, w1 .. w5, n): the distinct longest windows of a task and their counts; of
+        more than KEPT, those so far are given out and counted anew."""
         kept = np.frombuffer(packed.value, np.uint8)
+
+        def empty() -> tuple:
+            # hashes in order, the number of each one's row, rows made, and their counts
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), [], np.zeros(0, np.int64)
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            done = 0
+            for cols in made:
+                n = counts[done : done + len(cols[0])]
+                done += len(cols[0])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64())], names=["lang", *WINDOW, "n"])
+
+        known, place, made, counts = empty()
         for batch in batches:
             for block, langs in _blocks(batch):
                 if not len(block.starts):
@@ -273,11 +290,24 @@ def _windows(bits: int, packed):
                 at = np.flatnonzero(block.own & word)
                 if not len(at):
                     continue
-                _, first, n = np.unique(mix(key[at] ^ size[at].astype(np.uint64)), return_index=True, return_counts=True)
-                at = at[first]
+                own, first, n = np.unique(mix(key[at] ^ size[at].astype(np.uint64)), return_index=True, return_counts=True)
+                where = np.searchsorted(known, own)
+                again = np.zeros(len(own), bool)
+                inside = where < len(known)
+                again[inside] = known[where[inside]] == own[inside]
+                counts[place[where[again]]] += n[again]
+                new = ~again
+                if not new.any():
+                    continue
+                at = at[first[new]]
+                place = np.insert(place, where[new], len(counts) + np.arange(len(at)))
+                known, counts = np.insert(known, where[new], own[new]), np.concatenate((counts, n[new]))
                 lang = pa.array([langs[t] for t in block.text[at].tolist()], pa.string())
-                cols = [_strings(block, at + k, size[at] > k) for k in range(LONGEST)]
-                yield pa.RecordBatch.from_arrays([lang, *cols, pa.array(n, pa.int64())], names=["lang", *WINDOW, "n"])
+                made.append([lang, *[_strings(block, at + k, size[at] > k) for k in range(LONGEST)]])
+                if len(known) > KEPT:
+                    yield from rows()
+                    known, place, made, counts = empty()
+        yield from rows()
 
     return run
 
@@ -298,7 +328,11 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     packed.unpersist()
     some = np.frombuffer(some, np.uint8) | np.frombuffer(often(longer, least, bits), np.uint8)
     packed = spark.sparkContext.broadcast(some.tobytes())
-    found = own.mapInArrow(_windows(bits, packed), ", ".join(["lang string", *[f"{w} string" for w in WINDOW], "n long"]))
+    # a task gives each of its windows once: a task for each core, so that frequent windows
+    # are not given anew by ever more tasks of a larger input; more where they would grow long
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-words // TASK_WORDS))
+    found = own.coalesce(tasks).mapInArrow(_windows(bits, packed), ", ".join(["lang string", *[f"{w} string" for w in WINDOW], "n long"]))
     longest = stored(found.groupBy("lang", *WINDOW).agg(F.sum("n").alias("n")), "phrase-windows")
     # level: how many of the columns are summed away; a prefix that ends in padding is a
     # shorter phrase, which the level of its own length counts

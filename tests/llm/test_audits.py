@@ -139,6 +139,30 @@ def test_windows_of_frequent_pairs_move_only_as_long_as_they_are_frequent(spark,
     assert moved[5] == 2 and sum(moved.values()) <= 6 + 36 + 6
 
 
+def test_a_task_gives_each_window_once(monkeypatch):
+    import pyarrow as pa
+
+    class All:
+        value = b"\xff" * (1 << 13)
+
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("ab") for _ in range(50)) for _ in range(200)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(["en", "fr"] * 10), pa.array(texts[i : i + 20])], names=["lang", "text"]) for i in range(0, 200, 20)]
+    monkeypatch.setattr(phrases, "BLOCK", 300)
+    want = Counter()
+    for i, text in enumerate(texts):
+        ws = text.split() + [""] * 4
+        want.update(("en" if i % 2 == 0 else "fr", *ws[j : j + 5]) for j in range(50))
+    for kept, most in ((1 << 19, len(want)), (20, 4 * 200 * 50)):  # all held; and given out in parts
+        monkeypatch.setattr(phrases, "KEPT", kept, raising=False)
+        got = [tuple(r.values()) for out in phrases._windows(16, All)(iter(batches)) for r in out.to_pylist()]
+        counts = Counter()
+        for *window, n in got:
+            counts[tuple(window)] += n
+        assert counts == want and len(want) <= len(got) <= most
+        assert kept > 20 or len(got) > len(want)
+
+
 # ---------------------------------------------------------------- 12: SimHash
 def brute_fingerprint(text):
     ws = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
