@@ -63,3 +63,16 @@ def test_passage_vectors_shuffle_only_rare_terms(spark):
     assert near(split) == near(doc_vectors(postings, stats, len(rows), frequent=10**6)) == near(doc_vectors(postings, stats, len(rows), frequent=1))
     plan = _plan(split)
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" in plan
+
+
+def test_postings_come_in_term_order(small_corpus):
+    """Each block's rows are in the order of the stored table, whose sort then merges runs."""
+    import pyarrow as pa
+
+    from parley.operators.blocks import Tokens
+    from parley.operators.index import build_postings
+
+    assert Tokens(["b", "é", "a", "Z"], [], [], 0).ranks().tolist() == [2, 3, 1, 0]
+    rows = build_postings(small_corpus.collection.coalesce(1), small_corpus.stem_map).select("term").toArrow()
+    terms = rows.column(0).combine_chunks().cast(pa.string()).to_pylist()
+    assert len(terms) > 10 and terms == sorted(terms)
