@@ -65,6 +65,31 @@ def test_passage_vectors_shuffle_only_rare_terms(spark):
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" in plan
 
 
+def test_passage_vectors_are_summed_in_blocks_of_documents(spark, monkeypatch):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from parley.operators import index
+
+    monkeypatch.setattr(index, "VECTORS", 7, raising=False)
+    rows = [(f"d{i}", t, 1 + i % 3) for i in range(60) for t in (*(("the", "of") if i % 5 else ()), f"w{i}", f"p{i // 2}")]
+    postings = spark.createDataFrame(rows, "doc_id string, term string, tf long")
+    stats = index.text_stats(postings.withColumn("first_pos", F.lit(0)), 60)
+    of = {r["term"]: r for r in stats.collect()}
+    want = {}
+    for d, t, tf in rows:
+        v = want.setdefault(d, {})
+        v[of[t]["slot"]] = v.get(of[t]["slot"], 0.0) + (1 + math.log(tf)) * of[t]["idf"] * of[t]["sign"]
+    made = index.doc_vectors(postings, stats, len(rows), frequent=10)
+    got = {r["doc_id"]: dict(zip(r["slots"], r["weights"])) for r in made.collect()}
+    assert got.keys() == want.keys()
+    for d, v in want.items():
+        norm = math.sqrt(sum(w * w for w in v.values()))
+        assert got[d].keys() == v.keys() and all(abs(got[d][s] - (w / norm if norm else 0.0)) < 1e-12 for s, w in v.items())
+    assert _plan(made).count("Generate") == 0  # no row per slot of a document
+
+
 def test_postings_come_in_term_order(small_corpus):
     """Each block's rows are in the order of the stored table, whose sort then merges runs."""
     import pyarrow as pa
