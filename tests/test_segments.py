@@ -69,3 +69,28 @@ def test_scoring_of_segments_is_bucket_local(spark):
     turns = spark.createDataFrame([("q", "walking")], "qid string, utterance string")
     plan = Q.bm25_retrieve(turns, index, 10)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(doc_id" not in plan and "ShuffledHashJoin" in plan and plan.count("Bucketed: true") >= 3
+
+
+def test_postings_of_segments_count_as_bucketed(spark, monkeypatch):
+    from parley.operators import scoring
+
+    rows = [(f"d{i}", "walks walked tomatoes tomato walk " + "garden " * i, "S", 1) for i in range(6)]
+    index = S.upsert(S.create_index(spark.createDataFrame(rows, SCHEMA), buckets=2), spark.createDataFrame([("d1", "walk zebra", "S", 2)], SCHEMA))
+    assert len(index.segments) == 2 and all(map(scoring.in_buckets, index.segments))
+    assert not scoring.in_buckets(index.postings.repartition(2, "term"))
+    turns = spark.createDataFrame([("q", "walk garden zebra")], "qid string, utterance string")
+    got = sorted(map(tuple, Q.bm25_retrieve(turns, index, 10).collect()))
+    monkeypatch.setattr(Q, "in_buckets", lambda t: False)
+    assert got == sorted(map(tuple, Q.bm25_retrieve(turns, index, 10).collect())) and len(got) == 6
+
+
+def test_surfaces_hold_the_words_of_each_block_in_order(spark):
+    rows = [("d1", "Walks walked WALKS", "S", 1), ("d2", "walks", "S", 1), ("d3", "", "S", 1)]
+    index = S.create_index(spark.createDataFrame(rows, SCHEMA), buckets=1)
+    held = [(r["term"], r["df"], sorted(r["docs"])) for r in index.surfaces("segment-0").collect()]
+    assert held == [("walked", 1, ["d1"]), ("walks", 2, ["d1", "d2"])]
+    terms = S._write(spark.createDataFrame([("walks",), ("none",)], "term string"), scratch_path(spark, "terms"))
+    assert sorted(r["doc_id"] for r in S._documents_with(index, terms).collect()) == ["d1", "d2"]
+    later = S.upsert(index, spark.createDataFrame([("d2", "other", "S", 2)], SCHEMA))
+    assert sorted(r["doc_id"] for r in S._documents_with(later, terms).collect()) == ["d1"]
+    assert sorted(r["doc_id"] for r in S._documents_with(S.compact(later), terms).collect()) == ["d1"]
