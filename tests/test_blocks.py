@@ -83,3 +83,25 @@ def test_judgements_are_counted_within_parts_of_documents(spark, monkeypatch):
     rows = fixtures.qrels(spark, "/root/testdata/sf0.001").collect()
     assert rows and {r["rel"] for r in rows} <= {0, 1, 2}
     assert not re.search(r"hashpartitioning\(qid[^)]*doc_id", plans[-1])
+
+
+def test_bigrams_are_found_in_texts_as_in_the_table(spark):
+    from parley.operators.index import bigrams_found
+
+    docs = spark.createDataFrame([("d", "a b a b c"), ("e", "b c a"), ("f", ""), ("g", "a"), ("h", "c b x a b")], "doc_id string, data string").coalesce(1)
+    wanted = [("a", "b"), ("c", "a"), ("b", "nowhere"), ("x", "b")]
+    want = {tuple(r) for r in text_bigrams(docs).collect() if (r["a"], r["b"]) in wanted}
+    got = [tuple(r) for r in bigrams_found(docs, spark.sparkContext.broadcast(wanted)).collect()]
+    assert set(got) == want and len(got) == len(want) == 3
+    assert not bigrams_found(docs, spark.sparkContext.broadcast([])).count()
+
+
+def test_the_pair_scorer_writes_no_table_of_all_bigrams(spark, small_corpus):
+    from parley.operators import rerank as R
+    from parley.operators import retrieval as Q
+
+    turns = spark.createDataFrame([("q", "throat cancer treatments")], "qid string, utterance string")
+    pairs = R.candidates(Q.bm25_retrieve(turns, small_corpus, 5), ["qid"])
+    f = R.pair_features(pairs, Q.query_text(turns, small_corpus.stem_map, ["qid"]), small_corpus, ["qid"])
+    assert {r["doc_id"]: r["bigrams"] for r in f.collect()}["MARCO_1"] == 1
+    assert "text_bigrams" not in vars(small_corpus)
